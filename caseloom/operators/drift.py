@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 # Canonical fields and the names they go by.
 ALIASES: dict[str, tuple[str, ...]] = {
-    "CaseNumber": ("CaseNum", "Case Number", "Case#", "case_no"),
+    "CaseNumber": ("CaseNum", "Case Number", "Case#", "case_no", "ME Case No."),
     "ResidenceType": ("ResType", "Residence Type"),
-    "DeathDate": ("Date of Death", "Death Date", "DateOfDeath"),
+    "DeathDate": ("Date of Death", "Death Date", "DateOfDeath", "DOD"),
     "DeathTime": ("Time of Death", "Death Time", "TimeofDeath"),
     "DeathPlace": ("Death Place",),
     "DeathAddress": ("DeathAddr", "DeathAdress", "DeathAddr.1", "address.death", "DeathAdress.1", "Death Address"),
-    "DeathZip": ("DeathZip.1", "DeathZipCode", "DeathZi\np", "Zip", "Death Zip"),
+    "DeathZip": ("DeathZip.1", "DeathZipCode", "DeathZi\np", "Zip", "Death Zip", "PostalCodeOfDeath"),
     "DeathCity": ("Death City", "DeathCityDesc"),
     "EventPlace": ("Event Place",),
     "EventAddress": ("EventAddr", "EventAddr.1", "eventaddress", "Event Address"),
@@ -27,7 +27,7 @@ ALIASES: dict[str, tuple[str, ...]] = {
     "CauseC": ("Cause C", "DeathCauseC"),
     "CauseD": ("Cause D", "DeathCauseD"),
     "CauseOther": ("Other Cause", "OtherCause"),
-    "HowInjuryOccurred": ("InjuryDesc", "HowInjuryOccu\nrred", "Injury Narrative"),
+    "HowInjuryOccurred": ("InjuryDesc", "HowInjuryOccu\nrred", "Injury Narrative", "injury_description"),
     "FirstName": ("First Name",),
     "MiddleName": ("Middle Name",),
     "LastName": ("Last Name",),
@@ -62,6 +62,12 @@ def json_kind(schema: Column) -> Column:
     )
 
 
+def value_shape(json: Column) -> Column:
+    """The letter-and-digit pattern of a JSON value, alike for a value and its retyped writing."""
+    text = F.regexp_replace(F.regexp_replace(F.substring(json, 1, 40), r'["\[\]{}]|year|serial|: *', ""), r"\.0+$", "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[0-9]", "9"), "[A-Za-z]+", "a"), "a(?:[^a9]+a)+", "A")
+
+
 def field_catalogue(rows: DataFrame, feed: str = "feed", file_no: str = "file_no", record: str = "record") -> DataFrame:
     """The footer metadata of JSON extracts: ``(feed, file_no, ord, field, kind, canonical, n_rows, n_values, shape)``.
 
@@ -78,7 +84,7 @@ def field_catalogue(rows: DataFrame, feed: str = "feed", file_no: str = "file_no
     cells = v.select(feed, file_no, F.explode(F.expr("try_variant_get(_v, '$', 'map<string, variant>')")).alias("field", "_x"))
     kinds = cells.select(
         feed, file_no, "field", F.coalesce(json_kind(F.schema_of_variant("_x")), F.lit("")).alias("kind"),
-        F.regexp_replace(F.regexp_replace(F.substring(F.to_json("_x"), 1, 40), "[0-9]+", "9"), "[A-Za-z]+", "a").alias("shape"),
+        value_shape(F.to_json("_x")).alias("shape"),
     ).groupBy(feed, file_no, "field", "kind", "shape").count()
     by_kind = kinds.groupBy(feed, file_no, "field", "kind").agg(F.sum("count").alias("n"), F.max(F.struct("count", "shape")).alias("top"))
     one = by_kind.groupBy(feed, file_no, "field").agg(
@@ -110,8 +116,8 @@ def schema_changes(rows: DataFrame, feed: str = "feed", file_no: str = "file_no"
     the files of a (feed, field): a field that the file before lacks starts, a
     field that the next file lacks ends in that next file. A start and an ending
     in one file are one ``renamed`` if both names stand for one canonical field,
-    or, for names that no alias covers, if kind and value shape agree and no
-    other start or ending of the file does. What is left is ``added`` or
+    or, if an alias covers only one of them or none, if their values are shaped
+    alike and no other start or ending of the file is. What is left is ``added`` or
     ``removed``; a field (renamed or not) whose JSON type differs is ``retyped``.
     A field whose values are all null has no type and isn't retyped. The first
     file of a feed has no changes; empty tables give none.
@@ -133,12 +139,12 @@ def schema_changes(rows: DataFrame, feed: str = "feed", file_no: str = "file_no"
     paired = both.filter("old_field is not null and new_field is not null")
     known = F.array(*[F.lit(c) for c in ALIASES])
     loose = both.filter("old_field is null or new_field is null").withColumn("_known", F.array_contains(known, F.col("canonical")))
-    # Names outside the alias table: unique agreement in kind and shape within the file.
-    uniq = Window.partitionBy(feed, "ord", "_k", "_s")
-    lo = loose.filter("new_field is null").withColumns({"_k": F.col("old_kind"), "_s": F.col("old_shape")}).withColumn("_n", F.count("*").over(uniq))
-    ln = loose.filter("old_field is null").withColumns({"_k": F.col("new_kind"), "_s": F.col("new_shape")}).withColumn("_n", F.count("*").over(uniq))
+    # Names outside the alias table: the only start and the only ending of that shape in the file.
+    uniq = Window.partitionBy(feed, "ord", "_s")
+    lo = loose.filter("new_field is null").withColumn("_s", F.col("old_shape")).withColumn("_n", F.count("*").over(uniq))
+    ln = loose.filter("old_field is null").withColumn("_s", F.col("new_shape")).withColumn("_n", F.count("*").over(uniq))
     guess = lo.filter("_n = 1").alias("o").join(
-        ln.filter("_n = 1").alias("n"), (F.col(f"o.{feed}") == F.col(f"n.{feed}")) & (F.col("o.ord") == F.col("n.ord")) & (F.col("o._k") == F.col("n._k")) & (F.col("o._s") == F.col("n._s")) & ~(F.col("o._known") & F.col("n._known")),
+        ln.filter("_n = 1").alias("n"), (F.col(f"o.{feed}") == F.col(f"n.{feed}")) & (F.col("o.ord") == F.col("n.ord")) & (F.col("o._s") == F.col("n._s")) & ~(F.col("o._known") & F.col("n._known")),
     ).select(F.col(f"o.{feed}").alias(feed), F.col("o.ord").alias("ord"), F.col("o.old_field").alias("old_field"), F.col("n.new_field").alias("new_field"), F.col("o.old_kind").alias("old_kind"), F.col("n.new_kind").alias("new_kind"))
     pairs = paired.select(feed, "ord", "old_field", "new_field", "old_kind", "new_kind").unionByName(guess)
     gone = lo.join(guess.select(feed, "ord", "old_field"), [feed, "ord", "old_field"], "left_anti").select(feed, "ord", F.lit("removed").alias("change"), "old_field", F.lit("").alias("new_field"))
