@@ -40,6 +40,9 @@ ALIASES: dict[str, tuple[str, ...]] = {
 }
 
 
+FACTS = "struct<field:string,kind:string,canonical:string,shape:string>"
+
+
 def plain_name(name: str) -> str:
     """A field name without case, white space and punctuation other than a trailing ``.1``."""
     return re.sub(r"[^a-z0-9.#]", "", name.lower())
@@ -69,7 +72,7 @@ def value_shape(json: Column) -> Column:
 
 
 def field_catalogue(rows: DataFrame, feed: str = "feed", file_no: str = "file_no", record: str = "record") -> DataFrame:
-    """The footer metadata of JSON extracts: ``(feed, file_no, ord, field, kind, canonical, n_rows, n_values, shape)``.
+    """The footer metadata of JSON extracts: ``(feed, file_no, field, kind, n_rows, n_values, shape, ord, next_file, canonical)``.
 
     One row for each field of each file. ``kind`` is the most frequent JSON type
     of its non-null values (ties by name; null if all are null), ``ord`` numbers
@@ -79,7 +82,8 @@ def field_catalogue(rows: DataFrame, feed: str = "feed", file_no: str = "file_no
     usable record keeps its place in the order. Aggregation is partial, so a hot
     feed shrinks to its fields before it moves.
     """
-    files = rows.select(feed, file_no).distinct().withColumn("ord", F.row_number().over(Window.partitionBy(feed).orderBy(file_no)))
+    w = Window.partitionBy(feed).orderBy(file_no)
+    files = rows.select(feed, file_no).distinct().withColumns({"ord": F.row_number().over(w), "next_file": F.lead(file_no).over(w)})
     v = rows.select(feed, file_no, F.try_parse_json(F.col(record)).alias("_v")).filter(F.schema_of_variant("_v").startswith("OBJECT"))
     cells = v.select(feed, file_no, F.explode(F.expr("try_variant_get(_v, '$', 'map<string, variant>')")).alias("field", "_x"))
     kinds = cells.select(
@@ -112,9 +116,9 @@ def lifespans(catalogue: DataFrame, feed: str = "feed", file_no: str = "file_no"
 def schema_changes(rows: DataFrame, feed: str = "feed", file_no: str = "file_no", record: str = "record") -> DataFrame:
     """``(feed, file_no, change, old_field, new_field)`` of each file against the file before it in its feed.
 
-    Starts and endings of column lifespans are read off with lag and lead over
-    the files of a (feed, field): a field that the file before lacks starts, a
-    field that the next file lacks ends in that next file. A start and an ending
+    Starts and endings of column lifespans are logged file by file: a field that
+    the file before lacks starts, a field that the next file (lead over the
+    feed's files) lacks ends in that next file. A start and an ending
     in one file are one ``renamed`` if both names stand for one canonical field,
     or, if an alias covers only one of them or none, if their values are shaped
     alike and no other start or ending of the file is. What is left is ``added`` or
@@ -122,36 +126,40 @@ def schema_changes(rows: DataFrame, feed: str = "feed", file_no: str = "file_no"
     A field whose values are all null has no type and isn't retyped. The first
     file of a feed has no changes; empty tables give none.
     """
-    cat = field_catalogue(rows, feed, file_no, record)
-    files = rows.select(feed, file_no).distinct().withColumn("ord", F.row_number().over(Window.partitionBy(feed).orderBy(file_no)))
-    last = Window.partitionBy(feed, "field").orderBy("ord")
-    c = cat.withColumns({"_po": F.lag("ord").over(last), "_no": F.lead("ord").over(last), "_pk": F.lag("kind").over(last)})
-    going = (F.col("_po") == F.col("ord") - 1)
-    kept = c.filter(going & (F.col("_pk") != F.col("kind"))).select(feed, "ord", F.lit("retyped").alias("change"), F.col("field").alias("old_field"), F.col("field").alias("new_field"))
-    facts = ["field", "kind", "canonical", "shape"]
-    starts = c.filter((F.col("ord") > 1) & ~F.coalesce(going, F.lit(False))).select(feed, "ord", *facts)
-    ends = c.filter(~F.coalesce(F.col("_no") == F.col("ord") + 1, F.lit(False))).select(feed, (F.col("ord") + 1).alias("ord"), *facts).join(files.select(feed, "ord"), [feed, "ord"], "left_semi")
-    nth = F.row_number().over(Window.partitionBy(feed, "ord", "canonical").orderBy("field"))
-    s, e = starts.withColumn("_nth", nth), ends.withColumn("_nth", nth)
-    old = e.select(feed, "ord", "canonical", "_nth", F.col("field").alias("old_field"), F.col("kind").alias("old_kind"), F.col("shape").alias("old_shape"))
-    new = s.select(feed, "ord", "canonical", "_nth", F.col("field").alias("new_field"), F.col("kind").alias("new_kind"), F.col("shape").alias("new_shape"))
-    both = old.join(new, [feed, "ord", "canonical", "_nth"], "full")
-    paired = both.filter("old_field is not null and new_field is not null")
-    known = F.array(*[F.lit(c) for c in ALIASES])
-    loose = both.filter("old_field is null or new_field is null").withColumn("_known", F.array_contains(known, F.col("canonical")))
+    facts = F.struct("field", "kind", "canonical", "shape")
+    # Every lifespan row stands for its own file (new side) and for the file after it (old side).
+    sides = field_catalogue(rows, feed, file_no, record).select(feed, F.explode(F.filter(F.array(
+        F.when(F.col("ord") > 1, F.struct(F.col(file_no).alias("file"), F.lit(None).cast(FACTS).alias("old"), facts.cast(FACTS).alias("new"))),
+        F.when(F.col("next_file").isNotNull(), F.struct(F.col("next_file").alias("file"), facts.cast(FACTS).alias("old"), F.lit(None).cast(FACTS).alias("new"))),
+    ), lambda x: x.isNotNull())).alias("_s")).select(feed, F.col("_s.file").alias("_file"), F.col("_s.old").alias("old"), F.col("_s.new").alias("new")).repartition(feed, "_file")
+
+    def meet(df: DataFrame, key: Column) -> DataFrame:
+        return df.withColumn("_k", key).groupBy(feed, "_file", "_k").agg(F.max("old").alias("old"), F.max("new").alias("new")).drop("_k")
+
+    either = F.coalesce(F.col("old"), F.col("new"))
+    open_ = F.col("old").isNull() | F.col("new").isNull()
+    own = F.concat(F.lit("f\u0001"), F.coalesce(F.col("old.field"), F.lit("")), F.lit("\u0001"), F.coalesce(F.col("new.field"), F.lit("")))
+    same = meet(sides, either["field"])
+    same = same.withColumns({"_c": either["canonical"], "_f": either["field"], "_old": F.col("new").isNull(), "_open": open_})
+    # Closed rows take part in no numbering: they would shift the numbers of the open ones.
+    open_nth = F.sum(F.col("_open").cast("int")).over(Window.partitionBy(feed, "_file", "_c", "_old").orderBy("_f"))
+    named = meet(same.withColumn("_nth", open_nth), F.when(F.col("_open"), F.concat_ws("\u0001", F.lit("c"), F.col("_c"), F.col("_nth").cast("string"))).otherwise(own))
     # Names outside the alias table: the only start and the only ending of that shape in the file.
-    uniq = Window.partitionBy(feed, "ord", "_s")
-    lo = loose.filter("new_field is null").withColumn("_s", F.col("old_shape")).withColumn("_n", F.count("*").over(uniq))
-    ln = loose.filter("old_field is null").withColumn("_s", F.col("new_shape")).withColumn("_n", F.count("*").over(uniq))
-    guess = lo.filter("_n = 1").alias("o").join(
-        ln.filter("_n = 1").alias("n"), (F.col(f"o.{feed}") == F.col(f"n.{feed}")) & (F.col("o.ord") == F.col("n.ord")) & (F.col("o._s") == F.col("n._s")) & ~(F.col("o._known") & F.col("n._known")),
-    ).select(F.col(f"o.{feed}").alias(feed), F.col("o.ord").alias("ord"), F.col("o.old_field").alias("old_field"), F.col("n.new_field").alias("new_field"), F.col("o.old_kind").alias("old_kind"), F.col("n.new_kind").alias("new_kind"))
-    pairs = paired.select(feed, "ord", "old_field", "new_field", "old_kind", "new_kind").unionByName(guess)
-    gone = lo.join(guess.select(feed, "ord", "old_field"), [feed, "ord", "old_field"], "left_anti").select(feed, "ord", F.lit("removed").alias("change"), "old_field", F.lit("").alias("new_field"))
-    came = ln.join(guess.select(feed, "ord", "new_field"), [feed, "ord", "new_field"], "left_anti").select(feed, "ord", F.lit("added").alias("change"), F.lit("").alias("old_field"), "new_field")
-    moves = pairs.select(feed, "ord", F.explode(F.when(F.col("old_kind") != F.col("new_kind"), F.array(F.lit("renamed"), F.lit("retyped"))).otherwise(F.array(F.lit("renamed")))).alias("change"), "old_field", "new_field")
-    out = kept.unionByName(moves).unionByName(gone).unionByName(came)
-    return out.join(files, [feed, "ord"]).select(feed, file_no, "change", "old_field", "new_field")
+    known = F.array(*[F.lit(c) for c in ALIASES])
+    w = Window.partitionBy(feed, "_file", "_shape")
+    named = named.withColumns({"_open": open_, "_shape": F.when(open_, either["shape"])})
+    named = named.withColumns({
+        "_o": F.sum(F.when(F.col("_open") & F.col("new").isNull(), 1).otherwise(0)).over(w),
+        "_n": F.sum(F.when(F.col("_open") & F.col("old").isNull(), 1).otherwise(0)).over(w),
+        "_strange": F.max(F.when(F.col("_open") & ~F.array_contains(known, either["canonical"]), 1).otherwise(0)).over(w),
+    })
+    pair = F.col("_open") & F.col("_shape").isNotNull() & (F.col("_o") == 1) & (F.col("_n") == 1) & (F.col("_strange") == 1)
+    matched = meet(named, F.when(pair, F.concat_ws("\u0001", F.lit("s"), F.col("_shape"))).otherwise(own))
+    change = F.filter(F.array(
+        F.when(F.col("old").isNull(), "added"), F.when(F.col("new").isNull(), "removed"),
+        F.when(F.col("old.field") != F.col("new.field"), "renamed"), F.when(F.col("old.kind") != F.col("new.kind"), "retyped"),
+    ), lambda x: x.isNotNull())
+    return matched.select(feed, F.col("_file").alias(file_no), F.explode(change).alias("change"), F.coalesce("old.field", F.lit("")).alias("old_field"), F.coalesce("new.field", F.lit("")).alias("new_field"))
 
 
 def consistent_rows(rows: DataFrame, keep: list[str], record: str = "record", aliases: dict[str, tuple[str, ...]] = ALIASES) -> DataFrame:
