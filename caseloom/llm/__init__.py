@@ -1,0 +1 @@
+"""Operators for building training corpora; nothing outside this package imports it."""
