@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import survivors, truncation
+from caseloom.llm import addresses, survivors, truncation
 from caseloom.session import table
 
 CUT_FIELDS = ["CauseA", "CauseOther", "Race"]
 KEPT_FIELDS = ["CauseA", "DeathAddress"]
+ADDRESSES = [("DeathAddress", "DeathCity", "DeathZip"), ("EventAddress", "EventCity", "EventZip")]
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return addresses.same_location_pairs(table(spark, d, "consensus"), ADDRESSES)
 
 
 def _cut(spark: SparkSession, d: str, fields: list[str]) -> DataFrame:
@@ -35,5 +40,5 @@ def p7_records(spark: SparkSession, d: str) -> DataFrame:
     return _survivors(spark, d, ["CauseA", "CauseOther", "DeathAddress", "DeathCity", "DeathZip", "Mode", "Race", "Gender", "FirstName", "LastName"])
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_by_source, p7_found, p7_records)}
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_by_source, p7_found, p7_records)}
 ORACLE: dict[str, str] = {}

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.values import is_missing
 
-MIN_INSIDE = 3
-MAX_END_SHARE = 0.2
+END_SHARE = 0.35  # share of a usual ending's occurrences that end a text
+CUT_SHARE = 0.03  # share of a passage's occurrences that are cut in it
+CUT_PRIOR = 0.06  # share of texts that are cut at all
 TOKEN = r"[\p{L}\p{N}'.-]*[\p{L}\p{N}]|[^\p{L}\p{N}\s]"
 MARK = r"\s*(?:…|\.\.+|(?<=[\p{L}\p{N}])-)\s*$"
 
@@ -17,17 +20,21 @@ def _tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({TOKEN})"), F.lit(1))
 
 
-def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", source: str = "source_file", min_inside: int = MIN_INSIDE, max_end_share: float = MAX_END_SHARE) -> DataFrame:
+def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", source: str = "source_file", end_share: float = END_SHARE, cut_share: float = CUT_SHARE, cut_prior: float = CUT_PRIOR) -> DataFrame:
     """``(row_id, field, value, why)``: values whose end was lost.
 
     Word trigrams (padded at the start, last word also as a fragment of longer
     words) are counted inside texts and at their ends, over all rows. A value is
-    cut if its final trigram goes on at least ``min_inside`` times and ends a
-    text in at most ``max_end_share`` of its occurrences. The same counts are
-    kept for the whole text as context: where that has been seen to go on
-    ``min_inside`` times it decides instead, since it tells ``ACUTE A AND B``
-    (goes on with TOXICITY) from ``EFFECTS OF A AND B`` (ends). Ends in the
-    value's own source don't count, so a source that cuts every long value
+    cut if its final trigram is frequent inside texts but almost never ends one:
+    with ``on`` occurrences that go on and ``ends`` that end, the odds of a cut
+    (ends at rate ``cut_share``, prior ``cut_prior``) against a usual ending
+    (rate ``end_share``) must favour the cut. The same counts are kept for the
+    whole text as context, which tells ``ACUTE A AND B`` (goes on with TOXICITY)
+    from ``EFFECTS OF A AND B`` (ends): where it speaks for a usual ending, the
+    trigram can't overrule it. A last word that stands nowhere else as a whole
+    word but begins longer ones is taken for a fragment: its prior is even, and
+    where neither context was ever seen to go on or to end elsewhere the word alone decides. Ends in
+    the value's own source don't count, so a source that cuts every long value
     can't make its own cuts look usual.
 
     Texts that carry a mark of omission (``...``, an ellipsis, a dangling
@@ -61,29 +68,40 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
         F.concat_ws(" ", F.slice(pad, F.lit(1), i + 2)).alias("all"),
         F.get(pad, i + 2).alias("word"), (i == n - 1).alias("last")))
     words = toks.filter("_why is null").select("field", "count", F.explode(pos).alias("_p"))
-    types = words.groupBy("field", F.col("_p.tri").alias("tri"), F.col("_p.all").alias("all"), F.col("_p.word").alias("word")).agg(
+    types = words.groupBy("field", F.col("_p.tri").alias("tri"), F.col("_p.all").alias("all"), F.lit("").alias("uni"), F.col("_p.word").alias("word")).agg(
         F.sum("count").alias("n"), F.sum(F.when(F.col("_p.last"), F.col("count")).otherwise(0)).alias("ends"))
 
     def inside(ctx: str) -> DataFrame:
         """How often each fragment goes on after its context: as part of a longer word, or as a word with more to come."""
         t = types.groupBy("field", F.col(ctx).alias("ctx"), "word").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
         frag = F.transform(F.sequence(F.lit(1), F.length("word")), lambda k: F.struct(
-            F.substring(F.col("word"), F.lit(1), k).alias("frag"), F.when(k == F.length("word"), F.col("n") - F.col("ends")).otherwise(F.col("n")).alias("on")))
-        return t.select("field", "ctx", F.explode(frag).alias("_f")).groupBy("field", "ctx", F.col("_f.frag").alias("frag")).agg(F.sum("_f.on").alias("on")).filter("on > 0")
+            F.substring(F.col("word"), F.lit(1), k).alias("frag"), F.when(k == F.length("word"), F.col("n") - F.col("ends")).otherwise(F.col("n")).alias("on"),
+            F.when(k == F.length("word"), F.lit(0)).otherwise(F.col("n")).alias("longer")))
+        return t.select("field", "ctx", F.explode(frag).alias("_f")).groupBy("field", "ctx", F.col("_f.frag").alias("frag")).agg(F.sum("_f.on").alias("on"), F.sum("_f.longer").alias("longer")).filter("on > 0")
 
     last = toks.withColumn("frag", F.element_at("_t", -1)).withColumns({"tri": F.concat_ws(" ", F.slice(pad, n, 2)), "all": F.concat_ws(" ", F.slice(pad, F.lit(1), n + 1))})
 
     def judged(rows: DataFrame, ctx: str) -> DataFrame:
         own = rows.groupBy("field", F.col(ctx).alias("ctx"), "frag", "_src").agg(F.sum("count").alias("own"))
         both = own.groupBy("field", "ctx", "frag").agg(F.sum("own").alias("ends"), F.collect_list(F.struct("_src", "own")).alias("_by"))
-        seen = both.join(inside(ctx), ["field", "ctx", "frag"]).select("field", "ctx", "frag", "on", "ends", F.explode("_by").alias("_b"))
-        other = F.col("ends") - F.col("_b.own")
-        return seen.select("field", F.col("ctx").alias(ctx), "frag", F.col("_b._src").alias("_src"), F.col("on").alias(f"on_{ctx}"), (other / (other + F.col("on"))).alias(f"share_{ctx}"))
-
-    plain = last.filter("_why is null")
-    j = plain.join(judged(plain, "all"), ["field", "all", "frag", "_src"], "left").join(judged(plain, "tri"), ["field", "tri", "frag", "_src"], "left")
-    whole = F.coalesce(F.col("on_all"), F.lit(0)) >= min_inside
-    cut = F.when(whole, F.col("share_all") <= max_end_share).otherwise((F.coalesce(F.col("on_tri"), F.lit(0)) >= min_inside) & (F.col("share_tri") <= max_end_share))
+        seen = both.join(inside(ctx), ["field", "ctx", "frag"], "left").select("field", "ctx", "frag", "on", "longer", "ends", F.explode("_by").alias("_b"))
+        return seen.select("field", F.col("ctx").alias(ctx), "frag", F.col("_b._src").alias("_src"), F.col("on").alias(f"on_{ctx}"), F.col("longer").alias(f"longer_{ctx}"), (F.col("ends") - F.col("_b.own")).alias(f"ends_{ctx}"))
+
+    plain = last.filter("_why is null").withColumn("uni", F.lit(""))
+    j = plain
+    for ctx in ("all", "tri", "uni"):
+        j = j.join(judged(plain, ctx), ["field", ctx, "frag", "_src"], "left")
+    per_end, per_on = math.log(cut_share / end_share), math.log((1 - cut_share) / (1 - end_share))
+    fragment = F.coalesce((F.col("longer_uni") >= 3) & (F.col("on_uni") - F.col("longer_uni") <= 0.02 * F.col("longer_uni")), F.lit(False))
+    prior = F.when(fragment, 0.0).otherwise(math.log(cut_prior / (1 - cut_prior)))
+
+    def odds(ctx: str) -> Column:
+        return F.coalesce(F.col(f"ends_{ctx}"), F.lit(0)) * per_end + F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) * per_on + prior
+
+    seen = lambda ctx: F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) > 0
+    fresh = (F.col("ends_all") == 0) & (F.col("ends_tri") == 0)
+    alone = fragment & fresh & ~seen("all") & ~seen("tri") & (odds("uni") > 0)
+    cut = (seen("all") & (odds("all") > 0)) | (seen("tri") & (odds("tri") > 0) & (odds("all") > prior + per_end)) | alone
     by_count = j.filter(cut).select("field", "_src", "_text", F.lit("trigram").alias("why"))
     by_form = texts.filter("_why is not null").select("field", "_src", "_text", F.col("_why").alias("why"))
     found = by_count.unionByName(by_form)
