@@ -7,6 +7,8 @@ of UTC (null if no zone is written).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ _FIG = rf"^([0-9]{{1,2}})[/.]([0-9]{{1,2}})[/.]([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _DMON = rf"^([0-9]{{1,2}})[- ]([A-Z]{{3,9}})[-, ]+([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _MOND = rf"^([A-Z]{{3,9}})\.? ([0-9]{{1,2}}),? ([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _DIGITS = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+_NO_TIME = "()()()()()"  # empty groups where the other patterns have the time
 _CLOCK = r"^([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,][0-9]+)?)? ?((?:[AP]\.?M\.?)?) ?(Z|[A-Z]{3,4}|[+-][0-9]{2}:?[0-9]{2})?$"
 _MILITARY = r"^([0-9]{1,2})([0-9]{2}) ?(?:HRS?|HOURS?|H)?\.? ?(Z|[A-Z]{3,4}|[+-][0-9]{2}:?[0-9]{2})?$"
 
@@ -42,12 +45,6 @@ def _day(y: Column, m: Column, d: Column) -> Column:
     return F.unix_date(F.try_to_date(F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string")), "y-M-d"))
 
 
-def _full_year(y: Column, digits: Column, received_year: Column, before: Column) -> Column:
-    """Two-digit years lie in the hundred years before the row was received."""
-    y2 = F.floor(received_year / 100).cast("int") * 100 + y
-    return F.when(F.length(digits) == 4, y).otherwise(F.when(before(y2), y2).otherwise(y2 - 100))
-
-
 def _offset(z: Column) -> Column:
     sign = F.when(z.startswith("-"), -1).otherwise(1)
     num = sign * (F.substring(z, 2, 2).try_cast("int") * 60 + F.substring(F.regexp_replace(z, ":", ""), 4, 2).try_cast("int"))
@@ -62,13 +59,25 @@ def _clock(h: Column, m: Column, s: Column, half: Column) -> Column:
     return F.when((m < 60) & (F.coalesce(s, F.lit(0)) < 60) & (sec <= 86400), sec)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` bound to a variable: evaluated and written into the plan once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _reading(notation: str, day: Column, sec: Column | None = None, off: Column | None = None) -> Column:
+    none = F.lit(None).cast("int")
+    return F.struct(F.lit(notation).alias("notation"), day.cast("int").alias("day"), (none if sec is None else sec.cast("int")).alias("seconds"), (none if off is None else off.cast("int")).alias("offset"))
+
+
 def _timed(notation: str, s: Column, pattern: str, day: Column) -> Column:
-    has = F.regexp_extract(s, pattern, 4) != ""
-    sec = F.when(has, _clock(_n(s, pattern, 4), _n(s, pattern, 5), _n(s, pattern, 6), F.regexp_extract(s, pattern, 7)))
-    zone = F.regexp_extract(s, pattern, 8)
-    off = F.when(zone != "", _offset(zone))
-    ok = day.isNotNull() & (~has | sec.isNotNull()) & ((zone == "") | off.isNotNull())
-    return F.when(ok, F.struct(F.lit(notation).alias("notation"), day.alias("day"), sec.alias("seconds"), off.alias("offset")))
+    """A reading with whatever time and zone the pattern found; null if a part is invalid."""
+    parts = F.struct(
+        day.alias("day"), (F.regexp_extract(s, pattern, 4) != "").alias("has"),
+        _clock(_n(s, pattern, 4), _n(s, pattern, 5), _n(s, pattern, 6), F.regexp_extract(s, pattern, 7)).alias("sec"),
+        F.regexp_extract(s, pattern, 8).alias("zone"))
+    return let(parts, lambda p: let(F.when(p["zone"] != "", _offset(p["zone"])), lambda off: F.when(
+        p["day"].isNotNull() & (~p["has"] | p["sec"].isNotNull()) & ((p["zone"] == "") | off.isNotNull()),
+        _reading(notation, p["day"], F.when(p["has"], p["sec"]), off))))
 
 
 def date_readings(c: Column, received: Column, order: Column) -> Column:
@@ -81,59 +90,62 @@ def date_readings(c: Column, received: Column, order: Column) -> Column:
     milliseconds since 1970 (moments in UTC), whichever their length allows. A
     midnight written with seconds after a blank (``yyyy-mm-dd 00:00:00``) is how
     spreadsheets render a bare date and carries no time. Null, missing or
-    unreadable text gives an empty array.
+    unreadable text (also any of more than 60 characters) gives an empty array.
     """
-    s = _clean(c)
-    ry = F.year(received)
-
-    def year(pattern: str, g: int, m: Column, d: Column) -> Column:
-        y = _n(s, pattern, g)
-        return _full_year(y, F.regexp_extract(s, pattern, g), ry, lambda f: F.coalesce(_day(f, m, d) <= F.unix_date(received.cast("date")), f <= ry))
-
-    iso = _timed("iso", s, _ISO, _day(_n(s, _ISO, 1), _n(s, _ISO, 2), _n(s, _ISO, 3)))
-    iso = F.when(s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$"), F.struct(F.lit("isodate").alias("notation"), iso["day"].alias("day"), F.lit(None).cast("int").alias("seconds"), F.lit(None).cast("int").alias("offset"))).otherwise(iso)
-    a, b = _n(s, _FIG, 1), _n(s, _FIG, 2)
-    mdy, dmy = _day(year(_FIG, 3, a, b), a, b), _day(year(_FIG, 3, b, a), b, a)
-    use_mdy = F.coalesce(order != "dmy", F.lit(True)) | dmy.isNull()
-    use_dmy = (F.coalesce(order != "mdy", F.lit(True)) | mdy.isNull()) & (F.coalesce(mdy != dmy, F.lit(True)) | ~use_mdy)
-    mon = lambda t: F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(t, 1, 3)).cast("int")
-    dm, dd = mon(F.regexp_extract(s, _DMON, 2)), _n(s, _DMON, 1)
-    mm, md = mon(F.regexp_extract(s, _MOND, 1)), _n(s, _MOND, 2)
-    num = s.try_cast("double")
-    serial = F.floor(num).cast("int")
-    frac = F.when(s.contains("."), F.round((num - F.floor(num)) * 86400).cast("int"))
-    secs = F.when(F.length(s) >= 12, F.floor(num / 1000)).otherwise(num).cast("long")
-
-    def plain(notation: str, day: Column, sec: Column | None = None, off: Column | None = None) -> Column:
-        none = F.lit(None).cast("int")
-        return F.struct(F.lit(notation).alias("notation"), day.cast("int").alias("day"), (none if sec is None else sec.cast("int")).alias("seconds"), (none if off is None else off.cast("int")).alias("offset"))
-
-    digits = _day(_n(s, _DIGITS, 1), _n(s, _DIGITS, 2), _n(s, _DIGITS, 3))
-    # Day 0 of spreadsheet serials is 1899-12-30, 25,569 days before 1970.
-    return F.when(F.length(s) > 60, F.array().cast(f"array<{READING}>")).otherwise(F.array_compact(
-        F.array(
-            F.when(s.rlike(_ISO), iso),
-            F.when(s.rlike(_FIG) & use_mdy, _timed("mdy", s, _FIG, mdy)),
-            F.when(s.rlike(_FIG) & use_dmy, _timed("dmy", s, _FIG, dmy)),
-            F.when(s.rlike(_DMON) & (dm > 0), _timed("dmon", s, _DMON, _day(year(_DMON, 3, dm, dd), dm, dd))),
-            F.when(s.rlike(_MOND) & (mm > 0), _timed("mond", s, _MOND, _day(year(_MOND, 3, mm, md), mm, md))),
-            F.when(s.rlike(_DIGITS) & digits.isNotNull(), plain("ymd", digits)),
-            F.when(s.rlike(r"^[0-9]{4,5}(\.[0-9]+)?$") & (num >= 3000), plain("serial", serial - 25569, frac)),
-            F.when(s.rlike(r"^([0-9]{9,10}|[0-9]{12,13})$"), plain("epoch", F.floor(secs / 86400), F.pmod(secs, F.lit(86400)), F.lit(0))),
-        ).cast(f"array<{READING}>")
-    ))
+    by = F.unix_date(received.cast("date"))
+    empty = F.array().cast(f"array<{READING}>")
+
+    def year(s: Column, pattern: str, g: int, m: Column, d: Column) -> Column:
+        return let(F.regexp_extract(s, pattern, g), lambda y: let(F.floor(F.year(received) / 100).cast("int") * 100 + y.try_cast("int"), lambda full: F.when(
+            F.length(y) == 4, y.try_cast("int")).when(F.coalesce(_day(full, m, d) <= by, full <= F.year(received)), full).otherwise(full - 100)))
+
+    def iso(s: Column) -> Column:
+        return F.when(s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$"), _timed("isodate", F.regexp_replace(s, " .*", ""), _ISO, _day(_n(s, _ISO, 1), _n(s, _ISO, 2), _n(s, _ISO, 3)))).otherwise(
+            _timed("iso", s, _ISO, _day(_n(s, _ISO, 1), _n(s, _ISO, 2), _n(s, _ISO, 3))))
+
+    def figures(s: Column) -> Column:
+        parts = F.struct(_n(s, _FIG, 1).alias("a"), _n(s, _FIG, 2).alias("b"))
+        days = let(parts, lambda p: F.struct(_day(year(s, _FIG, 3, p["a"], p["b"]), p["a"], p["b"]).alias("mdy"), _day(year(s, _FIG, 3, p["b"], p["a"]), p["b"], p["a"]).alias("dmy")))
+
+        def both(d: Column) -> Column:
+            use_mdy = F.coalesce(order != "dmy", F.lit(True)) | d["dmy"].isNull()
+            use_dmy = (F.coalesce(order != "mdy", F.lit(True)) | d["mdy"].isNull()) & (F.coalesce(d["mdy"] != d["dmy"], F.lit(True)) | ~use_mdy)
+            return F.array(F.when(use_mdy, _timed("mdy", s, _FIG, d["mdy"])), F.when(use_dmy, _timed("dmy", s, _FIG, d["dmy"])))
+
+        return let(days, both)
+
+    def worded(s: Column, notation: str, pattern: str, month: int, day: int) -> Column:
+        m = F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(F.regexp_extract(s, pattern, month), 1, 3)).cast("int")
+        return let(F.struct(m.alias("m"), _n(s, pattern, day).alias("d")), lambda p: _timed(notation, s, pattern, _day(year(s, pattern, 3, p["m"], p["d"]), p["m"], p["d"])))
+
+    def number(s: Column) -> Column:
+        num = s.try_cast("double")
+        day0 = F.floor(num).cast("int") - 25569  # day 0 of spreadsheet serials is 1899-12-30
+        frac = F.when(s.contains("."), F.round((num - F.floor(num)) * 86400).cast("int"))
+        secs = F.when(F.length(s) >= 12, F.floor(num / 1000)).otherwise(num).cast("long")
+        return F.when(s.rlike(_DIGITS), _timed("ymd", s, _DIGITS + _NO_TIME, _day(_n(s, _DIGITS, 1), _n(s, _DIGITS, 2), _n(s, _DIGITS, 3)))).when(
+            s.rlike(r"^[0-9]{4,5}(\.[0-9]+)?$") & (num >= 3000), _reading("serial", day0, frac)).when(
+            s.rlike(r"^([0-9]{9,10}|[0-9]{12,13})$"), _reading("epoch", F.floor(secs / 86400), F.pmod(secs, F.lit(86400)), F.lit(0)))
+
+    def read(s: Column) -> Column:
+        return F.when(F.length(s) > 60, empty).when(s.rlike(_ISO), F.array(iso(s))).when(s.rlike(_FIG), figures(s)).when(
+            s.rlike(_DMON), F.array(worded(s, "dmon", _DMON, 2, 1))).when(s.rlike(_MOND), F.array(worded(s, "mond", _MOND, 1, 2))).when(
+            s.rlike(r"^[0-9.]+$"), F.array(number(s))).otherwise(empty)
+
+    return F.coalesce(F.array_compact(let(_clean(c), read)), empty)
 
 
 def time_reading(c: Column) -> Column:
     """``struct(seconds, offset)`` of a written time of day, null where missing or unreadable."""
-    s = _clean(c)
-    zone = lambda p, g: F.regexp_extract(s, p, g)
-    a = _clock(_n(s, _CLOCK, 1), _n(s, _CLOCK, 2), _n(s, _CLOCK, 3), F.regexp_extract(s, _CLOCK, 4))
-    b = _clock(_n(s, _MILITARY, 1), _n(s, _MILITARY, 2), F.lit(None).cast("int"), F.lit(""))
-    sec = F.when(s.rlike(_CLOCK), a).when(s.rlike(_MILITARY), b)
-    z = F.when(s.rlike(_CLOCK), zone(_CLOCK, 5)).when(s.rlike(_MILITARY), zone(_MILITARY, 3))
-    off = F.when(z != "", _offset(z))
-    return F.when(sec.isNotNull() & ((z == "") | off.isNotNull()), F.struct(sec.alias("seconds"), off.alias("offset")))
+    def read(s: Column) -> Column:
+        a = _clock(_n(s, _CLOCK, 1), _n(s, _CLOCK, 2), _n(s, _CLOCK, 3), F.regexp_extract(s, _CLOCK, 4))
+        b = _clock(_n(s, _MILITARY, 1), _n(s, _MILITARY, 2), F.lit(None).cast("int"), F.lit(""))
+        z = F.when(s.rlike(_CLOCK), F.regexp_extract(s, _CLOCK, 5)).when(s.rlike(_MILITARY), F.regexp_extract(s, _MILITARY, 3))
+        parts = F.struct(F.when(s.rlike(_CLOCK), a).when(s.rlike(_MILITARY), b).alias("seconds"), z.alias("zone"))
+        return let(parts, lambda p: let(F.when(p["zone"] != "", _offset(p["zone"])), lambda off: F.when(
+            p["seconds"].isNotNull() & ((p["zone"] == "") | off.isNotNull()), F.struct(p["seconds"].alias("seconds"), off.alias("offset")))))
+
+    return let(_clean(c), read)
 
 
 def to_utc_seconds(local: Column, offset: Column, zone: Column) -> Column:
@@ -141,9 +153,9 @@ def to_utc_seconds(local: Column, offset: Column, zone: Column) -> Column:
 
     A written ``offset`` wins; otherwise ``zone`` names the rules to apply.
     """
-    at = lambda x: F.timestamp_seconds(x)
-    utc = F.to_utc_timestamp(at(local), zone).cast("long")
-    back = lambda u: F.from_utc_timestamp(at(u), zone).cast("long")
-    skipped = back(utc) != local
-    repeated = (back(utc - 3600) == local) | (back(utc + 3600) == local)
-    return F.when(offset.isNotNull(), local - offset * 60).when(~skipped & ~repeated, utc)
+    def ruled(x: Column) -> Column:
+        back = lambda u: F.from_utc_timestamp(F.timestamp_seconds(u), zone).cast("long")
+        return let(F.to_utc_timestamp(F.timestamp_seconds(x), zone).cast("long"), lambda u: F.when(
+            (back(u) == x) & (back(u - 3600) != x) & (back(u + 3600) != x), u))
+
+    return F.when(offset.isNotNull(), local - offset * 60).otherwise(let(local, ruled))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.timeparse import date_readings, time_reading, to_utc_seconds
+from caseloom.session import cut
 
 SWITCH_COST = 1.0
 BACK_COST = 0.5
@@ -59,13 +60,16 @@ def _decode(names: list, days: list, first: int, last: int, back: float) -> list
     return path[::-1]
 
 
-def choose_readings(df: DataFrame, source: str, order: list[str], key: str, readings: str, back_cost: float = BACK_COST, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def choose_readings(df: DataFrame, source: str, order: list[str], key: str, readings: str, back_cost: float = BACK_COST, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
     """``(key, choice)`` for every row of a source that has some ambiguous value.
 
     ``choice`` is the index into the array ``readings``; rows not listed have at
-    most one reading. Rows with an empty array are left out. ``order`` sorts the
+    most one reading. None if no row has more than one: every path is then the
+    only one. Rows with an empty array are left out. ``order`` sorts the
     records of a source and must be a total order (its first column a timestamp).
     """
+    if df.filter(F.size(readings) > 1).isEmpty():
+        return None
     open_sources = df.filter(F.size(readings) > 1).select(source).distinct()
     rows = (
         df.filter(F.size(readings) > 0).join(open_sources, source, "left_semi")
@@ -141,10 +145,14 @@ def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id",
         "_dr": date_readings(F.col(date), F.col(received), F.col("_order")),
         "_br": date_readings(F.col(birth), F.col(received), F.col("_order")),
     })
+    r = cut(r)
     slim = r.select(key, source, received, "_dr", "_br")
     for col, back, name in (("_dr", BACK_COST, "_dc"), ("_br", 0.0, "_bc")):
-        picked = choose_readings(slim, source, [received, key], key, col, back).withColumnRenamed("choice", name)
-        r = r.join(picked, key, "left")
+        picked = choose_readings(slim, source, [received, key], key, col, back)
+        if picked is None:
+            r = r.withColumn(name, F.lit(0))
+        else:
+            r = r.join(picked.withColumnRenamed("choice", name), key, "left")
     d, b, t = _pick(F.col("_dr"), F.col("_dc")), _pick(F.col("_br"), F.col("_bc")), time_reading(F.col(time))
     r = r.withColumns({"_d": d, "_b": b, "_t": t})
     sec = F.coalesce(F.col("_d.seconds"), F.col("_t.seconds"))

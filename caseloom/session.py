@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,3 +31,19 @@ def build_session(app: str = "caseloom", master: str | None = None, **extra: str
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared checkpoint folder and read back.
+
+    Cuts lineage and plan size where a costly table feeds several branches. The
+    folder is ``spark.checkpoint.dir`` of the session; only where none is set (a
+    local session, as in tests) a temporary one is used.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = sc.getConf().get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="caseloom-"))
+    return df.checkpoint()
