@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.values import is_missing
+from caseloom.session import cut
 
 WINDOW = 12
 
@@ -148,7 +149,7 @@ def locations(written: DataFrame, window: int = WINDOW) -> DataFrame:
     full = reduce(lambda a, b: a + b, [(F.col(c) != "").cast("int") for c in ("d1", "t1", "d2", "t2", "pcity", "pzip")])
     t = t.withColumns({"f1": F.coalesce("f1", F.lit(0)), "f2": F.coalesce("f2", F.lit(0))})
     me = F.struct(*PARTS, "f1", "f2", F.struct((F.col("f1") + F.col("f2")).alias("f"), full.alias("full"), "cnt").alias("rank"), F.concat_ws("|", *PARTS).alias("key"))
-    t = t.select(me.alias("a"))
+    t = cut(t.select(me.alias("a")))
     street = F.concat_ws("|", "a.n1", "a.n2")
     passes = (
         ([F.substring("a.n1", 1, 2)], [street, F.col("a.t1"), F.col("a.d1"), F.col("a.pcity"), F.col("a.key")]),
@@ -183,7 +184,7 @@ def same_location_pairs(df: DataFrame, groups: list[tuple[str, str, str]], windo
     number or a crossing have no location. Repeated rows, null cities and codes
     are harmless; an empty table gives no rows.
     """
-    parsed = parse_addresses(written_addresses(df, groups)).filter(F.col("kind").isNotNull())
+    parsed = cut(parse_addresses(written_addresses(df, groups)).filter(F.col("kind").isNotNull()))
     loc = locations(parsed, window)
     a, b = loc.select(F.col("written").alias("address_a"), "location"), loc.select(F.col("written").alias("address_b"), "location")
     return a.join(b, "location").filter("address_a < address_b").select("address_a", "address_b")
