@@ -3,12 +3,14 @@
 A reading is a struct ``(notation, day, seconds, offset)``: days since
 1970-01-01, seconds of the day (null if the text has no time) and minutes east
 of UTC (null if no zone is written).
+
+The expressions are composed as SQL text, with ``transform`` over one-element
+arrays to bind what is used more than once: the plan holds each part once and
+the driver parses one string instead of building thousands of columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,56 +34,72 @@ _CLOCK = r"^([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,][0-9]+)?)? ?((?:[AP]\.?M
 _MILITARY = r"^([0-9]{1,2})([0-9]{2}) ?(?:HRS?|HOURS?|H)?\.? ?(Z|[A-Z]{3,4}|[+-][0-9]{2}:?[0-9]{2})?$"
 
 
-def _n(s: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(s, pattern, group).try_cast("int")
 
 
-def _clean(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.upper(c), r"[\s ]+", " "))
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``value`` bound to ``name``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _day(y: Column, m: Column, d: Column) -> Column:
-    """Days since 1970, null where the parts are no date."""
-    return F.unix_date(F.try_to_date(F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string")), "y-M-d"))
+def _q(pattern: str) -> str:
+    return "r'" + pattern.replace("'", "") + "'"
 
 
-def _offset(z: Column) -> Column:
-    sign = F.when(z.startswith("-"), -1).otherwise(1)
-    num = sign * (F.substring(z, 2, 2).try_cast("int") * 60 + F.substring(F.regexp_replace(z, ":", ""), 4, 2).try_cast("int"))
-    named = F.coalesce(*[F.when(z == k, F.lit(v)) for k, v in ZONES.items()])
-    return F.when(z.rlike(r"^[+-]"), num).otherwise(named)
+def _x(s: str, pattern: str, group: int) -> str:
+    return f"regexp_extract({s}, {_q(pattern)}, {group})"
 
 
-def _clock(h: Column, m: Column, s: Column, half: Column) -> Column:
-    """Seconds of the day; 24:00 is the end of the day; null where the parts are no time."""
-    h12 = F.when((half != "") & (h <= 12), F.pmod(h, F.lit(12)) + F.when(half.startswith("P"), 12).otherwise(0)).otherwise(h)
-    sec = h12 * 3600 + m * 60 + F.coalesce(s, F.lit(0))
-    return F.when((m < 60) & (F.coalesce(s, F.lit(0)) < 60) & (sec <= 86400), sec)
+def _n(s: str, pattern: str, group: int) -> str:
+    return f"cast(nullif({_x(s, pattern, group)}, '') as int)"
+
+
+def _clean(c: str) -> str:
+    return f"trim(regexp_replace(upper({c}), r'[\\s\u00a0]+', ' '))"
+
+
+def _day(y: str, m: str, d: str) -> str:
+    """Days since 1970, null where the parts are no date (by arithmetic: no parser, no caught exceptions)."""
+    return _let(f"struct({y} as y, {m} as m, {d} as d)", "ymd", (
+        "case when ymd.y between 1 and 9999 and ymd.m between 1 and 12 and ymd.d between 1 and "
+        "case when ymd.m = 2 then if(ymd.y % 4 = 0 and (ymd.y % 100 <> 0 or ymd.y % 400 = 0), 29, 28) when ymd.m in (4, 6, 9, 11) then 30 else 31 end "
+        "then unix_date(make_date(ymd.y, ymd.m, ymd.d)) end"))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` bound to a variable: evaluated and written into the plan once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _year(digits: str, m: str, d: str, received: str) -> str:
+    """The year of two or four digits; two-digit years lie in the hundred years before the row was received."""
+    full = f"(cast(floor(year({received}) / 100) as int) * 100 + cast(yy as int))"
+    return _let(digits, "yy", f"case when length(yy) = 4 then cast(yy as int) when yy <> '' then if(coalesce({_day(full, m, d)} <= unix_date(cast({received} as date)), {full} <= year({received})), {full}, {full} - 100) end")
 
 
-def _reading(notation: str, day: Column, sec: Column | None = None, off: Column | None = None) -> Column:
-    none = F.lit(None).cast("int")
-    return F.struct(F.lit(notation).alias("notation"), day.cast("int").alias("day"), (none if sec is None else sec.cast("int")).alias("seconds"), (none if off is None else off.cast("int")).alias("offset"))
+def _offset(z: str) -> str:
+    named = ", ".join(f"'{k}', {v}" for k, v in ZONES.items())
+    return (
+        f"case when {z} = '' then cast(null as int) when {z} rlike '^[+-]' then if({z} like '-%', -1, 1) * "
+        f"(cast(substr({z}, 2, 2) as int) * 60 + cast(substr(replace({z}, ':', ''), 4, 2) as int)) else try_element_at(map({named}), {z}) end")
 
 
-def _timed(notation: str, s: Column, pattern: str, day: Column) -> Column:
+def _clock(h: str, m: str, sec: str, half: str) -> str:
+    """Seconds of the day; 24:00 is the end of the day; null where the parts are no time."""
+    return _let(f"struct({h} as h, {m} as m, coalesce({sec}, 0) as s, {half} as half)", "hms", _let(
+        "(if(hms.half <> '' and hms.h <= 12, pmod(hms.h, 12) + if(hms.half like 'P%', 12, 0), hms.h) * 3600 + hms.m * 60 + hms.s)", "tot",
+        "case when hms.m < 60 and hms.s < 60 and tot <= 86400 then tot end"))
+
+
+def _reading(notation: str, day: str, sec: str = "null", off: str = "null") -> str:
+    return f"named_struct('notation', '{notation}', 'day', cast({day} as int), 'seconds', cast({sec} as int), 'offset', cast({off} as int))"
+
+
+def _timed(notation: str, s: str, pattern: str, day: str) -> str:
     """A reading with whatever time and zone the pattern found; null if a part is invalid."""
-    parts = F.struct(
-        day.alias("day"), (F.regexp_extract(s, pattern, 4) != "").alias("has"),
-        _clock(_n(s, pattern, 4), _n(s, pattern, 5), _n(s, pattern, 6), F.regexp_extract(s, pattern, 7)).alias("sec"),
-        F.regexp_extract(s, pattern, 8).alias("zone"))
-    return let(parts, lambda p: let(F.when(p["zone"] != "", _offset(p["zone"])), lambda off: F.when(
-        p["day"].isNotNull() & (~p["has"] | p["sec"].isNotNull()) & ((p["zone"] == "") | off.isNotNull()),
-        _reading(notation, p["day"], F.when(p["has"], p["sec"]), off))))
+    parts = (
+        f"struct({day} as day, {_x(s, pattern, 4)} <> '' as has, {_clock(_n(s, pattern, 4), _n(s, pattern, 5), _n(s, pattern, 6), _x(s, pattern, 7))} as sec, {_x(s, pattern, 8)} as zone)")
+    return _let(parts, "p", _let(_offset("p.zone"), "zo", (
+        "case when p.day is not null and (not p.has or p.sec is not null) and (p.zone = '' or zo is not null) "
+        f"then {_reading(notation, 'p.day', 'if(p.has, p.sec, null)', 'zo')} end")))
 
 
-def date_readings(c: Column, received: Column, order: Column) -> Column:
-    """All valid readings of a written date (with or without time and zone).
+def date_readings(c: str, received: str, order: str) -> Column:
+    """All valid readings of a written date (with or without time and zone). The arguments are SQL expressions.
 
     ``order`` is the source's declared order of figures-only dates (``mdy`` or
     ``dmy``); where it is declared and gives a date, the other order is no valid
@@ -92,70 +110,49 @@ def date_readings(c: Column, received: Column, order: Column) -> Column:
     spreadsheets render a bare date and carries no time. Null, missing or
     unreadable text (also any of more than 60 characters) gives an empty array.
     """
-    by = F.unix_date(received.cast("date"))
-    empty = F.array().cast(f"array<{READING}>")
-
-    def year(s: Column, pattern: str, g: int, m: Column, d: Column) -> Column:
-        return let(F.regexp_extract(s, pattern, g), lambda y: let(F.floor(F.year(received) / 100).cast("int") * 100 + y.try_cast("int"), lambda full: F.when(
-            F.length(y) == 4, y.try_cast("int")).when(F.coalesce(_day(full, m, d) <= by, full <= F.year(received)), full).otherwise(full - 100)))
-
-    def iso(s: Column) -> Column:
-        return F.when(s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$"), _timed("isodate", F.regexp_replace(s, " .*", ""), _ISO, _day(_n(s, _ISO, 1), _n(s, _ISO, 2), _n(s, _ISO, 3)))).otherwise(
-            _timed("iso", s, _ISO, _day(_n(s, _ISO, 1), _n(s, _ISO, 2), _n(s, _ISO, 3))))
-
-    def figures(s: Column) -> Column:
-        parts = F.struct(_n(s, _FIG, 1).alias("a"), _n(s, _FIG, 2).alias("b"))
-        days = let(parts, lambda p: F.struct(_day(year(s, _FIG, 3, p["a"], p["b"]), p["a"], p["b"]).alias("mdy"), _day(year(s, _FIG, 3, p["b"], p["a"]), p["b"], p["a"]).alias("dmy")))
-
-        def both(d: Column) -> Column:
-            use_mdy = F.coalesce(order != "dmy", F.lit(True)) | d["dmy"].isNull()
-            use_dmy = (F.coalesce(order != "mdy", F.lit(True)) | d["mdy"].isNull()) & (F.coalesce(d["mdy"] != d["dmy"], F.lit(True)) | ~use_mdy)
-            return F.array(F.when(use_mdy, _timed("mdy", s, _FIG, d["mdy"])), F.when(use_dmy, _timed("dmy", s, _FIG, d["dmy"])))
-
-        return let(days, both)
-
-    def worded(s: Column, notation: str, pattern: str, month: int, day: int) -> Column:
-        m = F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(F.regexp_extract(s, pattern, month), 1, 3)).cast("int")
-        return let(F.struct(m.alias("m"), _n(s, pattern, day).alias("d")), lambda p: _timed(notation, s, pattern, _day(year(s, pattern, 3, p["m"], p["d"]), p["m"], p["d"])))
-
-    def number(s: Column) -> Column:
-        num = s.try_cast("double")
-        day0 = F.floor(num).cast("int") - 25569  # day 0 of spreadsheet serials is 1899-12-30
-        frac = F.when(s.contains("."), F.round((num - F.floor(num)) * 86400).cast("int"))
-        secs = F.when(F.length(s) >= 12, F.floor(num / 1000)).otherwise(num).cast("long")
-        return F.when(s.rlike(_DIGITS), _timed("ymd", s, _DIGITS + _NO_TIME, _day(_n(s, _DIGITS, 1), _n(s, _DIGITS, 2), _n(s, _DIGITS, 3)))).when(
-            s.rlike(r"^[0-9]{4,5}(\.[0-9]+)?$") & (num >= 3000), _reading("serial", day0, frac)).when(
-            s.rlike(r"^([0-9]{9,10}|[0-9]{12,13})$"), _reading("epoch", F.floor(secs / 86400), F.pmod(secs, F.lit(86400)), F.lit(0)))
-
-    def read(s: Column) -> Column:
-        return F.when(F.length(s) > 60, empty).when(s.rlike(_ISO), F.array(iso(s))).when(s.rlike(_FIG), figures(s)).when(
-            s.rlike(_DMON), F.array(worded(s, "dmon", _DMON, 2, 1))).when(s.rlike(_MOND), F.array(worded(s, "mond", _MOND, 1, 2))).when(
-            s.rlike(r"^[0-9.]+$"), F.array(number(s))).otherwise(empty)
-
-    return F.coalesce(F.array_compact(let(_clean(c), read)), empty)
-
-
-def time_reading(c: Column) -> Column:
-    """``struct(seconds, offset)`` of a written time of day, null where missing or unreadable."""
-    def read(s: Column) -> Column:
-        a = _clock(_n(s, _CLOCK, 1), _n(s, _CLOCK, 2), _n(s, _CLOCK, 3), F.regexp_extract(s, _CLOCK, 4))
-        b = _clock(_n(s, _MILITARY, 1), _n(s, _MILITARY, 2), F.lit(None).cast("int"), F.lit(""))
-        z = F.when(s.rlike(_CLOCK), F.regexp_extract(s, _CLOCK, 5)).when(s.rlike(_MILITARY), F.regexp_extract(s, _MILITARY, 3))
-        parts = F.struct(F.when(s.rlike(_CLOCK), a).when(s.rlike(_MILITARY), b).alias("seconds"), z.alias("zone"))
-        return let(parts, lambda p: let(F.when(p["zone"] != "", _offset(p["zone"])), lambda off: F.when(
-            p["seconds"].isNotNull() & ((p["zone"] == "") | off.isNotNull()), F.struct(p["seconds"].alias("seconds"), off.alias("offset")))))
-
-    return let(_clean(c), read)
-
-
-def to_utc_seconds(local: Column, offset: Column, zone: Column) -> Column:
+    empty = f"cast(array() as array<{READING}>)"
+    iso_day = _day(_n("s", _ISO, 1), _n("s", _ISO, 2), _n("s", _ISO, 3))
+    iso = f"case when s rlike '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}} 00:00:00$' then {_reading('isodate', iso_day)} else {_timed('iso', 's', _ISO, iso_day)} end"
+    days = _let(f"struct({_n('s', _FIG, 1)} as a, {_n('s', _FIG, 2)} as b, {_x('s', _FIG, 3)} as c)", "f", (
+        f"struct({_day(_year('f.c', 'f.a', 'f.b', received), 'f.a', 'f.b')} as mdy, {_day(_year('f.c', 'f.b', 'f.a', received), 'f.b', 'f.a')} as dmy)"))
+    use_mdy = f"(coalesce({order} <> 'dmy', true) or fd.dmy is null)"
+    use_dmy = f"((coalesce({order} <> 'mdy', true) or fd.mdy is null) and (coalesce(fd.mdy <> fd.dmy, true) or not {use_mdy}))"
+    figures = _let(days, "fd", f"array(if({use_mdy}, {_timed('mdy', 's', _FIG, 'fd.mdy')}, null), if({use_dmy}, {_timed('dmy', 's', _FIG, 'fd.dmy')}, null))")
+
+    def worded(notation: str, pattern: str, month: int, day: int) -> str:
+        names = ", ".join(f"'{m}'" for m in MONTHS)
+        parts = f"struct(cast(array_position(array({names}), substr({_x('s', pattern, month)}, 1, 3)) as int) as m, {_n('s', pattern, day)} as d)"
+        return _let(parts, "md", _timed(notation, "s", pattern, _day(_year(_x("s", pattern, 3), "md.m", "md.d", received), "md.m", "md.d")))
+
+    num = "cast(s as double)"
+    digits = _day(_n("s", _DIGITS, 1), _n("s", _DIGITS, 2), _n("s", _DIGITS, 3))
+    # Day 0 of spreadsheet serials is 1899-12-30.
+    number = (
+        f"case when s rlike {_q(_DIGITS)} then {_let(digits, 'dg', 'if(dg is null, null, ' + _reading('ymd', 'dg') + ')')} "
+        rf"when s rlike r'^[0-9]{{4,5}}(\.[0-9]+)?$' and {num} >= 3000 then {_reading('serial', f'floor({num}) - 25569', f'if(contains(s, chr(46)), round(({num} - floor({num})) * 86400), null)')} "
+        f"when s rlike '^([0-9]{{9,10}}|[0-9]{{12,13}})$' then {_let(f'cast(if(length(s) >= 12, floor({num} / 1000), {num}) as bigint)', 'es', _reading('epoch', 'floor(es / 86400)', 'pmod(es, 86400)', '0'))} end")
+    read = (
+        f"case when length(s) > 60 then {empty} when s rlike {_q(_ISO)} then array({iso}) when s rlike {_q(_FIG)} then {figures} "
+        f"when s rlike {_q(_DMON)} then array({worded('dmon', _DMON, 2, 1)}) when s rlike {_q(_MOND)} then array({worded('mond', _MOND, 1, 2)}) "
+        rf"when s rlike r'^[0-9]+(\.[0-9]+)?$' then array({number}) else {empty} end")
+    return F.expr(f"coalesce(array_compact({_let(_clean(c), 's', read)}), {empty})")
+
+
+def time_reading(c: str) -> Column:
+    """``struct(seconds, offset)`` of a written time of day (an SQL expression), null where missing or unreadable."""
+    clock = f"struct({_clock(_n('s', _CLOCK, 1), _n('s', _CLOCK, 2), _n('s', _CLOCK, 3), _x('s', _CLOCK, 4))} as seconds, {_x('s', _CLOCK, 5)} as zone)"
+    digits = "struct(" + _clock(_n("s", _MILITARY, 1), _n("s", _MILITARY, 2), "0", "''") + f" as seconds, {_x('s', _MILITARY, 3)} as zone)"
+    parts = f"case when s rlike {_q(_CLOCK)} then {clock} when s rlike {_q(_MILITARY)} then {digits} end"
+    done = _let(_offset("p.zone"), "zo", "case when p.seconds is not null and (p.zone = '' or zo is not null) then struct(p.seconds as seconds, zo as offset) end")
+    return F.expr(_let(_clean(c), "s", _let(parts, "p", done)))
+
+
+def to_utc_seconds(local: str, offset: str, zone: str) -> Column:
     """Seconds since 1970 in UTC of a local time; null if a clock change skipped or repeated it.
 
-    A written ``offset`` wins; otherwise ``zone`` names the rules to apply.
+    A written ``offset`` wins; otherwise ``zone`` names the rules to apply. The
+    arguments are SQL expressions.
     """
-    def ruled(x: Column) -> Column:
-        back = lambda u: F.from_utc_timestamp(F.timestamp_seconds(u), zone).cast("long")
-        return let(F.to_utc_timestamp(F.timestamp_seconds(x), zone).cast("long"), lambda u: F.when(
-            (back(u) == x) & (back(u - 3600) != x) & (back(u + 3600) != x), u))
-
-    return F.when(offset.isNotNull(), local - offset * 60).otherwise(let(local, ruled))
+    back = lambda u: f"cast(from_utc_timestamp(timestamp_seconds({u}), {zone}) as bigint)"
+    ruled = _let(f"cast(to_utc_timestamp(timestamp_seconds(l), {zone}) as bigint)", "u", f"case when {back('u')} = l and {back('u - 3600')} <> l and {back('u + 3600')} <> l then u end")
+    return F.expr(_let(local, "l", f"if({offset} is not null, l - {offset} * 60, {ruled})"))

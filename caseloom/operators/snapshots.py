@@ -33,10 +33,14 @@ def snapshot_changes(df: DataFrame, key: str, columns: list[str], dates: tuple[s
     order = Window.orderBy("_no")  # over the list of snapshots, not over rows
     around = keyed.select(F.col(number).alias("_no")).distinct().select("_no", F.lag("_no").over(order).alias("_prev"), F.lead("_no").over(order).alias("_next"))
 
+    kinds = dict(df.dtypes)
+
     def value(c: str):
         col = F.col(f"`{c}`").cast("string")
+        if kinds[c] in ("tinyint", "smallint", "int", "bigint", "boolean"):
+            return F.coalesce(col, F.lit(""))
         if c in dates:
-            day = F.get(date_readings(col, F.col(as_of).cast("timestamp"), F.lit("mdy")), F.lit(0))["day"]
+            day = F.get(date_readings(f"cast(`{c}` as string)", f"`{as_of}`", "'mdy'"), F.lit(0))["day"]
             return F.coalesce(F.date_from_unix_date(day).cast("string"), comparable(col))
         return comparable(col)
 

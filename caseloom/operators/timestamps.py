@@ -142,8 +142,8 @@ def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id",
     """
     about = sources.select(F.col(source), F.col("time_zone").alias("_zone"), F.col("date_order").alias("_order")).dropDuplicates([source])
     r = df.join(about, source, "left").withColumns({
-        "_dr": date_readings(F.col(date), F.col(received), F.col("_order")),
-        "_br": date_readings(F.col(birth), F.col(received), F.col("_order")),
+        "_dr": date_readings(f"`{date}`", f"`{received}`", "_order"),
+        "_br": date_readings(f"`{birth}`", f"`{received}`", "_order"),
     })
     r = cut(r)
     slim = r.select(key, source, received, "_dr", "_br")
@@ -153,19 +153,17 @@ def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id",
             r = r.withColumn(name, F.lit(0))
         else:
             r = r.join(picked.withColumnRenamed("choice", name), key, "left")
-    d, b, t = _pick(F.col("_dr"), F.col("_dc")), _pick(F.col("_br"), F.col("_bc")), time_reading(F.col(time))
+    d, b, t = _pick(F.col("_dr"), F.col("_dc")), _pick(F.col("_br"), F.col("_bc")), time_reading(f"`{time}`")
     r = r.withColumns({"_d": d, "_b": b, "_t": t})
-    sec = F.coalesce(F.col("_d.seconds"), F.col("_t.seconds"))
-    off = F.coalesce(F.col("_d.offset"), F.col("_t.offset"))
-    local = F.col("_d.day").cast("long") * 86400 + sec
-    utc = to_utc_seconds(local, off, F.coalesce(F.col("_zone"), F.lit("UTC")))
+    r = r.withColumns({"_sec": F.coalesce("_d.seconds", "_t.seconds"), "_off": F.coalesce("_d.offset", "_t.offset")})
+    r = r.withColumn("_utc", to_utc_seconds("cast(_d.day as bigint) * 86400 + _sec", "_off", "coalesce(_zone, 'UTC')"))
     return r.withColumns({
-        "moment_utc": F.timestamp_seconds(F.floor(utc / 60) * 60),
-        "moment_status": F.when(F.col("_d").isNull(), "no date").when(sec.isNull(), "no time").when(utc.isNull(), "clock change").otherwise("ok"),
+        "moment_utc": F.timestamp_seconds(F.floor(F.col("_utc") / 60) * 60),
+        "moment_status": F.when(F.col("_d").isNull(), "no date").when(F.col("_sec").isNull(), "no time").when(F.col("_utc").isNull(), "clock change").otherwise("ok"),
         "moment_notation": F.col("_d.notation"),
         "birth_day": F.date_from_unix_date(F.col("_b.day")),
         "birth_notation": F.col("_b.notation"),
-    }).drop("_zone", "_order", "_dr", "_br", "_dc", "_bc", "_d", "_b", "_t")
+    }).drop("_zone", "_order", "_dr", "_br", "_dc", "_bc", "_d", "_b", "_t", "_sec", "_off", "_utc")
 
 
 def disagreements(df: DataFrame, case: str, key: str, fields: dict[str, str]) -> DataFrame:
