@@ -24,7 +24,7 @@ ORDINALS = (
     "FOURTEENTH", "FIFTEENTH", "SIXTEENTH", "SEVENTEENTH", "EIGHTEENTH", "NINETEENTH", "TWENTIETH",
 )
 _UNIT = r"(?:\b(?:UNIT|APT|APARTMENT|STE|SUITE|RM|ROOM|SPC|SPACE|BLDG|FL|FLOOR|LOT|TRLR)\b\.? ?#?|#) ?[A-Z]?[0-9]*-?[A-Z]?\b"
-_LEAD = r"^(?:(?:RESIDENCE|RES|HOME|SCENE|ADDRESS|LOCATION) ?:|C/O [^,]*,|C/O FRONT DESK|(?:AT |THE )*(?:REAR|FRONT|CORNER|SIDE|IN FRONT|INTERSECTION) OF|I/?F/?O|NEAR|BEHIND) ?"
+_LEAD = r"^(?:(?:RESIDENCE|RES|HOME|SCENE|ADDRESS|LOCATION) ?:|C/O [^,]*,|C/O FRONT DESK|(?:AT |THE )*(?:(?:REAR|FRONT|SIDE|IN FRONT) OF|CORNER(?: OF)?|INTERSECTION(?: OF)?)\b|I/?F/?O|NEAR|BEHIND) ?"
 
 
 def _lookup(c: Column, table: dict[str, tuple[str, ...]]) -> Column:
@@ -52,7 +52,7 @@ def _street(s: Column) -> Column:
 
 def _city(c: Column) -> Column:
     s = F.trim(F.regexp_replace(F.regexp_replace(F.upper(c), r"[^\p{L}\p{N} ]", " "), r"\s+", " "))
-    return F.regexp_replace(F.regexp_replace(s, r"^(?:N|NO) ", "NORTH "), r"^(?:S|SO) ", "SOUTH ")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"^(?:N|NO) ", "NORTH "), r"^(?:S|SO) ", "SOUTH "), r"^PT ", "PORT ")
 
 
 def parse_addresses(df: DataFrame, address: str = "address", city: str = "city", zip_code: str = "zip") -> DataFrame:
@@ -143,7 +143,7 @@ def locations(written: DataFrame, window: int = WINDOW) -> DataFrame:
     from joining two streets.
     """
     t = written.groupBy(*PARTS).agg(F.count("*").alias("cnt"))
-    spread = t.select(F.explode(F.array(*[F.struct(F.col(f"n{i}").alias("name"), "num", "pcity") for i in (1, 2)])).alias("_n")).filter("_n.name <> ''").groupBy("_n.name").agg(F.count_distinct("_n.num", "_n.pcity").alias("f"))
+    spread = t.select(F.explode(F.array(*[F.struct(F.col(f"n{i}").alias("name"), "num", "pcity") for i in (1, 2)])).alias("_n")).filter("_n.name <> ''").groupBy("_n.name").agg(F.count_distinct("_n.num", F.when(F.col("_n.num") == "", F.col("_n.pcity")).otherwise("")).alias("f"))
     for i in (1, 2):
         t = t.join(spread.select(F.col("name").alias(f"n{i}"), F.col("f").alias(f"f{i}")), f"n{i}", "left")
     full = reduce(lambda a, b: a + b, [(F.col(c) != "").cast("int") for c in ("d1", "t1", "d2", "t2", "pcity", "pzip")])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import addresses, survivors, truncation
+from caseloom.llm import addresses, leakage, packing, splitting, survivors, truncation
 from caseloom.session import table
 
 CUT_FIELDS = ["CauseA", "CauseOther", "Race"]
@@ -40,5 +40,25 @@ def p7_records(spark: SparkSession, d: str) -> DataFrame:
     return _survivors(spark, d, ["CauseA", "CauseOther", "DeathAddress", "DeathCity", "DeathZip", "Mode", "Race", "Gender", "FirstName", "LastName"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_by_source, p7_found, p7_records)}
+def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_report(p8_sequences(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_passages(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "text")).select("doc_id", "item_id")
+
+
+def p9_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    return p9_found(spark, d).groupBy("item_id").count().withColumnRenamed("count", "n_docs")
+
+
+def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_documents(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_by_source, p7_found, p7_records, p8_sequences, p8_report, p9_found, p9_leaked_items, p10_pieces)}
 ORACLE: dict[str, str] = {}
