@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.values import is_missing
+from caseloom.session import cut
 
 END_SHARE = 0.35  # share of a usual ending's occurrences that end a text
 CUT_SHARE = 0.03  # share of a passage's occurrences that are cut in it
@@ -44,8 +45,8 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     Texts of any length are counted whole; repeated rows count as often as they
     stand. Empty tables give no rows.
 
-    Plan: rows shrink to distinct (field, source, text) with counts before any
-    n-gram is made, n-grams to distinct types before their fragments are made;
+    Plan: rows shrink to distinct (field, source, text) with counts, written
+    once, before any n-gram is made, n-grams to distinct types before their fragments are made;
     all joins are equi-joins on (field, context, fragment).
     """
     cells = df.select(F.col(key).alias("_id"), F.col(source).alias("_src"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("_c")).select(
@@ -57,7 +58,7 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     marked = F.col("_text").rlike(MARK)
     opened = F.length(F.regexp_replace("_text", r"[^(\[]", "")) > F.length(F.regexp_replace("_text", r"[^)\]]", ""))
     dangling = F.col("_text").rlike(r"(?:[(\[/&,;:+]|\b(?:AND|OF|OR|WITH|DUE TO|THE|BY|FROM|IN|TO|FOR))$")
-    texts = texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket").when(dangling, "dangling"))
+    texts = cut(texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket").when(dangling, "dangling")))
     toks = texts.withColumn("_t", _tokens(F.regexp_replace("_text", MARK, ""))).filter(F.size("_t") > 0)
 
     # One row for each word position: contexts of two words and of all words before it.
@@ -101,8 +102,8 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     seen = lambda ctx: F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) > 0
     fresh = (F.col("ends_all") == 0) & (F.col("ends_tri") == 0)
     alone = fragment & fresh & ~seen("all") & ~seen("tri") & (odds("uni") > 0)
-    cut = (seen("all") & (odds("all") > 0)) | (seen("tri") & (odds("tri") > 0) & (odds("all") > prior + per_end)) | alone
-    by_count = j.filter(cut).select("field", "_src", "_text", F.lit("trigram").alias("why"))
+    is_cut = (seen("all") & (odds("all") > 0)) | (seen("tri") & (odds("tri") > 0) & (odds("all") > prior + per_end)) | alone
+    by_count = j.filter(is_cut).select("field", "_src", "_text", F.lit("trigram").alias("why"))
     by_form = texts.filter("_why is not null").select("field", "_src", "_text", F.col("_why").alias("why"))
     found = by_count.unionByName(by_form)
     rows = cells.filter(~F.col("_broken")).withColumn("_src", F.coalesce("_src", F.lit("")))
