@@ -39,7 +39,7 @@ class RangeMax:
 
     def rightmost(self, lo: int, hi: int) -> int:
         """Of positions lo..hi (both included) the last one that holds the greatest value."""
-        j = (hi - lo + 1).bit_length() - 1
+        j = int(hi - lo + 1).bit_length() - 1
         a, b = self.t[j][lo], self.t[j][hi - (1 << j) + 1]
         return int(b if self.v[b] >= self.v[a] else a)
 
