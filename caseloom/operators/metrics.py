@@ -70,7 +70,7 @@ def bootstrap_interval(df: DataFrame, value: str, key: str, resamples: int = 100
     """``(mean, low, high)``: mean of a column and its 95 % interval over Poisson resamples.
 
     Each row draws its weight in each resample from a hash of key and resample
-    number (inverse Poisson(1) distribution), so the result depends neither on
+    number (inverse Poisson(1) distribution; a resample of no weight is left out), so the result depends neither on
     partitioning nor on order, and resample sums combine before the shuffle.
     """
     u = (F.pmod(F.xxhash64(F.col(key), F.col("r"), F.lit(seed)), F.lit(1_000_003)) + 0.5) / 1_000_003
@@ -81,7 +81,7 @@ def bootstrap_interval(df: DataFrame, value: str, key: str, resamples: int = 100
         p /= k + 1
     weight = sum((F.when(u > c, 1).otherwise(0) for c in cuts), F.lit(0))
     rows = df.select(key, col(value).cast("double").alias("_v")).withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("_w", weight)
-    means = rows.groupBy("r").agg((F.sum(F.col("_v") * F.col("_w")) / F.sum("_w")).alias("m"))
+    means = rows.groupBy("r").agg(F.try_divide(F.sum(F.col("_v") * F.col("_w")), F.sum("_w")).alias("m"))
     q = means.agg(F.expr("percentile(m, 0.025)").alias("low"), F.expr("percentile(m, 0.975)").alias("high"))
     return df.agg(F.avg(col(value)).alias("mean")).crossJoin(q)  # one row with one row
 

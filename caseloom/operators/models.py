@@ -31,7 +31,7 @@ def tfidf(text: str, features: int = 1 << 14) -> Pipeline:
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
     """One row: the number of negative rows for each positive one."""
-    return df.agg((F.sum((col(label) == 0).cast("long")) / F.sum((col(label) == 1).cast("long"))).alias("ratio"))
+    return df.agg(F.try_divide(F.sum((col(label) == 0).cast("long")), F.sum((col(label) == 1).cast("long"))).alias("ratio"))
 
 
 def train_labels(train: DataFrame, text: str, labels: list[str], kind: str = "logistic", rows: int = 200_000) -> tuple[PipelineModel, dict[str, object]]:
