@@ -98,6 +98,6 @@ def packing_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row: bins, tokens, share of the capacity used, and the least bins any packing needs."""
     b = packed.groupBy("bin").agg(F.sum("size").alias("fill"))
     return b.agg(F.count("*").alias("bins"), F.coalesce(F.sum("fill"), F.lit(0)).alias("tokens"), F.max("fill").alias("fullest")).select(
-        "bins", "tokens", "fullest", F.ceil(F.col("tokens") / capacity).alias("least_bins"), F.round(F.col("tokens") / (F.col("bins") * capacity), 6).alias("used"))
+        "bins", "tokens", "fullest", F.ceil(F.col("tokens") / capacity).alias("least_bins"), F.round(F.try_divide(F.col("tokens"), F.col("bins") * capacity), 6).alias("used"))
 
 
