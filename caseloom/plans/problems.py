@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.functions.values import case_key
+from caseloom.functions.values import MISSING_WORDS, case_key
 from caseloom.operators import drift, nearby, snapshots, timestamps
 from caseloom.session import table
 
@@ -32,7 +32,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p3_areas(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "audit_stability")
     areas = nearby.regions_of_points(rows, table(spark, d, "tracts"), keep=("area_level", "CT20"))
-    return rows.select("snapshot_no", "row_no", "lon", "lat", "in_la_county").join(areas, ["lon", "lat"]).select("snapshot_no", "row_no", "area_id", "area_level", "CT20", "on_boundary", "in_la_county")
+    return rows.select("snapshot_no", "row_no", "lon", "lat", "in_la_county").join(areas, ["lon", "lat"]).select("snapshot_no", "row_no", "area_id", "area_level", "CT20", "on_boundary", F.col("in_la_county").cast("int").alias("in_la_county"))
 
 
 def _dated(spark: SparkSession, d: str) -> DataFrame:
@@ -54,4 +54,34 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_lifespans, p2_table, p3_found, p3_areas, p4_found, p4_normalised, p5_found)}
-ORACLE: dict[str, str] = {}
+
+# SQL equivalents, independent of the operators: pairwise comparison of snapshots, and brute-force geometry.
+_missing = "^((" + "|".join(w.replace("/", "/").replace("?", "[?]").replace(".", "[.]") for w in MISSING_WORDS) + ")( (" + "|".join(w.replace("?", "[?]").replace(".", "[.]") for w in MISSING_WORDS) + "))*)?$"
+
+
+def _sql_value(c: str) -> str:
+    t = f'CAST("{c}" AS VARCHAR)'
+    n = rf"regexp_replace(regexp_replace(upper({t}), '\s+', '', 'g'), '^([+-]?\d+)\.0*$', '\1')"
+    gone = rf"({t} IS NULL OR regexp_matches(trim(upper(regexp_replace({t}, '\s+', ' ', 'g'))), '{_missing}'))"
+    if c == "DeathDate":
+        n = f"coalesce(CAST(CAST(try_strptime(trim({t}), ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%d %H:%M:%S', '%d %b %Y', '%d-%b-%Y']) AS DATE) AS VARCHAR), {n})"
+    return f"CASE WHEN {gone} THEN '' ELSE {n} END"
+
+
+_last = 'SELECT snapshot_no AS s, trim(CaseNumber) AS k, ' + ", ".join(f'{_sql_value(c)} AS v{i}' for i, c in enumerate(SNAPSHOT_COLUMNS)) + " FROM audit_stability WHERE trim(CaseNumber) <> '' QUALIFY row_number() OVER (PARTITION BY snapshot_no, trim(CaseNumber) ORDER BY row_no DESC) = 1"
+_edges = (
+    "g AS (SELECT area_id, CT20, json_extract_string(geometry, '$.type') AS t, json_extract(geometry, '$.coordinates') AS c FROM tracts), parts AS (SELECT area_id, CT20, row_number() OVER () AS part, p FROM (SELECT area_id, CT20, unnest(CASE WHEN t = 'Polygon' THEN [CAST(c AS DOUBLE[][][])] ELSE CAST(c AS DOUBLE[][][][]) END) AS p FROM g)), "
+    "rings AS (SELECT area_id, CT20, part, unnest(p) AS r FROM parts), edges AS (SELECT area_id, CT20, part, r[i] AS a, r[i + 1] AS b FROM (SELECT area_id, CT20, part, r, unnest(range(1, len(r))) AS i FROM rings)), "
+    "pts AS (SELECT DISTINCT lon, lat FROM audit_stability WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90), "
+    "hits AS (SELECT lon, lat, area_id, CT20, part, count(*) AS n FROM pts JOIN edges ON (a[2] > lat) <> (b[2] > lat) AND lon < (b[1] - a[1]) * (lat - a[2]) / (b[2] - a[2]) + a[1] GROUP BY ALL), inside AS (SELECT DISTINCT lon, lat, area_id, CT20 FROM hits WHERE n % 2 = 1)")
+ORACLE: dict[str, str] = {
+    "p5_found": (
+        f"WITH l AS ({_last}), prev AS (SELECT s, lag(s) OVER (ORDER BY s) AS p FROM (SELECT DISTINCT s FROM l)), c AS (SELECT l.*, p FROM l JOIN prev USING (s)) "
+        "SELECT c.s AS snapshot_no, c.k AS CaseNumber, 'added' AS change, '' AS field FROM c WHERE p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM l o WHERE o.s = c.p AND o.k = c.k) "
+        "UNION ALL SELECT prev.s, o.k, 'removed', '' FROM l o JOIN prev ON prev.p = o.s WHERE NOT EXISTS (SELECT 1 FROM l n WHERE n.s = prev.s AND n.k = o.k) "
+        + " ".join(f"UNION ALL SELECT c.s, c.k, 'changed', '{n}' FROM c JOIN l o ON o.s = c.p AND o.k = c.k WHERE o.v{i} <> c.v{i}" for i, n in enumerate(SNAPSHOT_COLUMNS))),
+    "p3_found": (
+        f"WITH {_edges}, spot AS (SELECT DISTINCT trim(CaseNumber) AS k, snapshot_no AS s, a.lon, a.lat, CT20 FROM audit_stability a JOIN inside i ON a.lon = i.lon AND a.lat = i.lat WHERE CT20 IS NOT NULL AND trim(CaseNumber) <> '') "
+        "SELECT DISTINCT x.k AS case_a, y.k AS case_b, x.CT20 FROM spot x JOIN spot y ON x.s = y.s AND x.CT20 = y.CT20 AND x.k < y.k WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2)))) <= 25"),
+    "p3_areas": f"WITH {_edges} SELECT snapshot_no, row_no, i.area_id, t.area_level, i.CT20, false AS on_boundary, CAST(in_la_county AS INT) AS in_la_county FROM audit_stability a JOIN inside i ON a.lon = i.lon AND a.lat = i.lat JOIN tracts t ON t.area_id = i.area_id",
+}

@@ -41,7 +41,7 @@ def test_aliases_and_best_row(spark):
 
 def test_text(spark):
     df = spark.createDataFrame([("FENTANYL,\nNULL", " a , b ", None), (None, "", " ")], "CauseA string, CauseB string, CauseC string")
-    assert [r[0] for r in df.select(text.cause_text(df)).collect()] == ["FENTANYL, A , B", ""]
+    assert [r[0] for r in df.select(text.cause_text(df)).collect()] == ["FENTANYL A B", ""]
     t = df.select(text.cause_text(df).alias("t"))
     assert rows(t) == rows(t.select(text.clean_model_text(F.col("t"))))  # idempotent
     assert [r[0] for r in df.select(text.row_text(df)).collect()][1] == ""
