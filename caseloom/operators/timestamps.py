@@ -171,12 +171,14 @@ def disagreements(df: DataFrame, case: str, key: str, fields: dict[str, str]) ->
 
     ``fields`` maps a column to the name reported for it. Nulls disagree with
     nothing. Rows of a case are first split by value, so only the classes of a
-    case meet; a case whose rows agree costs nothing beyond the grouping.
+    case meet; a case whose rows agree costs nothing beyond the grouping. The
+    cells are written once, since three branches read them.
     """
     long = df.filter(F.col(case).isNotNull()).select(
         F.col(case).alias("_case"), F.col(key).alias("_key"),
         F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(c).cast("string").alias("value")) for c, n in fields.items()])).alias("_f"),
     ).select("_case", "_key", "_f.field", "_f.value").filter(F.col("value").isNotNull())
+    long = cut(long)
     split = long.groupBy("_case", "field").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")).filter("_lo <> _hi").select("_case", "field")
     rows = long.join(split, ["_case", "field"], "left_semi")
     a, b = rows.alias("a"), rows.alias("b")
