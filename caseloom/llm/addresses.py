@@ -11,6 +11,9 @@ from caseloom.functions.values import is_missing
 from caseloom.session import cut
 
 WINDOW = 12
+# A spelling is taken for a slip of a similar one if it stands on this few house numbers, or this small a share of the other's.
+RARE_NAME = 2
+RARE_SHARE = 0.25
 
 # Street types and directions with their writings, ordinals in words.
 TYPES = {
@@ -111,7 +114,7 @@ def _same_location(a: str, b: str) -> Column:
 
     def street(i: int) -> Column:
         # Two spellings that both are common street names are two streets, however close.
-        rare = F.least(x(f"f{i}"), y(f"f{i}")) <= F.greatest(F.lit(1), 0.1 * F.greatest(x(f"f{i}"), y(f"f{i}")))
+        rare = F.least(x(f"f{i}"), y(f"f{i}")) <= F.greatest(F.lit(RARE_NAME), RARE_SHARE * F.greatest(x(f"f{i}"), y(f"f{i}")))
         digits = F.regexp_replace(x(f"n{i}"), r"\P{N}", "") == F.regexp_replace(y(f"n{i}"), r"\P{N}", "")
         name = (x(f"n{i}") == y(f"n{i}")) | (_typo(x(f"n{i}"), y(f"n{i}")) & rare & digits)
         return name & _either(x(f"d{i}"), y(f"d{i}")) & _either(x(f"t{i}"), y(f"t{i}"))
