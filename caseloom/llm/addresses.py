@@ -123,7 +123,8 @@ def _same_location(a: str, b: str) -> Column:
     zips = (x("pzip") != "") & (y("pzip") != "")
     exact = (x("n1") == y("n1")) & (x("n2") == y("n2"))
     # Without both cities the codes must agree (one digit may be wrong); without both codes too, the streets must be spelled alike.
-    place = F.when(cities, _typo(x("pcity"), y("pcity"))).when(zips, _typo(x("pzip"), y("pzip"))).otherwise(exact)
+    near = _typo(x("pcity"), y("pcity")) | (zips & (x("pzip") == y("pzip")) & F.levenshtein(x("pcity"), y("pcity"), 2).between(0, 2))
+    place = F.when(cities, near).when(zips, _typo(x("pzip"), y("pzip"))).otherwise(exact)
     return (x("kind") == y("kind")) & (x("num") == y("num")) & street(1) & street(2) & place
 
 
