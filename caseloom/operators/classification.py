@@ -69,6 +69,17 @@ def label_diff(before: DataFrame, after: DataFrame, key: str, labels: tuple[str,
     return j.filter(reduce(lambda x, y: x | y, moved.values())).select(F.col(f"b.`{key}`").alias(key), *pairs, text.alias("changes"))
 
 
+def evidence(df: DataFrame, lexicon: dict[str, str], fields: tuple[str, ...] = SEARCH_FIELDS) -> Column:
+    """``Label=[field:'match'; ...] | ...`` of every label that a text field names."""
+    def one(label: str, pattern: str) -> Column:
+        hits = [F.regexp_extract(F.coalesce(col(f), F.lit("")), f"(?iu)({pattern})", 1) for f in fields if f in df.columns]
+        names = [f for f in fields if f in df.columns]
+        inner = F.concat_ws("; ", *[F.when(h != "", F.concat(F.lit(f"{n}:'"), h, F.lit("'"))) for n, h in zip(names, hits)])
+        return F.when(inner != "", F.concat(F.lit(f"{label}=["), inner, F.lit("]")))
+
+    return F.concat_ws(" | ", *[one(k, p) for k, p in lexicon.items()])
+
+
 def to_frame(spark: SparkSession, source) -> DataFrame:
     """A frame with text fields from a string, a list of strings, a CSV or XLSX path, or a frame."""
     if isinstance(source, DataFrame):

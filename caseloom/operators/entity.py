@@ -22,7 +22,7 @@ def merge_records(df: DataFrame, keys: list[str], order: str, tie: str = "last",
 
     Rows are ranked by their number of non-null cells (of ``count``, by default
     all columns but ``order``), most first; ties go to the first or the last row
-    by ``order``, which must be unique. ``maxima`` columns take their maximum
+    by ``order``, which must be unique and within +-2^62. ``maxima`` columns take their maximum
     instead. Rows with null keys merge with each other. A value survives though
     its row may not: columns of the result can come from different rows.
 
@@ -31,10 +31,13 @@ def merge_records(df: DataFrame, keys: list[str], order: str, tie: str = "last",
     """
     cols = [c for c in df.columns if c not in keys and c != order]
     sign = 1 if tie == "first" else -1
-    rank = F.struct((-completeness(count or [c for c in df.columns if c != order])).alias("c"), (sign * col(order)).alias("o"))
+    # Fixed-width text: one comparison in generated code, however many columns are merged.
+    rank = F.concat(
+        F.lpad((F.lit(999_999) - completeness(count or [c for c in df.columns if c != order])).cast("string"), 6, "0"),
+        F.lpad((sign * col(order).cast("long") + F.lit(1 << 62)).cast("string"), 19, "0"))
     d = df.withColumn("_rank", rank)
     aggs = [F.max(col(c)).alias(c) if c in set(maxima) else F.min_by(col(c), F.when(col(c).isNotNull(), F.col("_rank"))).alias(c) for c in cols]
-    return d.groupBy(*[col(k) for k in keys]).agg(*aggs, F.min("_rank")["o"].alias("_first")).drop("_first").select(*[col(c) for c in df.columns if c != order])
+    return d.groupBy(*[col(k) for k in keys]).agg(*aggs).select(*[col(c) for c in df.columns if c != order])
 
 
 def merge_cases(df: DataFrame, key: str, flags: list[str], order: str) -> DataFrame:

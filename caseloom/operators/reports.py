@@ -100,3 +100,20 @@ def source_stats(df: DataFrame, source: str, date: Column) -> DataFrame:
 def melt_flags(df: DataFrame, keys: list[str], flags: list[str], name: str = "type") -> DataFrame:
     """One row for each flag that is 1."""
     return df.select(*keys, F.explode(F.filter(F.array(*[F.when(col(f) == 1, F.lit(f)) for f in flags]), lambda x: x.isNotNull())).alias(name))
+
+
+def year_table(df: DataFrame, year: Column, groups: dict[str, Column]) -> DataFrame:
+    """``(year, name...)``: for each year the number of rows that meet each named condition."""
+    return df.groupBy(year.alias("year")).agg(*[F.sum(F.coalesce(c, F.lit(False)).cast("long")).alias(n) for n, c in groups.items()])
+
+
+def any_of(columns: Iterable[str]) -> Column:
+    """1 where any of the flag columns is 1, else 0."""
+    return F.greatest(*[F.coalesce((col(c) == 1).cast("int"), F.lit(0)) for c in columns], F.lit(0))
+
+
+def false_counts(df: DataFrame, labels: Iterable[str], predicted: str = "{}_pred") -> DataFrame:
+    """``(label, fp, fn)`` with a last row ``Total``."""
+    parts = F.array(*[F.struct(F.lit(k).alias("label"), ((F.coalesce(col(predicted.format(k)), F.lit(0)) == 1) & (F.coalesce(col(k), F.lit(0)) == 0)).cast("long").alias("fp"), ((F.coalesce(col(predicted.format(k)), F.lit(0)) == 0) & (F.coalesce(col(k), F.lit(0)) == 1)).cast("long").alias("fn")) for k in labels])
+    long = df.select(F.explode(parts).alias("_p")).select("_p.*")
+    return long.select(F.explode(F.array(F.col("label"), F.lit("Total"))).alias("label"), "fp", "fn").groupBy("label").agg(F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))

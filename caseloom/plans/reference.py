@@ -12,6 +12,7 @@ from caseloom.functions.lexicon import GENERAL_DRUG, GENERAL_OPIOID, SUBSTANCES,
 from caseloom.functions.text import col
 from caseloom.operators import classification, consensus, entity, label_audit, metrics, nearby, pages, relations, repair, reports, stability, vectors
 from caseloom.operators.classification import LABELS
+from caseloom.plans import pipelines
 from caseloom.session import table
 from caseloom.streaming.arrivals import windowed_counts
 
@@ -513,6 +514,49 @@ def points_in_areas(spark, d):
     return r.filter(~F.col("on_boundary")).select("lon", "lat", "area_id")
 
 
+# --- whole runs ---------------------------------------------------------------------
+def _records(spark, d):
+    return table(spark, d, "consensus").withColumnRenamed("row_id", "_ord").drop("received_at")
+
+
+@query()
+def surveillance_master(spark, d):
+    c = table(spark, d, "consensus").select("row_id", "DeathAddress", "DeathCity", "DeathZip")
+    spot = F.xxhash64("address")
+    cache = c.select(text.full_address(F.col("DeathAddress"), F.col("DeathCity"), F.col("DeathZip")).alias("address"), F.col("row_id").alias("ord")).filter("address is not null")
+    cache = cache.withColumns({"lon": -118.95 + F.pmod(spot, F.lit(9000)) / 10000, "lat": 33.65 + F.pmod(F.shiftright(spot, 13), F.lit(8000)) / 10000})
+    return pipelines.surveillance(_records(spark, d), cache, None, table(spark, d, "tracts").filter("area_level = 'tract'"), lexicon=LEX).select("CaseNumber", "DeathDate", "Mode", "Race", "Gender", "Age", "lon", "lat", "CT20", *[col(k).alias(safe(k)) for k in LABELS])
+
+
+@query(
+    f"WITH t AS (SELECT CASE WHEN trim(CaseNumber) <> '' THEN CaseNumber END AS CaseNumber, {_rowtext} AS t FROM consensus), f AS (SELECT CaseNumber, " + ", ".join(f"max({_hit('t', LEX[k])}) AS {safe(k)}" for k in SUBSTANCES) + " FROM t GROUP BY CaseNumber) SELECT * FROM f")
+def all_records_flags(spark, d):
+    r = _records(spark, d).select("_ord", "CaseNumber", *TEXT_FIELDS)
+    return pipelines.all_records(r, lexicon=LEX).select("CaseNumber", *[col(k).alias(safe(k)) for k in SUBSTANCES])
+
+
+@query(_base + _pairs + "g AS (SELECT label, fp, fn FROM c UNION ALL SELECT 'Total', sum(fp)::BIGINT, sum(fn)::BIGINT FROM c) SELECT * FROM g")
+def false_counts(spark, d):
+    return reports.false_counts(_predicted(spark, d), SUBSTANCES)
+
+
+@query(_dt + "SELECT year, count(*) AS all_rows, sum((Fentanyl = 1)::INT)::BIGINT AS fentanyl, sum((Mode = 'ACCIDENT')::INT)::BIGINT AS accidents FROM b GROUP BY year")
+def year_table(spark, d):
+    return reports.year_table(_dated(spark, d), F.col("year"), {"all_rows": F.lit(True), "fentanyl": F.col("Fentanyl") == 1, "accidents": F.col("Mode") == "ACCIDENT"})
+
+
+@query(_dt + f", m AS (SELECT coalesce(Gender, '') AS sex, type, month FROM ({_melt})), n AS (SELECT CASE WHEN grouping(sex) = 1 THEN 'All' ELSE sex END AS sex, type, month, count(*) AS n FROM m GROUP BY GROUPING SETS ((sex, type, month), (type, month))) SELECT sex, type, month, n, round(avg(n) OVER (PARTITION BY sex, type ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS rolling FROM n")
+def monthly_series(spark, d):
+    a = _dated(spark, d).withColumn("sex", F.coalesce("Gender", F.lit("")))
+    return pipelines.monthly_series(a, "sex", "month", list(LABELS))
+
+
+@query(_dt + r", v AS (SELECT *, CAST(nullif(regexp_extract(Age, '(\d+)', 1), '') AS DOUBLE) AS ag FROM b), g AS (SELECT Mode, month, count(*) AS n, sum(coalesce(Fentanyl, 0))::BIGINT AS n_0, sum(coalesce(Heroin, 0))::BIGINT AS n_1, round(avg(ag), 6) AS age_mean, min(ag) AS age_min, max(ag) AS age_max FROM v GROUP BY Mode, month) SELECT x.Mode AS mode, y.month, coalesce(n, 0) AS n, coalesce(n_0, 0) AS n_0, coalesce(n_1, 0) AS n_1, age_mean, age_min, age_max FROM (SELECT DISTINCT Mode FROM b WHERE Mode IS NOT NULL) x CROSS JOIN (SELECT DISTINCT month FROM b WHERE month IS NOT NULL) y LEFT JOIN g ON g.Mode = x.Mode AND g.month = y.month")
+def space_time_cube(spark, d):
+    a = _dated(spark, d).withColumnRenamed("Mode", "mode")
+    return pipelines.space_time_cube(a, "mode", "month", ["Fentanyl", "Heroin"], text.age_number(F.col("Age")))
+
+
 # --- vectors, streams, pages, repair --------------------------------------------------
 @query("SELECT label, dim, round(sum(x), 4) AS total FROM (SELECT label, unnest(range(0, len(embedding)))::INT AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY label, dim")
 def vector_sum(spark, d):
