@@ -15,6 +15,7 @@ OPIOIDS = ("Heroin", "Fentanyl", "Prescription.opioids")
 # Generic class words that name no substance, and the aggregate they may point to.
 CONVENTION_TERMS = ("opioid", "opioids", "opiate", "opiates", "benzodiazepine", "benzodiazepines")
 AGGREGATE_OF = {"opioid": "Any Opioids", "opioids": "Any Opioids", "opiate": "Any Opioids", "opiates": "Any Opioids"}
+# Negation triggers and how many words before a match they reach.
 NEGATION = r"(?i)\b(denies|denied|deny|without|negative for|no evidence of|no evidence|no history of|no signs of|ruled out|rule out|absence of)\b"
 NEGATION_WORDS = 8
 CONVENTION = r"(?i)\b(opioids?|opiates?|benzodiazepines?)\b"
