@@ -60,26 +60,28 @@ def _decode(names: list, days: list, first: int, last: int, back: float) -> list
     return path[::-1]
 
 
-def choose_readings(df: DataFrame, source: str, order: list[str], key: str, readings: str, back_cost: float = BACK_COST, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
+def choose_readings(df: DataFrame, source: str, received: str, key: str, readings: str, back_cost: float = BACK_COST, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
     """``(key, choice)`` for every row of a source that has some ambiguous value.
 
     ``choice`` is the index into the array ``readings``; rows not listed have at
     most one reading. None if no row has more than one: every path is then the
-    only one. Rows with an empty array are left out. ``order`` sorts the
-    records of a source and must be a total order (its first column a timestamp).
+    only one. Rows with an empty array are left out. The record order of a
+    source is the minute of receipt, then the key (a unique whole number); rows
+    never received stand first, rows without a source keep their first reading.
+    Blocks hold about ``block_rows`` rows, also where one minute received all.
     """
     if df.filter(F.size(readings) > 1).isEmpty():
         return None
     open_sources = df.filter(F.size(readings) > 1).select(source).distinct()
-    rows = (
-        df.filter(F.size(readings) > 0).join(open_sources, source, "left_semi")
-        .select(source, *order, F.col(key).alias("_key"), F.col(readings)["notation"].alias("_names"), F.col(readings)["day"].alias("_days"), F.date_trunc("minute", order[0]).alias("_minute"))
-    )
-    # Blocks of about block_rows rows: minutes are counted first, so only counts are sorted by source.
-    w = Window.partitionBy(source).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(source, "_minute").agg(F.count("*").alias("_n")).select(source, "_minute", F.floor(F.coalesce(F.sum("_n").over(w), F.lit(0)) / block_rows).cast("long").alias("_block"))
-    # A single minute of more than block_rows rows stays one block only if it must: its order columns split it further.
-    rows = rows.join(blocks, [source, "_minute"]).drop("_minute")
+    minute = F.coalesce(F.date_trunc("minute", F.col(received)), F.timestamp_seconds(F.lit(0)))
+    rows = df.filter(F.size(readings) > 0).join(open_sources, source, "left_semi").select(source, F.col(key).alias("_key"), F.col(readings)["notation"].alias("_names"), F.col(readings)["day"].alias("_days"), minute.alias("_minute"))
+    # Minutes are counted first, crowded ones cut by key: only these counts are sorted by source, not the rows.
+    crowd = rows.groupBy(source, "_minute").agg(F.count("*").alias("_n")).filter(F.col("_n") > block_rows).select(source, "_minute", F.lit(True).alias("_crowded"))
+    rows = rows.join(crowd, [source, "_minute"], "left").withColumn("_sub", F.when(F.col("_crowded"), F.expr(f"_key div {block_rows}")).otherwise(0)).drop("_crowded")
+    w = Window.partitionBy(source).orderBy("_minute", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(source, "_minute", "_sub").agg(F.count("*").alias("_n")).select(source, "_minute", "_sub", F.floor(F.coalesce(F.sum("_n").over(w), F.lit(0)) / block_rows).cast("long").alias("_block"))
+    rows = rows.join(blocks, [source, "_minute", "_sub"]).drop("_sub")
+    order = ["_minute", "_key"]
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
@@ -148,7 +150,7 @@ def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id",
     r = cut(r)
     slim = r.select(key, source, received, "_dr", "_br")
     for col, back, name in (("_dr", BACK_COST, "_dc"), ("_br", 0.0, "_bc")):
-        picked = choose_readings(slim, source, [received, key], key, col, back)
+        picked = choose_readings(slim, source, received, key, col, back)
         if picked is None:
             r = r.withColumn(name, F.lit(0))
         else:

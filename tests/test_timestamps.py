@@ -49,12 +49,12 @@ def test_moments_and_clock_changes(spark):
     assert empty.count() == 0 and "moment_utc" in empty.columns
 
 
-def _paths(spark, texts, block):
+def _paths(spark, texts, block, apart=60):
     t0 = datetime(2024, 1, 1).timestamp()
-    data = [(i, "s", datetime.fromtimestamp(t0 + 60 * i), t) for i, t in enumerate(texts)]
+    data = [(i, "s", datetime.fromtimestamp(t0 + apart * i), t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, t string")
     df = df.withColumn("r", date_readings("t", "received_at", "cast(null as string)"))
-    got = choose_readings(df, "source_file", ["received_at", "row_id"], "row_id", "r", block_rows=block)
+    got = choose_readings(df, "source_file", "received_at", "row_id", "r", block_rows=block)
     return {x["row_id"]: x["choice"] for x in got.collect()}, df.select("row_id", "r").orderBy("row_id").collect()
 
 
@@ -63,6 +63,7 @@ def test_viterbi_follows_the_notation_and_blocks_agree(spark):
     whole, readings = _paths(spark, texts, 1000)
     for block in (1, 2, 3):
         assert _paths(spark, texts, block)[0] == whole
+    assert _paths(spark, texts, 2, apart=0)[0] == whole  # all received in one minute
     assert all(readings[i]["r"][c]["notation"] == "dmy" or len(readings[i]["r"]) == 1 for i, c in whole.items())
 
 
