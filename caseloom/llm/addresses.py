@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.values import is_missing
 from caseloom.session import cut
 
-WINDOW = 12
 # A spelling is taken for a slip of a similar one if it stands on this few house numbers, or this small a share of the other's.
 RARE_NAME = 2
 RARE_SHARE = 0.25
@@ -107,68 +106,103 @@ def _either(a: Column, b: Column) -> Column:
     return (a == "") | (b == "") | (a == b)
 
 
-def _same_location(a: str, b: str) -> Column:
-    """Whether two parsed addresses can denote one location: strict on numbers, tolerant on letters."""
+def _variants(c: Column) -> Column:
+    """Hashes that any two texts of ``_typo`` share: the text, from four letters on each text with one letter left out, and its letters in order."""
+    n = F.length(c)
+    less = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, n))))
+    letters = F.xxhash64(F.concat(F.lit("="), F.array_join(F.array_sort(F.split(c, "")), "")))
+    return F.array_distinct(F.when(n >= 4, F.concat(F.array(F.xxhash64(c), letters), less)).otherwise(F.array(F.xxhash64(c))))
+
+
+def _similar(values: DataFrame, near: Column, v: Column, keep: list[str]) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` of the structs ``x`` of ``values`` that agree in ``keep``, share one of the hashes ``v`` and are ``near``; each struct with itself too."""
+    e = values.select(*keep, "x", F.explode(v).alias("_v"))
+    pairs = e.withColumnRenamed("x", "a").join(e.withColumnRenamed("x", "b"), [*keep, "_v"]).filter(F.col("a") != F.col("b")).select("a", "b").distinct().filter(near)
+    return pairs.unionByName(values.select(F.col("x").alias("a"), F.col("x").alias("b")))
+
+
+def _names(a: str, b: str) -> Column:
+    """Whether the street names of two parsed addresses agree."""
     x = lambda c: F.col(f"{a}.{c}")
     y = lambda c: F.col(f"{b}.{c}")
 
-    def street(i: int) -> Column:
+    def name(i: int) -> Column:
         # Two spellings that both are common street names are two streets, however close.
         rare = F.least(x(f"f{i}"), y(f"f{i}")) <= F.greatest(F.lit(RARE_NAME), RARE_SHARE * F.greatest(x(f"f{i}"), y(f"f{i}")))
         digits = F.regexp_replace(x(f"n{i}"), r"\P{N}", "") == F.regexp_replace(y(f"n{i}"), r"\P{N}", "")
-        name = (x(f"n{i}") == y(f"n{i}")) | (_typo(x(f"n{i}"), y(f"n{i}")) & rare & digits)
-        return name & _either(x(f"d{i}"), y(f"d{i}")) & _either(x(f"t{i}"), y(f"t{i}"))
+        return (x(f"n{i}") == y(f"n{i}")) | (_typo(x(f"n{i}"), y(f"n{i}")) & rare & digits)
 
-    cities = (x("pcity") != "") & (y("pcity") != "")
-    zips = (x("pzip") != "") & (y("pzip") != "")
-    exact = (x("n1") == y("n1")) & (x("n2") == y("n2"))
-    # Without both cities the codes must agree (one digit may be wrong); without both codes too, the streets must be spelled alike.
-    near = _typo(x("pcity"), y("pcity")) | (zips & (x("pzip") == y("pzip")) & F.levenshtein(x("pcity"), y("pcity"), 2).between(0, 2))
-    place = F.when(cities, near).when(zips, _typo(x("pzip"), y("pzip"))).otherwise(exact)
-    return (x("kind") == y("kind")) & (x("num") == y("num")) & street(1) & street(2) & place
+    return name(1) & name(2)
 
 
 PARTS = ["kind", "num", "d1", "n1", "t1", "d2", "n2", "t2", "pcity", "pzip"]
+STREET = ["kind", "num", "n1", "n2"]
+SIDES = ["d1", "t1", "d2", "t2"]
 
 
-def locations(written: DataFrame, window: int = WINDOW) -> DataFrame:
+def locations(written: DataFrame) -> DataFrame:
     """``(written, location)`` for parsed written addresses; ``location`` names the anchor of its group.
 
-    Writings are merged to distinct component tuples. Three sorted
-    neighbourhoods of different component order (street name first, city first
-    with the name reversed, postal code first) are run inside the house number,
-    which must agree strictly anyway; each tuple is compared with the next
-    ``window`` ones of each order. Names and cities may differ by one letter or
-    transposition, directions and types may be missing but not differ, units
-    don't count. Of all tuples it agrees with, itself included, a tuple takes
-    the one with the most widespread street name, then the most complete, then
-    the most frequent as its anchor; anchors are followed twice. Linking to
-    anchors rather than through chains keeps a writing without type or direction
-    from joining two streets.
+    Writings are merged to distinct component tuples. Two tuples agree if kind
+    and number are equal, names are equal or one letter or transposition apart,
+    directions and types equal or missing, and the places agree: cities one
+    letter apart (two under the same code); without both cities the codes (one
+    digit may be wrong); without both codes too, the streets must be spelled
+    alike. Units don't count. Of all tuples it agrees with, itself included, a
+    tuple takes the one with the most widespread street name, then the most
+    complete, then the most frequent as its anchor; anchors are followed twice.
+    Linking to anchors rather than through chains keeps a writing without type
+    or direction from joining two streets.
+
+    Every agreeing tuple is considered, however many writings a building has:
+    similar names, cities and codes share a hash of the text with one letter
+    left out or of its letters in order, so all are found by equi-joins over
+    distinct values. Pairs of tuples are not listed: each street with its sides
+    offers its best tuple by city, by code and by what is missing, offers pass to
+    the similar streets, and a tuple asks for the values similar to its own.
     """
     t = written.groupBy(*PARTS).agg(F.count("*").alias("cnt"))
     spread = t.select(F.explode(F.array(*[F.struct(F.col(f"n{i}").alias("name"), "num", "pcity") for i in (1, 2)])).alias("_n")).filter("_n.name <> ''").groupBy("_n.name").agg(F.count_distinct("_n.num", F.when(F.col("_n.num") == "", F.col("_n.pcity")).otherwise("")).alias("f"))
     for i in (1, 2):
         t = t.join(spread.select(F.col("name").alias(f"n{i}"), F.col("f").alias(f"f{i}")), f"n{i}", "left")
     full = reduce(lambda a, b: a + b, [(F.col(c) != "").cast("int") for c in ("d1", "t1", "d2", "t2", "pcity", "pzip")])
-    t = t.withColumns({"f1": F.coalesce("f1", F.lit(0)), "f2": F.coalesce("f2", F.lit(0))})
-    me = F.struct(*PARTS, "f1", "f2", F.struct((F.col("f1") + F.col("f2")).alias("f"), full.alias("full"), "cnt").alias("rank"), F.concat_ws("|", *PARTS).alias("key"))
-    t = cut(t.select(me.alias("a")))
-    street = F.concat_ws("|", "a.n1", "a.n2")
-    passes = (
-        ([F.substring("a.n1", 1, 2)], [street, F.col("a.t1"), F.col("a.d1"), F.col("a.pcity"), F.col("a.key")]),
-        ([F.col("a.pcity")], [F.reverse(street), F.col("a.pzip"), F.col("a.key")]),
-        ([F.col("a.pzip")], [street, F.col("a.pcity"), F.col("a.key")]),
-    )
-    found = []
-    for block, order in passes:
-        w = Window.partitionBy(F.col("a.kind"), F.col("a.num"), *block).orderBy(*order).rowsBetween(1, window)
-        near = t.select("a", F.collect_list("a").over(w).alias("_next")).select("a", F.explode("_next").alias("b")).filter(_same_location("a", "b"))
-        found.append(near.select(F.explode(F.array(
-            F.struct(F.col("a.key").alias("key"), F.col("b.rank").alias("rank"), F.col("b.key").alias("to")),
-            F.struct(F.col("b.key").alias("key"), F.col("a.rank").alias("rank"), F.col("a.key").alias("to")))).alias("e")).select("e.*"))
-    own = t.select("a.key", "a.rank", F.col("a.key").alias("to"))
-    anchor = reduce(DataFrame.unionByName, found, own).groupBy("key").agg(F.max_by("to", F.struct("rank", "to")).alias("to"))
+    t = t.withColumns({"f1": F.coalesce("f1", F.lit(0)), "f2": F.coalesce("f2", F.lit(0)), "key": F.concat_ws("|", *PARTS), "street": F.concat_ws("|", *STREET, *SIDES)})
+    best = F.struct(F.struct((F.col("f1") + F.col("f2")).alias("f"), full.alias("full"), "cnt").alias("rank"), F.col("key").alias("to"))
+    t = cut(t.select(*PARTS, "f1", "f2", "key", "street", best.alias("best")))
+
+    names = t.select(F.struct(*STREET, "f1", "f2").alias("x")).distinct().select(F.col("x.kind").alias("kind"), F.col("x.num").alias("num"), "x")
+    both = F.flatten(F.transform(_variants(F.col("x.n1")), lambda p: F.transform(_variants(F.col("x.n2")), lambda r: F.xxhash64(p, r))))
+    alike = _similar(names, _names("a", "b"), both, ["kind", "num"])
+    forms = t.select(*STREET, *SIDES, "street").distinct()
+    mine = forms.select(*STREET, F.struct("street", *SIDES).alias("p"))
+    other = forms.select(*[F.col(c).alias(f"o_{c}") for c in STREET], F.struct("street", *SIDES).alias("o"))
+    streets = alike.select(*[F.col(f"a.{c}").alias(c) for c in STREET], *[F.col(f"b.{c}").alias(f"o_{c}") for c in STREET]).join(mine, STREET).join(other, [f"o_{c}" for c in STREET]).filter(
+        reduce(lambda a, b: a & b, [_either(F.col(f"p.{c}"), F.col(f"o.{c}")) for c in SIDES])).select(
+        F.col("p.street").alias("street"), F.col("o.street").alias("of"), ((F.col("n1") == F.col("o_n1")) & (F.col("n2") == F.col("o_n2"))).alias("exact"))
+
+    city, code = F.col("pcity") != "", F.col("pzip") != ""
+    lacks = F.concat(F.when(city, "c").otherwise("-"), F.when(code, "z").otherwise("-"))
+    # How a tuple offers itself and what it asks for: "c" similar cities, "z" similar codes where a city is missing ("z0" offered by tuples
+    # without a city), "b" the same code with a city two letters away, "k" tuples of the same spelling that share neither cities nor codes.
+    key = lambda how, value, name=F.lit(""): F.struct(F.lit(how).alias("how"), value.alias("value"), name.alias("name"))
+    listed = lambda *ks: F.filter(F.array(*ks), lambda k: k.isNotNull())
+    offers = listed(
+        F.when(city, key("c", F.col("pcity"))), F.when(code & city, key("z1", F.col("pzip"))), F.when(code & ~city, key("z0", F.col("pzip"))),
+        F.when(city & code, key("b", F.col("pzip"), F.col("pcity"))), key("k", lacks))
+    own = t.select("street", "best", F.explode(offers).alias("_o")).select("street", "best", "_o.*").groupBy(F.col("street").alias("of"), "how", "value", "name").agg(F.max("best").alias("best"))
+    offered = own.join(streets, "of").filter((F.col("how") != "k") | F.col("exact")).groupBy("street", "how", "value", "name").agg(F.max("best").alias("best"))
+
+    values = t.select(F.explode(F.array(F.struct(F.lit("c").alias("part"), F.col("pcity").alias("value")), F.struct(F.lit("z").alias("part"), F.col("pzip").alias("value")))).alias("x")).filter("x.value <> ''").distinct().withColumn("part", F.col("x.part"))
+    near = _similar(values, _typo(F.col("a.value"), F.col("b.value")), _variants(F.col("x.value")), ["part"]).select(F.col("a.part").alias("part"), F.col("a.value").alias("own"), F.col("b.value").alias("value"))
+    ask = lambda part, value, *hows: F.struct(F.lit(part).alias("part"), value.alias("own"), F.array(*map(F.lit, hows)).alias("hows"))
+    asks = listed(F.when(city, ask("c", F.col("pcity"), "c")), F.when(code & city, ask("z", F.col("pzip"), "z0")), F.when(code & ~city, ask("z", F.col("pzip"), "z0", "z1")))
+    similar = t.select("key", "street", "pcity", F.explode(asks).alias("_a")).select("key", "street", "pcity", "_a.*").join(near, ["part", "own"]).select("key", "street", "pcity", F.explode("hows").alias("how"), "value")
+    without = F.when(lacks == "--", F.array(*map(F.lit, ("--", "c-", "-z", "cz")))).when(lacks == "c-", F.array(F.lit("--"), F.lit("-z"))).when(lacks == "-z", F.array(F.lit("--"), F.lit("c-"))).otherwise(F.array(F.lit("--")))
+    plain = t.select("key", "street", "pcity", F.lit("k").alias("how"), F.explode(without).alias("value"))
+    same = t.filter(city & code).select("key", "street", "pcity", F.lit("b").alias("how"), F.col("pzip").alias("value"))
+    asked = similar.unionByName(plain).unionByName(same).join(offered, ["street", "how", "value"]).filter((F.col("how") != "b") | F.levenshtein("pcity", "name", 2).between(0, 2))
+    anchor = asked.select("key", "best").unionByName(t.select("key", "best")).groupBy("key").agg(F.max("best").alias("best")).select("key", F.col("best.to").alias("to"))
+    anchor = cut(anchor)
     hop = anchor.select(F.col("key").alias("to"), F.col("to").alias("to2"))
     twice = anchor.join(hop, "to").select("key", F.col("to2").alias("to")).join(hop, "to").select("key", F.col("to2").alias("location"))
     return written.withColumn("key", F.concat_ws("|", *PARTS)).join(twice, "key").select("written", "location")
@@ -181,7 +215,7 @@ def written_addresses(df: DataFrame, groups: list[tuple[str, str, str]]) -> Data
     return w.withColumn("written", F.concat_ws("|", "address", "city", "zip")).dropDuplicates(["written"])
 
 
-def same_location_pairs(df: DataFrame, groups: list[tuple[str, str, str]], window: int = WINDOW) -> DataFrame:
+def same_location_pairs(df: DataFrame, groups: list[tuple[str, str, str]]) -> DataFrame:
     """``(address_a, address_b)``: pairs of different written addresses of one location, smaller string first.
 
     Missing addresses (null, blank, placeholders) and addresses without a house
@@ -189,6 +223,6 @@ def same_location_pairs(df: DataFrame, groups: list[tuple[str, str, str]], windo
     are harmless; an empty table gives no rows.
     """
     parsed = cut(parse_addresses(written_addresses(df, groups)).filter(F.col("kind").isNotNull()))
-    loc = locations(parsed, window)
+    loc = locations(parsed)
     a, b = loc.select(F.col("written").alias("address_a"), "location"), loc.select(F.col("written").alias("address_b"), "location")
     return a.join(b, "location").filter("address_a < address_b").select("address_a", "address_b")

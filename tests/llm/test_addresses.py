@@ -34,3 +34,16 @@ def test_same_and_different_locations(spark):
 def test_crossings(spark):
     got, _ = _pairs(spark, [("A ST & B DR", "X", "1"), ("CORNER OF B AND A", "X", None), ("A ST / C DR", "X", "1"), ("A AVE @ B DR", "X", "1")])
     assert got == {("A ST & B DR|X|1", "CORNER OF B AND A|X|")}
+
+
+def test_hot_building_is_one_location(spark):
+    """Every writing agrees with the right one, however many misspelt writings stand between them in any order."""
+    city, street, code = "BRENNIVILLE", "DENXEDEN", "02270"
+    slips = lambda s, letters: sorted({s[:i] + x + s[i + 1:] for i in range(len(s)) for x in letters} - {s})
+    right = [(f"1924 W {street} TER UNIT {i}", city, code) for i in range(5)]
+    wrong = [(f"1924 W {street} TER", x, code) for x in slips(city, "ABCDEFGHIJKLM")] + [(f"1924 W {street} TER", None, x) for x in slips(code, "0123456789")]
+    wrong += [(f"1924 {x}", city, code) for x in slips(street, "PQXYZ")] + [(f"{street} TER, 1924", None, None), (f"1924 W {street}", city, None)]
+    common = [(f"{i} W {street} TER", city, code) for i in range(1, 40)]
+    got, _ = _pairs(spark, right + wrong + common)
+    n = len(right) + len(wrong)
+    assert n > 200 and len(got) == n * (n - 1) // 2
