@@ -29,7 +29,7 @@ def p6_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _survivors(spark: SparkSession, d: str, fields: list[str]) -> DataFrame:
-    return survivors.surviving_values(table(spark, d, "consensus"), table(spark, d, "source_files"), fields, _cut(spark, d, ["CauseA"]))
+    return survivors.surviving_values(table(spark, d, "consensus"), table(spark, d, "source_files"), fields, _cut(spark, d, [f for f in fields if f in CUT_FIELDS]))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

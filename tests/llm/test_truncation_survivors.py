@@ -42,3 +42,16 @@ def test_survivors(spark):
     bad = spark.createDataFrame([(4, "v"), (5, "v"), (3, "other")], "row_id long, field string")
     assert rows(winners(surviving_values(df, src, ["v"], bad), ["v"])) == [("2020-00001", "v", 3)]
     assert surviving_values(df.limit(0), src, ["v"]).count() == 0
+
+
+def test_records_judge_every_field_that_can_be_cut(spark, tmp_path):
+    from caseloom.llm.queries import p7_records
+
+    fields = ["CauseA", "CauseOther", "DeathAddress", "DeathCity", "DeathZip", "Mode", "Race", "Gender", "FirstName", "LastName"]
+    full = {"CauseA": "ASCVD", "CauseOther": "HTN, DM", "Race": "WHITE"}
+    short = {"CauseA": "ASCV...", "CauseOther": "HTN,", "Race": "WHIT..."}
+    data = [(i, s, datetime(2024, 1, 1), "2020-00001", *[v.get(f) for f in fields]) for i, (s, v) in enumerate([("top", short), ("low", full)])]
+    spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, CaseNumber string, " + ", ".join(f"{f} string" for f in fields)).write.parquet(f"{tmp_path}/consensus.parquet")
+    spark.createDataFrame([("top", 1), ("low", 2)], "source_file string, trust int").write.parquet(f"{tmp_path}/source_files.parquet")
+    r = p7_records(spark, str(tmp_path)).first()
+    assert {f: r[f] for f in full} == full
