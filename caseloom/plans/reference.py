@@ -212,14 +212,36 @@ def source_reliability(spark, d):
     return r.select("source", F.round("reliability", 6).alias("reliability"))
 
 
+# Every column that the consensus step maps and the table has; clipped values are folded, which SQL can't express.
+MAPPED = [
+    "ResidenceType", "DeathDate", "DeathTime", "DeathPlace", "DeathAddress", "DeathZip", "DeathCity", "EventPlace", "EventAddress", "EventZip", "EventCity", "Mode",
+    "CauseA", "CauseB", "CauseC", "CauseD", "CauseOther", "HowInjuryOccurred", "FirstName", "LastName", "DateofBirth", "Race", "Gender", "Age", "SourcePages",
+]
+
+
+def _whole_vote(spark, d):
+    return consensus.vote(consensus.ballots(table(spark, d, "consensus"), MAPPED))
+
+
+@query()
+def consensus_vote_whole(spark, d):
+    w = _whole_vote(spark, d)["winners"]
+    return w.select(F.col("case").alias("case_number"), F.col("column").alias("field"), "norm", F.col("count").alias("votes"), F.round("reliability", 6).alias("reliability"))
+
+
+@query()
+def source_reliability_whole(spark, d):
+    return _whole_vote(spark, d)["reliability"].select("source", F.round("reliability", 6).alias("reliability"))
+
+
 @query()
 def consensus_collated(spark, d):
-    return consensus.collate(table(spark, d, "consensus"), VOTED)["consensus"]
+    return consensus.collate(table(spark, d, "consensus"), MAPPED)["consensus"]
 
 
 @query()
 def consensus_disagreements(spark, d):
-    return consensus.collate(table(spark, d, "consensus"), VOTED)["disagreements"]
+    return consensus.collate(table(spark, d, "consensus"), MAPPED)["disagreements"]
 
 
 # --- versions of the master ---------------------------------------------------------
