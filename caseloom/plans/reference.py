@@ -168,6 +168,12 @@ def matched_terms(spark, d):
     return first_matches(table(spark, d, "consensus"), ["CauseA", "CauseOther"], LEX, ["row_id"])
 
 
+@query()
+def matched_terms_whole(spark, d):
+    """Evidence from every text field; ``matched_terms`` keeps to the two fields of its SQL."""
+    return first_matches(table(spark, d, "consensus"), TEXT_FIELDS, LEX, ["row_id"])
+
+
 _in = lambda xs: ", ".join(f"'{x}'" for x in xs)
 _up = lambda c: f"upper(trim(replace({c}, chr(10), '')))"
 _rg = "CASE WHEN o IN (" + _in(text.RACE_UNKNOWN) + ") THEN NULL " + " ".join(f"WHEN o IN ({_in(v)}) THEN '{k}'" for k, v in text.RACE_GROUPS.items()) + " ELSE o END"

@@ -49,3 +49,14 @@ def test_evidence_and_counts(spark):
     f = spark.createDataFrame([(1, 0), (0, 1), (None, 1)], "A int, A_pred int")
     assert rows(reports.false_counts(f, ["A"])) == [("A", 2, 1), ("Total", 2, 1)]
     assert [r[0] for r in f.select(reports.any_of(["A", "A_pred"])).collect()] == [1, 1, 1]
+
+
+def test_evidence_comes_from_every_text_field(spark, tmp_path):
+    from caseloom.plans import reference
+
+    fields = reference.TEXT_FIELDS
+    data = [(i, *["FENTANYL" if i == j else None for j in range(len(fields))]) for i in range(len(fields))]
+    spark.createDataFrame(data, "row_id long, " + ", ".join(f"{f} string" for f in fields)).write.parquet(f"{tmp_path}/consensus.parquet")
+    got = {(r["row_id"], r["field"], r["match"]) for r in reference.QUERIES["matched_terms_whole"](spark, str(tmp_path)).filter("label = 'Fentanyl'").collect()}
+    flagged = {r["row_id"] for r in reference.QUERIES["lexicon_flags"](spark, str(tmp_path)).filter("fentanyl = 1").collect()}
+    assert got == {(i, f, "FENTANYL") for i, f in enumerate(fields)} and flagged == set(range(len(fields)))
