@@ -81,6 +81,24 @@ def backfill_history(spark, d):
     return entity.backfill(c.filter(mine).drop("source_file"), c.filter(~mine).drop("source_file"), "CaseNumber", "row_id")
 
 
+# The same over whole rows; the three above keep to the columns of their SQL.
+@query()
+def entity_merge_last_whole(spark, d):
+    return entity.merge_records(table(spark, d, "consensus").drop("received_at"), ["CaseNumber"], "row_id", "last")
+
+
+@query()
+def entity_merge_first_whole(spark, d):
+    return entity.merge_records(table(spark, d, "consensus").drop("received_at"), ["CaseNumber"], "row_id", "first")
+
+
+@query()
+def backfill_history_whole(spark, d):
+    c = table(spark, d, "consensus").drop("received_at")
+    mine = F.col("source_file").startswith("me_master")
+    return entity.backfill(c.filter(mine).drop("source_file"), c.filter(~mine).drop("source_file"), "CaseNumber", "row_id")
+
+
 _others = ["DeathDate", "Age", "Gender", "Race", "Mode", "CauseA"]
 
 
