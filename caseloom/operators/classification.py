@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.functions.lexicon import GENERAL_DRUG, GENERAL_OPIOID, MDMA, SUBSTANCES, any_flag, build_lexicon, flag
+from caseloom.functions.lexicon import GENERAL_OPIOID, MDMA, SUBSTANCES, any_flag, build_lexicon, flag, general_drug, label_flags
 from caseloom.functions.text import SEARCH_FIELDS, cause_text, col, row_text
 
 LABELS = ("Methamphetamine", "Heroin", "Cocaine", "Fentanyl", "Alcohol", "Prescription.opioids", "Any Opioids", "Benzodiazepines", "Others", "Any Drugs")
@@ -45,10 +45,11 @@ def apply_corrections(df: DataFrame, text: Column | None = None, lexicon: dict[s
     lexicon = lexicon or build_lexicon()
     d = df.withColumn("_text", row_text(df) if text is None else text)
     have = lambda c: F.coalesce(col(c).cast("int"), F.lit(0)) if c in df.columns else F.lit(0)
-    d = d.withColumns({f"_r{i}": flag(F.col("_text"), lexicon[k]) if k in lexicon else F.lit(0) for i, k in enumerate(SUBSTANCES)})
+    d = label_flags(d, F.col("_text"), lexicon, "_l_")
+    d = d.withColumns({f"_r{i}": col(f"_l_{k}") if k in lexicon else F.lit(0) for i, k in enumerate(SUBSTANCES)}).drop(*[f"_l_{k}" for k in lexicon])
     mask = (have("Methamphetamine") == 1) & (F.col("_r0") == 0) & (flag(F.col("_text"), MDMA) == 1)
     opioid = F.greatest(have("Any Opioids"), any_flag(F.col("_text"), GENERAL_OPIOID))
-    d = d.withColumns({"_mask": mask, "_op": opioid, "_drug": any_flag(F.col("_text"), GENERAL_DRUG)})
+    d = d.withColumns({"_mask": mask, "_op": opioid, "_drug": general_drug(F.col("_text"))})
     out = {k: F.greatest(have(k), F.col(f"_r{i}")) for i, k in enumerate(SUBSTANCES)}
     out["Methamphetamine"] = F.when(F.col("_mask"), 0).otherwise(out["Methamphetamine"])
     d = d.withColumns(out)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.lexicon import SUBSTANCES, all_matches
+from caseloom.functions.lexicon import SUBSTANCES, all_matches, label_flags
 from caseloom.functions.text import col
 
 OPIOIDS = ("Heroin", "Fentanyl", "Prescription.opioids")
@@ -28,9 +28,9 @@ def _label(c: str) -> Column:
 def matches(df: DataFrame, key: str, text: str, lexicon: dict[str, str], labels: Iterable[str] = SUBSTANCES) -> DataFrame:
     """``(key, label, term, value)``: every occurrence of a label's terms with the row's label value."""
     have = [k for k in labels if k in lexicon and k in df.columns]
-    parts = F.array(*[F.struct(F.lit(k).alias("label"), _label(k).alias("value"), all_matches(F.coalesce(F.col(text), F.lit("")), lexicon[k]).alias("terms")) for k in have])
-    long = df.select(key, F.explode(parts).alias("_m")).select(key, "_m.label", "_m.value", F.explode("_m.terms").alias("term"))
-    return long
+    d = label_flags(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t"), *[_label(k).alias(f"_v_{k}") for k in have]), F.col("_t"), lexicon, "_l_")
+    parts = F.array(*[F.when(col(f"_l_{k}") == 1, F.struct(F.lit(k).alias("label"), col(f"_v_{k}").alias("value"), all_matches(F.col("_t"), lexicon[k]).alias("terms"))) for k in have])
+    return d.select(key, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("_m")).select(key, "_m.label", "_m.value", F.explode("_m.terms").alias("term"))
 
 
 def term_precision(m: DataFrame) -> DataFrame:
@@ -52,9 +52,9 @@ def review_candidates(m: DataFrame, precision: DataFrame, key: str, threshold: f
 def unexplained_labels(df: DataFrame, key: str, text: str, lexicon: dict[str, str], labels: Iterable[str] = SUBSTANCES) -> DataFrame:
     """``(key, label)``: label 1 though no term of it occurs."""
     have = [k for k in labels if k in lexicon and k in df.columns]
-    t = F.coalesce(F.col(text), F.lit(""))
-    miss = F.filter(F.array(*[F.when((_label(k) == 1) & ~t.rlike("(?iu)" + lexicon[k]), F.lit(k)) for k in have]), lambda x: x.isNotNull())
-    return df.select(key, F.explode(miss).alias("label"))
+    d = label_flags(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t"), *[_label(k).alias(f"_v_{k}") for k in have]), F.col("_t"), lexicon, "_l_")
+    miss = F.filter(F.array(*[F.when((col(f"_v_{k}") == 1) & (col(f"_l_{k}") == 0), F.lit(k)) for k in have]), lambda x: x.isNotNull())
+    return d.select(key, F.explode(miss).alias("label"))
 
 
 def invariants(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -81,21 +81,24 @@ def duplicate_conflicts(df: DataFrame, key: str, text: str, labels: Iterable[str
 def negated_rows(df: DataFrame, key: str, text: str, lexicon: dict[str, str], labels: Iterable[str] = SUBSTANCES) -> DataFrame:
     """``(key, label, terms)``: label 1, and each of its matches follows a negation within eight words of its field.
 
-    Match positions come from splitting the text at the matches: the text before
-    match i is the concatenation of what stands before it.
+    Fields of a text are separated by ``|``. One scan serves all labels. The text
+    is split at a label's matches; what stands before a match is carried from
+    piece to piece as its last words only, so a text of any length is read once.
     """
-    out = []
-    t = F.coalesce(F.col(text), F.lit(""))
-    for k in labels:
-        if k not in lexicon or k not in df.columns:
-            continue
-        p = "(?iu)" + lexicon[k]
-        d = df.filter(_label(k) == 1).select(key, t.alias("_t")).withColumn("_terms", F.regexp_extract_all("_t", F.lit(f"({p})"), F.lit(1))).filter(F.size("_terms") > 0)
-        marked = F.split(F.regexp_replace("_t", f"({p})", "\u0001$1\u0002"), "\u0001")
-        befores = F.transform(F.sequence(F.lit(1), F.size("_terms")), lambda i: F.regexp_replace(F.array_join(F.slice(marked, 1, i), ""), "\u0002", ""))
-        scope = F.transform(befores, lambda b: F.array_join(F.slice(F.concat(F.array_repeat(F.lit(""), NEGATION_WORDS), F.split(F.trim(F.regexp_replace(F.element_at(F.split(b, r"\|"), -1), r"[,\s]+", " ")), " ")), -NEGATION_WORDS, NEGATION_WORDS), " "))
-        out.append(d.filter(F.forall(scope, lambda s: s.rlike(NEGATION))).select(key, F.lit(k).alias("label"), F.array_join(F.array_sort(F.array_distinct("_terms")), ", ").alias("terms")))
-    return reduce(DataFrame.unionByName, out)
+    have = [k for k in labels if k in lexicon and k in df.columns]
+    d = label_flags(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("_t"), *[_label(k).alias(f"_v_{k}") for k in have]), F.col("_t"), lexicon, "_l_")
+    # The last words after the last separator; one more than the scope, as the first may be the end of a longer one.
+    tail = lambda s: F.array_join(F.slice(F.concat(F.array_repeat(F.lit(""), NEGATION_WORDS + 1), F.split(F.element_at(F.split(s, r"\|"), -1), r"[,\s]+")), -(NEGATION_WORDS + 1), NEGATION_WORDS + 1), " ")
+    scope = lambda before: F.array_join(F.slice(F.concat(F.array_repeat(F.lit(""), NEGATION_WORDS), F.split(F.trim(before), " +")), -NEGATION_WORDS, NEGATION_WORDS), " ")
+
+    def negated(k: str) -> Column:
+        pieces = F.split(F.regexp_replace("_t", f"(?iu)({lexicon[k]})", "\u0001$1\u0002"), "[\u0001\u0002]")  # text, match, text, match, ..., text
+        state = F.struct(F.lit("").alias("before"), F.lit(True).alias("all"), F.lit(False).alias("match"))
+        step = lambda s, p: F.struct(tail(F.concat(s["before"], p)).alias("before"), F.when(s["match"], s["all"] & scope(s["before"]).rlike(NEGATION)).otherwise(s["all"]).alias("all"), (~s["match"]).alias("match"))
+        return F.aggregate(pieces, state, step)["all"]
+
+    parts = F.array(*[F.when((col(f"_v_{k}") == 1) & (col(f"_l_{k}") == 1), F.when(negated(k), F.struct(F.lit(k).alias("label"), F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("_t", F.lit(f"(?iu)({lexicon[k]})"), F.lit(1)))), ", ").alias("terms")))) for k in have])
+    return d.select(key, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("_n")).select(key, "_n.*")
 
 
 def aggregate_signal(df: DataFrame, text: str, terms: dict[str, str] = AGGREGATE_OF) -> DataFrame:
