@@ -86,8 +86,18 @@ def test_consensus_folds_fragments_and_uses_reliability(spark):
     df = spark.createDataFrame([(i, *x) for i, x in enumerate(data)], "row_id long, CaseNumber string, source_file string, CauseA string")
     got = {r["CaseNumber"]: r["CauseA"] for r in consensus.collate(df, ["CauseA"])["consensus"].collect()}
     assert got == {"2024-1": full, "2024-2": "X1", "2024-3": "P"}
-    assert consensus.is_fragment("METHAMPHETAMI", "METHAMPHETAMI", "METHAMPHETAMINE", "METHAMPHETAMINE")
-    assert not consensus.is_fragment("EFFECTS", "EFFECTS", "EFFECTSOFX", "EFFECTS OF X")
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "folded"),
+    [
+        ("METHAMPHETAMI", "METHAMPHETAMINE", True), ("EFFECTS", "EFFECTS OF X", False), ("EFFECTS OF", "EFFECTS OF X", True), ("FECTS OF X", "EFFECTS OF X", True), ("OF X AND Y", "EFFECTS OF X AND Y", False),
+        ("EFFE", "EFFECTS OF X", False), ("EFFECTS, ", "EFFECTS OF X", True), ("EFFECT", "EFFECTS NULL OF X", True), ("THING", "OTHER X", False),
+    ])
+def test_fragments(spark, part, whole, folded):
+    df = spark.createDataFrame([(1, "2024-1", "a", part), (2, "2024-1", "b", whole)], "row_id long, CaseNumber string, source_file string, CauseA string")
+    kept = consensus.vote(consensus.ballots(df, ["CauseA"]))["winners"].first()
+    assert kept["count"] == (2 if folded else 1)
 
 
 def test_stability(spark):
