@@ -2,166 +2,260 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 5
 MIN_RUN = 15
-MAX_BROADCAST_ROWS = 2_000_000
-MAX_VOCABULARY = 50_000
-SEED_BASE = 1 << 32
+BLOCK_WORDS = 2_000_000  # words of held-out texts that one pass over the corpus looks for
+CHUNK_WORDS = 400_000  # words hashed together in a worker
 
 # Measuring units that stand for one another in a template.
 UNITS = ("ng", "mg", "g", "kg", "ml", "l", "mcg", "ug", "cm", "mm", "m", "km", "lb", "lbs", "oz", "percent", "hours", "hrs", "doses", "dosis", "tablets", "years", "años", "days", "minutes")
 WORD = r"[\p{L}\p{N}\p{M}]+"
 POSSESSIVE = r"['’]s(?![\p{L}\p{N}\p{M}_])"
-NUMBER, NAME, UNIT = "<n>", "<p>", "<u>"
+PLAIN, NUMBER, NAME, UNIT = range(4)
+_ASCII_WORD = re.compile("[A-Za-z0-9]+")
+_ASCII_POSSESSIVE = re.compile("'s(?![A-Za-z0-9_])")
 
 
-def words(text: Column) -> Column:
+def split_words(text: str) -> list[str]:
     """The words of a text as they stand; a possessive ``'s`` belongs to none."""
-    return F.regexp_extract_all(F.regexp_replace(text, POSSESSIVE, " "), F.lit(f"({WORD})"), F.lit(1))
-
-
-def words_of(text: str) -> list[str]:
-    """The same words in Python, lower-cased."""
+    if text.isascii():
+        return _ASCII_WORD.findall(_ASCII_POSSESSIVE.sub(" ", text))
     import regex
 
-    return [w.lower() for w in regex.findall(WORD, regex.sub(POSSESSIVE, " ", text))]
+    return regex.findall(WORD, regex.sub(POSSESSIVE, " ", text))
 
 
-def item_vocabulary(items: DataFrame, text: str = "text", limit: int = MAX_VOCABULARY) -> tuple[list[str], list[str]]:
-    """Names and ordinary words of the held-out texts, lower-cased.
+class Codes(dict):
+    """Each written word as ``(code, literal, slot, kind)``, worked out once.
 
-    A name is a word that the texts never write in lower case and at least once
-    with a capital after another word of its sentence. The list is bounded by
-    ``limit``, a property of the held-out set and not of the corpus; beyond it
-    both lists are empty and words stand for themselves.
-    """
-    inner = F.explode(F.regexp_extract_all(F.col(text), F.lit(r"(?<=[\p{L}\p{N},;] )(\p{Lu}[\p{L}]+)"), F.lit(1)))
-    every = items.select(F.explode(words(F.col(text))).alias("w"))
-    small = every.filter(F.col("w") == F.lower("w")).select("w").distinct()
-    names = items.select(inner.alias("w")).select(F.lower("w").alias("w")).distinct().join(small, "w", "left_anti")
-    got = [r["w"] for r in names.limit(limit + 1).collect()]
-    plain = [r["w"] for r in every.select(F.lower("w").alias("w")).distinct().join(names, "w", "left_anti").limit(limit + 1).collect()]
-    return (got, plain) if max(len(got), len(plain)) <= limit else ([], [])
-
-
-def template(ws: str, names: list[str], ordinary: list[str]) -> Column:
-    """Each word lower-cased, with numbers, units and names as typed placeholders.
-
-    A name is one of ``names`` in any case, or a word with a capital that isn't
-    one of the held-out set's ``ordinary`` words: other names in the same slots
-    give the same template, whatever the case of a copied passage. ``ws`` names
-    the column of words.
+    ``code`` is a hash of the lower-cased word. ``slot`` stands for the word in a
+    template: one value for all numbers, one for all units, one for all names
+    (words with a capital and small letters after it), the code otherwise.
+    ``literal`` is the same with names left as they are.
     """
-    quoted = lambda xs: ", ".join("'" + x.replace("\\", "").replace("'", "") + "'" for x in xs) or "''"
-    title = f"(x.w <> x.l and length(x.w) > 1 and substr(x.w, 2) = substr(x.l, 2) and x.l not in ({quoted(ordinary)}))" if ordinary else "false"
-    body = (
-        rf"case when substr(x.w, 1, 1) between '0' and '9' and x.w rlike r'^\p{{N}}+$' then '{NUMBER}' when x.l in ({quoted(UNITS)}) then '{UNIT}' "
-        f"when x.l in ({quoted(names)}) or {title} then '{NAME}' else x.l end")
-    return F.expr(f"transform(transform({ws}, w -> struct(w as w, lower(w) as l)), x -> {body})")
 
+    def __missing__(self, w: str) -> tuple[int, int, int, int]:
+        import xxhash
+
+        low = w.lower()
+        code = xxhash.xxh64_intdigest(low)
+        kind = NUMBER if w.isnumeric() else UNIT if low in UNITS else NAME if len(w) > 1 and w[0] != low[0] and w[1:] == low[1:] else PLAIN
+        self[w] = out = (code, code if kind in (PLAIN, NAME) else kind, code if kind == PLAIN else kind, kind)
+        return out
+
+
+def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each ``k`` successive values (64 bits, wrapping)."""
+    n = len(values) - k + 1
+    h = np.zeros(max(n, 0), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(k):
+            h = (h ^ values[j : j + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    return h
+
+
+def _windows(coded: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, text, position)`` of all windows of several texts, each once literally and once as a template."""
+    every = np.concatenate(coded) if coded else np.zeros((0, 4), dtype=np.uint64)
+    text = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+    start = np.concatenate([[0], np.cumsum([len(c) for c in coded])])[:-1]
+    whole = np.flatnonzero(text[: len(text) - k + 1] == text[k - 1 :]) if len(text) >= k else np.zeros(0, dtype=np.int64)
+    both = np.concatenate([window_hashes(every[:, c], k)[whole] for c in (1, 2)])
+    at = np.concatenate([whole, whole])
+    return both, text[at], at - start[text[at]]
+
+
+class Alignment:
+    """Runs of an item in a document, word by word.
+
+    Words agree if they are equal without case. Where both texts have a slot of
+    one kind (a run of numbers, of names, or a unit) with different words, the
+    slots agree if they are consistent: within the run an item's value always
+    stands for one value of the document and the other way round. Any other
+    differing word is an edit (altered, left out or added): the next two words
+    must then be equal, so edits are single and apart. A value that was refilled
+    with several words and then stands unchanged ends the run. A run covers at least
+    ``MIN_RUN`` words of the item and no more of them in refilled slots than
+    otherwise.
+    """
 
-def windows(df: DataFrame, key: str, text: str, k: int = WINDOW, names: list[str] = (), ordinary: list[str] = ()) -> DataFrame:
-    """``(key, pos, h)``: hashes of all ``k`` successive template words; shorter texts have none."""
-    t = df.select(F.col(key), words(F.col(text)).alias("_w")).select(key, template("_w", names, ordinary).alias("_t")).filter(F.size("_t") >= k)
-    t = t.select(key, F.transform("_t", lambda x: F.xxhash64(x)).alias("_h"))
-    grams = F.transform(F.sequence(F.lit(0), F.size("_h") - k), lambda i: F.xxhash64(*[F.get("_h", i + j) for j in range(k)]))
-    return t.select(key, F.posexplode(grams).alias("pos", "h"))
-
+    def __init__(self, item: np.ndarray, doc: np.ndarray):
+        self.a, self.ka = item[:, 0].tolist(), item[:, 3].tolist()
+        self.b, self.kb = doc[:, 0].tolist(), doc[:, 3].tolist()
+
+    def _slot(self, codes: list, kinds: list, i: int, step: int, kind: int) -> tuple[tuple, int]:
+        """The slot that starts at ``i`` in one direction: its words and the position behind it."""
+        j = i
+        while 0 <= j < len(codes) and kinds[j] == kind and (kind != UNIT or j == i):
+            j += step
+        return tuple(codes[i:j] if step > 0 else codes[j + 1 : i + 1]), j
+
+    def run(self, i: int, j: int, seen: set) -> tuple[int, int]:
+        """``(words of the item covered, of these in refilled slots)`` of the run through equal words at ``i`` and ``j``."""
+        a, b, ka, kb = self.a, self.b, self.ka, self.kb
+        n, m = len(a), len(b)
+        there: dict = {}
+        back: dict = {}
+        refilled = 0
+        ends = []
+        for step in (-1, 1):
+            x, y = (i, j) if step > 0 else (i - 1, j - 1)
+            last = x - step
+            while 0 <= x < n and 0 <= y < m:
+                k = ka[x]
+                if a[x] == b[y]:
+                    one = (a[x],)
+                    if k and max(len(there.setdefault((k, one), one)), len(back.setdefault((k, one), one))) > 1:
+                        break  # the same value was refilled with several words before
+                    seen.add((x, y))
+                    last = x
+                    x, y = x + step, y + step
+                    continue
+                if k and k == kb[y]:
+                    (va, xe), (vb, ye) = self._slot(a, ka, x, step, k), self._slot(b, kb, y, step, k)
+                    if there.setdefault((k, va), vb) == vb and back.setdefault((k, vb), va) == va:
+                        refilled += len(va)
+                        last = xe - step
+                        x, y = xe, ye
+                        continue
+                for da, db in ((1, 1), (1, 0), (0, 1)):
+                    c, d = x + da * step, y + db * step
+                    if 0 <= c < n and 0 <= c + step < n and 0 <= d < m and 0 <= d + step < m and a[c] == b[d] and a[c + step] == b[d + step]:
+                        x, y = c, d
+                        break
+                else:
+                    break
+            ends.append(last)
+        return ends[1] - ends[0] + 1, refilled
 
-def longest_run(item: list[str], doc: list[str], seeds: list[tuple[int, int]]) -> int:
-    """Item words covered by the longest aligned run: equal words, with single words altered, left out or added.
 
-    Grows from seed positions (item, doc) both ways. After a differing word the
-    next two words must agree again, so edits are single and apart.
-    """
+def _longest(al: Alignment, seeds: list[tuple[int, int]]) -> int:
     best = 0
-    done: set[tuple[int, int]] = set()
-
-    def grow(i: int, j: int, step: int) -> tuple[int, int]:
-        """The last equal position reached from (i, j) in one direction."""
-        n, m = len(item), len(doc)
-        at = (i, j)
-
-        def same(a: int, b: int) -> bool:
-            return 0 <= a < n and 0 <= b < m and item[a] == doc[b]
-
-        while True:
-            a, b = at[0] + step, at[1] + step
-            if same(a, b):
-                at = (a, b)
-                done.add(at)
-                continue
-            for da, db in ((1, 1), (1, 0), (0, 1)):
-                c, d = a + da * step, b + db * step
-                if same(c, d) and same(c + step, d + step):
-                    at = (c, d)
-                    done.add(at)
-                    break
-            else:
-                return at
-
+    seen: set = set()
     for i, j in seeds:
-        if (i, j) in done or i >= len(item) or j >= len(doc) or item[i] != doc[j]:
+        if (i, j) in seen or al.a[i] != al.b[j]:
             continue
-        done.add((i, j))
-        lo, hi = grow(i, j, -1), grow(i, j, 1)
-        best = max(best, hi[0] - lo[0] + 1)
+        seen.add((i, j))
+        covered, refilled = al.run(i, j, seen)
+        if 2 * refilled <= covered:
+            best = max(best, covered)
     return best
 
 
-def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", k: int = WINDOW, min_run: int = MIN_RUN) -> DataFrame:
+def longest_run(item: str, doc: str, k: int = WINDOW) -> int:
+    """Item words covered by the longest run of two texts that share a window of ``k`` words; 0 without one."""
+    codes = Codes()
+    a, b = (np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4) for t in (item, doc))
+    (ha, _, pa), (hb, _, pb) = _windows([a], k), _windows([b], k)
+    return _longest(Alignment(a, b), sorted({(int(x) + o, int(y) + o) for h, x in zip(ha, pa) for y in pb[hb == h] for o in range(k)}))
+
+
+class ItemTable:
+    """The held-out texts of one block with all their windows, sorted by hash."""
+
+    def __init__(self, keys: list, texts: list[str], k: int):
+        codes = Codes()
+        self.keys, self.k = keys, k
+        self.coded = [np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4) for t in texts]
+        h, t, p = _windows(self.coded, k)
+        order = np.argsort(h, kind="stable")
+        self.hash, self.item, self.pos = h[order], t[order], p[order]
+
+    def matches(self, coded: list[np.ndarray], min_run: int) -> Iterator[tuple[int, int, int]]:
+        """``(document, item, run)`` of all documents that repeat at least ``min_run`` words of an item."""
+        h, doc, pos = _windows(coded, self.k)
+        lo = np.searchsorted(self.hash, h, "left")
+        n = np.searchsorted(self.hash, h, "right") - lo
+        hit = np.flatnonzero(n)
+        which = np.repeat(hit, n[hit])
+        at = np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(n[hit])])[:-1], n[hit]) + np.arange(len(which))
+        seeds = pd.DataFrame({"d": doc[which], "t": self.item[at], "i": self.pos[at], "j": pos[which]}).drop_duplicates().sort_values(["d", "t", "i", "j"])
+        for (d, t), g in seeds.groupby(["d", "t"], sort=False):
+            starts = {(i + o, j + o) for i, j in zip(g["i"].tolist(), g["j"].tolist()) for o in range(self.k)}
+            run = _longest(Alignment(self.coded[t], coded[d]), sorted(starts))
+            if run >= min_run:
+                yield int(d), int(t), run
+
+
+def _blocks(items: DataFrame, key: str, text: str, block_words: int) -> Iterator[tuple[list, list[str]]]:
+    """Held-out texts in blocks of at most ``block_words`` words (a longer text alone), fetched one partition at a time."""
+    keys, texts, held = [], [], 0
+    for r in items.select(key, text).toLocalIterator():
+        n = len(r[text]) // 2 + 1  # no text has more words
+        if keys and held + n > block_words:
+            yield keys, texts
+            keys, texts, held = [], [], 0
+        keys.append(r[key])
+        texts.append(r[text])
+        held += n
+    if keys:
+        yield keys, texts
+
+
+def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", k: int = WINDOW, min_run: int = MIN_RUN, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(doc_id, item_id, run)``: documents that repeat at least ``min_run`` words in a row of an item.
 
     Words are compared without case, punctuation and spacing; single words here
-    and there may be altered, left out or added. Texts are reduced to templates
-    (numbers, units and names as typed placeholders), all windows of ``k``
-    template words are hashed and joined with those of the items, and each
-    candidate pair is aligned word by word from its shared windows: the slots
-    must then hold the same words, up to single ones, so that a question with
-    other parameters counts only as far as the rest is repeated. ``run`` is the
-    number of item words covered.
-
-    Placeholders keep a window alive when a number, unit or name in it was
-    altered; a leaked run of ``min_run`` words with single alterations shares a
-    window unless other words are altered in each of its windows.
+    and there may be altered, left out or added. All windows of ``k`` words of a
+    document are hashed, once with numbers and units as typed placeholders and
+    once with names too, and probe a hash table of the items' windows. Each pair
+    that shares a window is aligned from there (see ``Alignment``): slots may be
+    refilled, with one word or several, if they are so consistently. ``run`` is
+    the number of item words covered.
+
+    Whether a word is a placeholder depends on the word alone, so results don't
+    depend on the number of items or documents. A run has no seed only if each of
+    its windows holds an altered word that is neither number, unit nor name.
 
     Null and empty texts and texts under ``k`` words match nothing; repeated
-    documents are each reported. Documents of any length are read whole. The
-    items' window table is bounded by the held-out set: its join side is
-    broadcast only while it has at most ``MAX_BROADCAST_ROWS`` windows (a count
-    made first); beyond that the windows are joined by shuffle. Documents go to
-    the aligner only where they share a window with an item.
-    """
-    names, ordinary = item_vocabulary(items, text)
-    iw = windows(items.filter(F.col(text).isNotNull()), item_key, text, k, names, ordinary).withColumnRenamed("pos", "ipos")
-    by_hash = iw.groupBy("h").agg(F.collect_list(F.struct(F.col(item_key).alias("item"), "ipos")).alias("_at"))
-    side = F.broadcast(by_hash) if by_hash.count() <= MAX_BROADCAST_ROWS else by_hash
-    hits = windows(docs.filter(F.col(text).isNotNull()), doc_key, text, k, names, ordinary).join(side, "h")
-    seed = (F.col("_a.ipos").cast("long") * SEED_BASE + F.col("pos")).alias("_s")
-    per_doc = hits.select(doc_key, "pos", F.explode("_at").alias("_a")).select(doc_key, F.col("_a.item").alias("_item"), seed).groupBy(doc_key, "_item").agg(F.collect_list("_s").alias("_seeds"))
-    with_doc = per_doc.join(docs.select(doc_key, F.col(text).alias("_text")), doc_key)
-    cand = with_doc.join(items.select(F.col(item_key).alias("_item"), F.col(text).alias("_itext")), "_item")
-
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        item_words: dict = {}
-        for b in batches:
-            doc_words: dict = {}
-            runs = []
-            for t, it, seeds in zip(b["_text"], b["_itext"], b["_seeds"]):
-                if t not in doc_words:
-                    doc_words[t] = words_of(t)
-                if it not in item_words:
-                    item_words[it] = words_of(it)
-                at = sorted({(s // SEED_BASE + o, s % SEED_BASE + o) for s in seeds.tolist() for o in range(k)})
-                runs.append(longest_run(item_words[it], doc_words[t], at))
-            yield pd.DataFrame({doc_key: b[doc_key], item_key: b["_item"], "run": runs})
+    documents are each reported, repeated items too. Documents are read whole.
 
+    Plan: one scan of the corpus for each block of held-out texts, without a
+    shuffle; only rows that leak leave the worker. A block is bounded by
+    ``block_words``, and so is what is sent to the workers. A held-out set of
+    any size costs more passes, never a larger one.
+    """
     kinds = dict(docs.dtypes)[doc_key], dict(items.dtypes)[item_key]
-    out = cand.select(doc_key, "_text", "_item", "_itext", "_seeds").mapInPandas(align, f"`{doc_key}` {kinds[0]}, `{item_key}` {kinds[1]}, run int")
-    return out.filter(F.col("run") >= min_run)
+    schema = f"`{doc_key}` {kinds[0]}, `{item_key}` {kinds[1]}, run int"
+    spark = docs.sparkSession
+
+    def search(held) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            table = ItemTable(*held.value, k)
+            codes = Codes()
+
+            def found(keys: list, coded: list[np.ndarray]) -> pd.DataFrame:
+                got = [(keys[d], table.keys[t], r) for d, t, r in table.matches(coded, min_run)]
+                return pd.DataFrame({doc_key: [g[0] for g in got], item_key: [g[1] for g in got], "run": [g[2] for g in got]})
+
+            for b in batches:
+                keys, coded, held_words = [], [], 0
+                for key, t in zip(b[doc_key].tolist(), b[text]):
+                    ws = np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4)
+                    keys.append(key)
+                    coded.append(ws)
+                    held_words += len(ws)
+                    if held_words > CHUNK_WORDS:
+                        yield found(keys, coded)
+                        keys, coded, held_words = [], [], 0
+                        if len(codes) > CHUNK_WORDS:
+                            codes.clear()
+                if keys:
+                    yield found(keys, coded)
+
+        return docs.select(doc_key, text).filter(F.col(text).isNotNull()).mapInPandas(run, schema)
+
+    out = spark.createDataFrame([], schema)
+    for n, (keys, texts) in enumerate(_blocks(items.filter(F.col(text).isNotNull()), item_key, text, block_words)):
+        part = search(spark.sparkContext.broadcast((keys, texts)))
+        out = part if n == 0 else out.unionByName(part)
+    return out
