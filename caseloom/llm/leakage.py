@@ -34,7 +34,7 @@ def split_words(text: str) -> list[str]:
 
 
 class Codes(dict):
-    """Each written word as ``(code, literal, slot, kind)``, worked out once.
+    """Numbers each written word on first sight and keeps ``(code, literal, slot, kind)`` of it.
 
     ``code`` is a hash of the lower-cased word. ``slot`` stands for the word in a
     template: one value for all numbers, one for all units, one for all names
@@ -42,14 +42,32 @@ class Codes(dict):
     ``literal`` is the same with names left as they are.
     """
 
-    def __missing__(self, w: str) -> tuple[int, int, int, int]:
+    def __init__(self):
+        super().__init__()
+        self.facts: list[tuple[int, int, int, int]] = []
+        self.table = np.zeros((0, 4), dtype=np.uint64)
+
+    def __missing__(self, w: str) -> int:
         import xxhash
 
         low = w.lower()
         code = xxhash.xxh64_intdigest(low)
         kind = NUMBER if w.isnumeric() else UNIT if low in UNITS else NAME if len(w) > 1 and w[0] != low[0] and w[1:] == low[1:] else PLAIN
-        self[w] = out = (code, code if kind in (PLAIN, NAME) else kind, code if kind == PLAIN else kind, kind)
-        return out
+        self.facts.append((code, code if kind in (PLAIN, NAME) else kind, code if kind == PLAIN else kind, kind))
+        self[w] = n = len(self.facts) - 1
+        return n
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The numbers of a text's words."""
+        ws = split_words(text)
+        return np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws))
+
+    def rows(self, numbers: np.ndarray) -> np.ndarray:
+        """What is kept of words by number, one row each."""
+        if len(self.table) < len(self.facts):
+            new = np.array(self.facts[len(self.table) :], dtype=np.uint64)
+            self.table = np.concatenate([self.table, new])
+        return self.table[numbers]
 
 
 def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
@@ -63,11 +81,12 @@ def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def _windows(coded: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(codes: Codes, texts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hash, text, position)`` of all windows of several texts, each once literally and once as a template."""
-    every = np.concatenate(coded) if coded else np.zeros((0, 4), dtype=np.uint64)
-    text = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
-    start = np.concatenate([[0], np.cumsum([len(c) for c in coded])])[:-1]
+    size = np.array([len(x) for x in texts], dtype=np.int64)
+    every = codes.rows(np.concatenate(texts) if texts else np.zeros(0, dtype=np.int64))
+    text = np.repeat(np.arange(len(texts)), size)
+    start = np.cumsum(size) - size
     whole = np.flatnonzero(text[: len(text) - k + 1] == text[k - 1 :]) if len(text) >= k else np.zeros(0, dtype=np.int64)
     both = np.concatenate([window_hashes(every[:, c], k)[whole] for c in (1, 2)])
     at = np.concatenate([whole, whole])
@@ -154,25 +173,24 @@ def _longest(al: Alignment, seeds: list[tuple[int, int]]) -> int:
 def longest_run(item: str, doc: str, k: int = WINDOW) -> int:
     """Item words covered by the longest run of two texts that share a window of ``k`` words; 0 without one."""
     codes = Codes()
-    a, b = (np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4) for t in (item, doc))
-    (ha, _, pa), (hb, _, pb) = _windows([a], k), _windows([b], k)
-    return _longest(Alignment(a, b), sorted({(int(x) + o, int(y) + o) for h, x in zip(ha, pa) for y in pb[hb == h] for o in range(k)}))
+    a, b = codes.numbers(item), codes.numbers(doc)
+    (ha, _, pa), (hb, _, pb) = _windows(codes, [a], k), _windows(codes, [b], k)
+    return _longest(Alignment(codes.rows(a), codes.rows(b)), sorted({(int(x) + o, int(y) + o) for h, x in zip(ha, pa) for y in pb[hb == h] for o in range(k)}))
 
 
 class ItemTable:
     """The held-out texts of one block with all their windows, sorted by hash."""
 
     def __init__(self, keys: list, texts: list[str], k: int):
-        codes = Codes()
-        self.keys, self.k = keys, k
-        self.coded = [np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4) for t in texts]
-        h, t, p = _windows(self.coded, k)
+        self.codes, self.keys, self.k = Codes(), keys, k
+        self.words = [self.codes.numbers(t) for t in texts]
+        h, t, p = _windows(self.codes, self.words, k)
         order = np.argsort(h, kind="stable")
         self.hash, self.item, self.pos = h[order], t[order], p[order]
 
-    def matches(self, coded: list[np.ndarray], min_run: int) -> Iterator[tuple[int, int, int]]:
+    def matches(self, codes: Codes, docs: list[np.ndarray], min_run: int) -> Iterator[tuple[int, int, int]]:
         """``(document, item, run)`` of all documents that repeat at least ``min_run`` words of an item."""
-        h, doc, pos = _windows(coded, self.k)
+        h, doc, pos = _windows(codes, docs, self.k)
         lo = np.searchsorted(self.hash, h, "left")
         n = np.searchsorted(self.hash, h, "right") - lo
         hit = np.flatnonzero(n)
@@ -181,7 +199,7 @@ class ItemTable:
         seeds = pd.DataFrame({"d": doc[which], "t": self.item[at], "i": self.pos[at], "j": pos[which]}).drop_duplicates().sort_values(["d", "t", "i", "j"])
         for (d, t), g in seeds.groupby(["d", "t"], sort=False):
             starts = {(i + o, j + o) for i, j in zip(g["i"].tolist(), g["j"].tolist()) for o in range(self.k)}
-            run = _longest(Alignment(self.coded[t], coded[d]), sorted(starts))
+            run = _longest(Alignment(self.codes.rows(self.words[t]), codes.rows(docs[d])), sorted(starts))
             if run >= min_run:
                 yield int(d), int(t), run
 
@@ -233,24 +251,23 @@ def leaked_passages(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id",
             table = ItemTable(*held.value, k)
             codes = Codes()
 
-            def found(keys: list, coded: list[np.ndarray]) -> pd.DataFrame:
-                got = [(keys[d], table.keys[t], r) for d, t, r in table.matches(coded, min_run)]
+            def found(keys: list, texts: list[np.ndarray]) -> pd.DataFrame:
+                got = [(keys[d], table.keys[t], r) for d, t, r in table.matches(codes, texts, min_run)]
                 return pd.DataFrame({doc_key: [g[0] for g in got], item_key: [g[1] for g in got], "run": [g[2] for g in got]})
 
             for b in batches:
-                keys, coded, held_words = [], [], 0
+                keys, texts, n = [], [], 0
                 for key, t in zip(b[doc_key].tolist(), b[text]):
-                    ws = np.array([codes[w] for w in split_words(t)], dtype=np.uint64).reshape(-1, 4)
                     keys.append(key)
-                    coded.append(ws)
-                    held_words += len(ws)
-                    if held_words > CHUNK_WORDS:
-                        yield found(keys, coded)
-                        keys, coded, held_words = [], [], 0
-                        if len(codes) > CHUNK_WORDS:
-                            codes.clear()
+                    texts.append(codes.numbers(t))
+                    n += len(texts[-1])
+                    if n > CHUNK_WORDS:
+                        yield found(keys, texts)
+                        keys, texts, n = [], [], 0
+                        if len(codes) > CHUNK_WORDS:  # numbers of words hold within a chunk only
+                            codes = Codes()
                 if keys:
-                    yield found(keys, coded)
+                    yield found(keys, texts)
 
         return docs.select(doc_key, text).filter(F.col(text).isNotNull()).mapInPandas(run, schema)
 
