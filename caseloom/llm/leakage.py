@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,6 +14,7 @@ WINDOW = 5
 MIN_RUN = 15
 BLOCK_WORDS = 2_000_000  # words of held-out texts that one pass over the corpus looks for
 CHUNK_WORDS = 400_000  # words hashed together in a worker
+SIEVE = 1 << 22
 
 # Measuring units that stand for one another in a template.
 UNITS = ("ng", "mg", "g", "kg", "ml", "l", "mcg", "ug", "cm", "mm", "m", "km", "lb", "lbs", "oz", "percent", "hours", "hrs", "doses", "dosis", "tablets", "years", "años", "days", "minutes")
@@ -157,16 +158,17 @@ class Alignment:
         return ends[1] - ends[0] + 1, refilled
 
 
-def _longest(al: Alignment, seeds: list[tuple[int, int]]) -> int:
+def _longest(al: Alignment, seeds: Iterable[tuple[int, int]], k: int) -> int:
+    """Words covered by the longest run through equal words of the shared windows that start at ``seeds``."""
     best = 0
     seen: set = set()
-    for i, j in seeds:
-        if (i, j) in seen or al.a[i] != al.b[j]:
-            continue
-        seen.add((i, j))
-        covered, refilled = al.run(i, j, seen)
-        if 2 * refilled <= covered:
-            best = max(best, covered)
+    for x, y in seeds:
+        for i, j in zip(range(x, x + k), range(y, y + k)):
+            if (i, j) not in seen and al.a[i] == al.b[j]:
+                seen.add((i, j))
+                covered, refilled = al.run(i, j, seen)
+                if 2 * refilled <= covered:
+                    best = max(best, covered)
     return best
 
 
@@ -175,7 +177,7 @@ def longest_run(item: str, doc: str, k: int = WINDOW) -> int:
     codes = Codes()
     a, b = codes.numbers(item), codes.numbers(doc)
     (ha, _, pa), (hb, _, pb) = _windows(codes, [a], k), _windows(codes, [b], k)
-    return _longest(Alignment(codes.rows(a), codes.rows(b)), sorted({(int(x) + o, int(y) + o) for h, x in zip(ha, pa) for y in pb[hb == h] for o in range(k)}))
+    return _longest(Alignment(codes.rows(a), codes.rows(b)), sorted({(int(x), int(y)) for h, x in zip(ha, pa) for y in pb[hb == h]}), k)
 
 
 class ItemTable:
@@ -187,21 +189,25 @@ class ItemTable:
         h, t, p = _windows(self.codes, self.words, k)
         order = np.argsort(h, kind="stable")
         self.hash, self.item, self.pos = h[order], t[order], p[order]
+        self.sieve = np.zeros(SIEVE, dtype=bool)  # which low bits occur: most windows of a corpus stop here
+        self.sieve[h & np.uint64(SIEVE - 1)] = True
 
     def matches(self, codes: Codes, docs: list[np.ndarray], min_run: int) -> Iterator[tuple[int, int, int]]:
         """``(document, item, run)`` of all documents that repeat at least ``min_run`` words of an item."""
         h, doc, pos = _windows(codes, docs, self.k)
-        lo = np.searchsorted(self.hash, h, "left")
-        n = np.searchsorted(self.hash, h, "right") - lo
-        hit = np.flatnonzero(n)
-        which = np.repeat(hit, n[hit])
-        at = np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(n[hit])])[:-1], n[hit]) + np.arange(len(which))
-        seeds = pd.DataFrame({"d": doc[which], "t": self.item[at], "i": self.pos[at], "j": pos[which]}).drop_duplicates().sort_values(["d", "t", "i", "j"])
-        for (d, t), g in seeds.groupby(["d", "t"], sort=False):
-            starts = {(i + o, j + o) for i, j in zip(g["i"].tolist(), g["j"].tolist()) for o in range(self.k)}
-            run = _longest(Alignment(self.codes.rows(self.words[t]), codes.rows(docs[d])), sorted(starts))
+        hit = np.flatnonzero(self.sieve[h & np.uint64(SIEVE - 1)])
+        lo = np.searchsorted(self.hash, h[hit], "left")
+        n = np.searchsorted(self.hash, h[hit], "right") - lo
+        which = np.repeat(hit, n)
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(len(which))
+        seeds = np.stack([doc[which], self.item[at], self.pos[at], pos[which]], axis=1)
+        seeds = seeds[np.lexsort(seeds.T[::-1])]
+        ends = np.flatnonzero(np.any(seeds[1:, :2] != seeds[:-1, :2], axis=1)) + 1
+        for part in np.split(seeds, ends) if len(seeds) else ():
+            d, t = int(part[0, 0]), int(part[0, 1])
+            run = _longest(Alignment(self.codes.rows(self.words[t]), codes.rows(docs[d])), part[:, 2:].tolist(), self.k)
             if run >= min_run:
-                yield int(d), int(t), run
+                yield d, t, run
 
 
 def _blocks(items: DataFrame, key: str, text: str, block_words: int) -> Iterator[tuple[list, list[str]]]:
