@@ -22,7 +22,8 @@ def p2_lifespans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
-    return drift.consistent_rows(table(spark, d, "raw_rows"), ["feed", "file_no", "row_no"])
+    t = drift.consistent_rows(table(spark, d, "raw_rows"), ["feed", "file_no", "row_no"])
+    return t.withColumns({c: F.to_json(c) for c in ("_other", "_unread")}).withColumnsRenamed({"_other": "other", "_unread": "unread"})
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +75,59 @@ _edges = (
     "rings AS (SELECT area_id, CT20, part, unnest(p) AS r FROM parts), edges AS (SELECT area_id, CT20, part, r[i] AS a, r[i + 1] AS b FROM (SELECT area_id, CT20, part, r, unnest(range(1, len(r))) AS i FROM rings)), "
     "pts AS (SELECT DISTINCT lon, lat FROM audit_stability WHERE lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90), "
     "hits AS (SELECT lon, lat, area_id, CT20, part, count(*) AS n FROM pts JOIN edges ON (a[2] > lat) <> (b[2] > lat) AND lon < (b[1] - a[1]) * (lat - a[2]) / (b[2] - a[2]) + a[1] GROUP BY ALL), inside AS (SELECT DISTINCT lon, lat, area_id, CT20 FROM hits WHERE n % 2 = 1)")
+# Fields of the extracts: one row for each field of each readable record, and the names they stand for.
+_names = ", ".join(f"('{drift.plain_name(a)}', '{c}', {i})" for c, ns in drift.ALIASES.items() for i, a in enumerate((c, *ns)))
+_cells = (
+    f"names AS (SELECT plain, min(canon) AS canon, min(rank) AS rank FROM (VALUES {_names}) n(plain, canon, rank) GROUP BY plain), "
+    "ok AS (SELECT feed, file_no, row_no, CASE WHEN json_valid(record) AND json_type(record) = 'OBJECT' THEN CAST(record AS JSON) END AS j FROM raw_rows), "
+    "keys AS (SELECT feed, file_no, row_no, j, unnest(json_keys(j)) AS field FROM ok WHERE j IS NOT NULL), "
+    "cells AS (SELECT feed, file_no, row_no, field, regexp_replace(lower(field), '[^a-z0-9.#]', '', 'g') AS plain, json_extract(j, '$.\"' || field || '\"') AS x FROM keys)")
+_kinds = (
+    "kinds AS (SELECT feed, file_no, field, min(plain) AS plain, CASE json_type(x) WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'decimal number' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'whole number' END AS kind, count(*) AS n FROM cells GROUP BY feed, file_no, field, kind), "
+    "cat AS (SELECT feed, file_no, field, min(plain) AS plain, arg_max(kind, (n, kind)) FILTER (WHERE kind IS NOT NULL) AS kind FROM kinds GROUP BY feed, file_no, field), "
+    "files AS (SELECT feed, file_no, row_number() OVER w AS ord, lag(file_no) OVER w AS prev, lead(file_no) OVER w AS next FROM (SELECT DISTINCT feed, file_no FROM raw_rows) WINDOW w AS (PARTITION BY feed ORDER BY file_no)), "
+    "named AS (SELECT c.*, coalesce(canon, plain) AS canon, canon IS NOT NULL AS known, ord, prev, next FROM cat c LEFT JOIN names USING (plain) JOIN files USING (feed, file_no))")
+# By comparing each file with the one before; every name of these feeds is in the alias table, so contents needn't be compared.
+_changes = (
+    f"WITH {_cells}, {_kinds}, o AS (SELECT feed, next AS file_no, field, canon, kind FROM named WHERE next IS NOT NULL), n AS (SELECT feed, file_no, field, canon, kind FROM named WHERE prev IS NOT NULL), "
+    "gone AS (SELECT *, row_number() OVER (PARTITION BY feed, file_no, canon ORDER BY field) AS i FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.feed = o.feed AND n.file_no = o.file_no AND n.field = o.field)), "
+    "come AS (SELECT *, row_number() OVER (PARTITION BY feed, file_no, canon ORDER BY field) AS i FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE n.feed = o.feed AND n.file_no = o.file_no AND n.field = o.field)), "
+    "both_ AS (SELECT n.feed, n.file_no, o.field AS f, n.field AS t, o.kind AS ok, n.kind AS nk FROM n JOIN o ON n.feed = o.feed AND n.file_no = o.file_no AND n.field = o.field UNION ALL SELECT come.feed, come.file_no, gone.field, come.field, gone.kind, come.kind FROM come JOIN gone USING (feed, file_no, canon, i)) "
+    "SELECT feed, file_no, 'retyped' AS change, f AS old_field, t AS new_field FROM both_ WHERE ok <> nk UNION ALL SELECT feed, file_no, 'renamed', f, t FROM both_ WHERE f <> t "
+    "UNION ALL SELECT feed, file_no, 'removed', field, '' FROM gone ANTI JOIN come USING (feed, file_no, canon, i) UNION ALL SELECT feed, file_no, 'added', '', field FROM come ANTI JOIN gone USING (feed, file_no, canon, i)")
+_spans = (
+    f"WITH {_cells}, {_kinds}, k AS (SELECT *, coalesce(kind, 'null') AS k FROM named), i AS (SELECT *, ord - row_number() OVER (PARTITION BY feed, field, k ORDER BY ord) AS island FROM k) "
+    "SELECT feed, field, k AS kind, min(canon) AS canonical, min(file_no) AS first_file, max(file_no) AS last_file, count(*) AS n_files, min(ord) AS first_ord, arg_max(coalesce(next, -1), ord) AS next_file FROM i GROUP BY feed, field, k, island")
+_spans = f"SELECT * REPLACE (nullif(next_file, -1) AS next_file) FROM ({_spans})"
+_mixed = "coalesce(try_strptime(trim(v), ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%d %H:%M:%S', '%m/%d/%Y %H:%M:%S', '%d %b %Y', '%d-%b-%Y']))::DATE"
+_cast_sql = {
+    "case number": r"CASE WHEN regexp_matches(v, '^\D*(19|20)\d{2} ?- ?\d+$') THEN regexp_extract(v, '((?:19|20)\d{2}) ?- ?0*(\d+)$', 1) || '-' || lpad(regexp_extract(v, '((?:19|20)\d{2}) ?- ?0*(\d+)$', 2), greatest(5, length(regexp_extract(v, '((?:19|20)\d{2}) ?- ?0*(\d+)$', 2)), 5)::INT, '0') END",
+    "date": _mixed,
+    "zip": r"coalesce(nullif(regexp_extract(regexp_replace(v, '\.0$', ''), '(\d{5})', 1), ''), CASE WHEN regexp_matches(trim(v), '^\d{3,4}$') THEN lpad(trim(v), 5, '0') END)",
+    "number": r"CAST(nullif(regexp_extract(v, '(\d+)', 1), '') AS DOUBLE)",
+    "flag": "CASE WHEN lower(trim(v)) IN ('1', 'true', 'yes', 'y') THEN 1 WHEN lower(trim(v)) IN ('0', 'false', 'no', 'n') THEN 0 END",
+    "text": "v",
+}
+
+
+def _typed_sql(c: str) -> str:
+    v = f"(SELECT {_cast_sql[drift.TYPES.get(c, 'text')]} FROM (SELECT w.\"{c}\" AS v))"
+    return f'{v} AS "{c}"'
+
+
+_table_sql = (
+    f"WITH {_cells}, t AS (SELECT feed, file_no, row_no, canon, field, plain, rank, CASE json_type(x) WHEN 'OBJECT' THEN array_to_string(list_transform(json_keys(x), lambda k: json_extract_string(x, '$.\"' || k || '\"')), '-') "
+    r"WHEN 'ARRAY' THEN array_to_string(CAST(x AS VARCHAR[]), '; ') ELSE regexp_replace(json_extract_string(x, '$'), '^(-?\d+)\.0+$', '\1') END AS v FROM cells LEFT JOIN names USING (plain) WHERE json_type(x) <> 'NULL'), "
+    "g AS (SELECT feed, file_no, row_no, canon, arg_min(v, (rank, field <> canon, field)) AS v FROM t WHERE canon IS NOT NULL GROUP BY ALL), "
+    "w AS (SELECT r.feed, r.file_no, r.row_no, " + ", ".join(f"max(v) FILTER (WHERE canon = '{c}') AS \"{c}\"" for c in drift.ALIASES) + " FROM raw_rows r LEFT JOIN g USING (feed, file_no, row_no) GROUP BY ALL), "
+    "o AS (SELECT feed, file_no, row_no, string_agg(to_json(field) || ':' || to_json(v), ',' ORDER BY field) AS other FROM t WHERE canon IS NULL GROUP BY ALL), "
+    "c AS (SELECT feed, file_no, row_no, " + ", ".join(_typed_sql(c) for c in drift.ALIASES) + " FROM w) "
+    "SELECT c.*, '{' || coalesce(other, '') || '}' AS other, '{' || concat_ws(',', " + ", ".join(f"CASE WHEN w.\"{c}\" IS NOT NULL AND c.\"{c}\" IS NULL THEN '\"{c}\":' || to_json(w.\"{c}\") END" for c in drift.ALIASES if c in drift.TYPES) + ") || '}' AS unread "
+    "FROM c JOIN w USING (feed, file_no, row_no) LEFT JOIN o USING (feed, file_no, row_no)")
 ORACLE: dict[str, str] = {
+    "p2_found": _changes,
+    "p2_lifespans": _spans,
+    "p2_table": _table_sql,
     "p5_found": (
         f"WITH l AS ({_last}), prev AS (SELECT s, lag(s) OVER (ORDER BY s) AS p FROM (SELECT DISTINCT s FROM l)), c AS (SELECT l.*, p FROM l JOIN prev USING (s)) "
         "SELECT c.s AS snapshot_no, c.k AS CaseNumber, 'added' AS change, '' AS field FROM c WHERE p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM l o WHERE o.s = c.p AND o.k = c.k) "

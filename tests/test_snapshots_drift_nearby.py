@@ -46,6 +46,36 @@ def test_schema_changes(spark):
     assert drift.schema_changes(df.limit(0)).count() == 0
 
 
+def test_unknown_names_are_matched_by_content(spark):
+    """Names that no alias covers: two text fields renamed in one file, one of them retyped to an array, and an unrelated one added."""
+    rng = random.Random(2)
+    fall, drug = ["fell", "from", "the", "ladder", "stairs"], ["took", "pills", "and", "spirits"]
+    say = lambda ws: " ".join(rng.choice(ws) for _ in range(4)) + " " * 60 + rng.choice(ws)  # noqa: E731 - differs only far behind the start
+    files = {
+        1: [{"alpha": say(fall), "beta": say(drug), "code": f"{rng.randrange(1000)}-{rng.randrange(10)}"} for _ in range(40)],
+        2: [{"gamma": say(drug), "delta": [say(fall)], "count": rng.randrange(9), "ref": f"{rng.randrange(1000)}-{rng.randrange(10)}"} for _ in range(40)],
+    }
+    df = spark.createDataFrame(_raw(files), "feed string, file_no int, row_no int, record string")
+    assert rows(drift.schema_changes(df)) == [
+        ("f", 2, "added", "", "count"), ("f", 2, "renamed", "alpha", "delta"), ("f", 2, "renamed", "beta", "gamma"), ("f", 2, "renamed", "code", "ref"), ("f", 2, "retyped", "alpha", "delta")]
+
+
+def test_consistent_rows_keep_everything(spark):
+    recs = [
+        {"Case Number": "2020-7", "CaseNumber": "2021-8", "Zip": 3919, "Age": "44 years", "DeathDate": "1/2/2020", "new field": "x", "n": {"a": 1, "b": [2]}},
+        {"DeathDate": "someday", "fentanyl_flag": True, "SourcePages": [1, 2], "CaseNum": {"year": 2020, "serial": 9}}, '{"a": 1, "a": 2, "zip": "90001"}', "{", None, "[1]", "{}"]
+    df = spark.createDataFrame(_raw({1: recs}), "feed string, file_no int, row_no int, record string")
+    got = {r["row_no"]: r.asDict() for r in drift.consistent_rows(df, ["row_no"]).collect()}
+    assert len(got) == len(recs)
+    one = got[0]
+    assert (one["CaseNumber"], one["DeathZip"], one["Age"], str(one["DeathDate"])) == ("2021-00008", "03919", 44.0, "2020-01-02")
+    assert one["_other"] == {"new field": "x", "n": "1-[2]"} and one["_unread"] == {}
+    two = got[1]
+    assert (two["CaseNumber"], two["Fentanyl"], two["SourcePages"], two["DeathDate"]) == ("2020-00009", 1, "1; 2", None) and two["_unread"] == {"DeathDate": "someday"}
+    assert got[2]["DeathZip"] == "90001" and set(got[2]["_other"]) == {"a"}
+    assert all(got[i]["CaseNumber"] is None and got[i]["_other"] == {} for i in (3, 4, 5, 6))
+
+
 SQUARE = '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1],[0,0]],[[0.4,0.4],[0.6,0.4],[0.6,0.6],[0.4,0.6],[0.4,0.4]]]}'
 TWO = '{"type":"MultiPolygon","coordinates":[[[[2,0],[3,0],[3,1],[2,1],[2,0]]],[[[0.9,0.9],[1.5,0.9],[1.5,1.5],[0.9,1.5],[0.9,0.9]]]]}'
 
