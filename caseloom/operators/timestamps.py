@@ -1,16 +1,17 @@
 """Mixed timestamp formats and zones brought to one unambiguous form.
 
-Every written value is expanded into the array of its valid readings; where a
+Every written value is expanded into the array of its valid readings. Where a
 value has more than one, a Viterbi search over the record order of its source
-picks the readings, at a cost for switching the notation and for jumping back
-in time.
+picks the readings, at a cost for switching the notation, for jumping back in
+time and for contradicting the order of day and month that the source declares.
 
 The search is exact and split: records are cut into blocks of bounded size
 along the order of their source, each block is reduced to its min-plus matrix
 (cost from each reading of its first record to each of its last), the matrices
 of a source are chained, and each block is then decoded by itself. A source of
-any size costs only more blocks. Sources whose values all have one reading have
-one path and take no part.
+any size costs only more blocks. Of the records with one reading only those next
+to an open one enter the search: what lies between two of them costs the same on
+every path.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from caseloom.session import cut
 SWITCH_COST = 1.0
 BACK_COST = 0.5
 BACK_SCALE_DAYS = 30.0
+# More than one value can save by another reading (two switches and two jumps): a declared order holds wherever it gives a date.
+DECLARED_COST = 3.5
 BLOCK_ROWS = 20_000
 
 
@@ -36,16 +39,16 @@ def _step(na: list, da: list, nb: list, db: list, back: float) -> np.ndarray:
     return switch + back * np.minimum(1.0, gap / BACK_SCALE_DAYS)
 
 
-def _matrix(names: list, days: list, back: float) -> np.ndarray:
-    """Least cost from each reading of the first record to each of the last."""
+def _matrix(names: list, days: list, costs: list, back: float) -> np.ndarray:
+    """Least cost from each reading of the first record to each of the last; the first record's own costs don't count."""
     k = len(names[0])
     m = np.where(np.eye(k, dtype=bool), 0.0, np.inf)
     for i in range(1, len(names)):
-        m = (m[:, :, None] + _step(names[i - 1], days[i - 1], names[i], days[i], back)[None]).min(axis=1)
+        m = (m[:, :, None] + _step(names[i - 1], days[i - 1], names[i], days[i], back)[None]).min(axis=1) + np.asarray(costs[i], float)
     return m
 
 
-def _decode(names: list, days: list, first: int, last: int, back: float) -> list[int]:
+def _decode(names: list, days: list, costs: list, first: int, last: int, back: float) -> list[int]:
     """The cheapest path between two fixed readings; ties go to the earlier reading."""
     cost = np.full(len(names[0]), np.inf)
     cost[first] = 0.0
@@ -53,78 +56,104 @@ def _decode(names: list, days: list, first: int, last: int, back: float) -> list
     for i in range(1, len(names)):
         t = cost[:, None] + _step(names[i - 1], days[i - 1], names[i], days[i], back)
         via.append(t.argmin(axis=0))
-        cost = t.min(axis=0)
+        cost = t.min(axis=0) + np.asarray(costs[i], float)
     path = [last]
     for v in reversed(via):
         path.append(int(v[path[-1]]))
     return path[::-1]
 
 
-def choose_readings(df: DataFrame, source: str, received: str, key: str, readings: str, back_cost: float = BACK_COST, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
-    """``(key, choice)`` for every row of a source that has some ambiguous value.
+def _same_number(x: Column) -> Column:
+    """Whether a reading of figures has one number as day and month."""
+    d = F.date_from_unix_date(x["day"])
+    return F.coalesce(x["notation"].isin("mdy", "dmy") & (F.dayofmonth(d) == F.month(d)), F.lit(False))
 
-    ``choice`` is the index into the array ``readings``; rows not listed have at
-    most one reading. None if no row has more than one: every path is then the
-    only one. Rows with an empty array are left out. The record order of a
-    source is the minute of receipt, then the key (a unique whole number); rows
-    never received stand first, rows without a source keep their first reading.
-    Blocks hold about ``block_rows`` rows, also where one minute received all.
+
+def choose_readings(df: DataFrame, source: str, received: str, key: str, readings: dict[str, float], declared: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``(key, field, choice)`` for every row with more than one reading of a field.
+
+    ``readings`` names the array columns of readings with the cost of a jump
+    back in time by ``BACK_SCALE_DAYS`` or more; ``choice`` is the index of the
+    reading chosen. ``declared`` names a column with the order (``mdy`` or
+    ``dmy``) that the source declares; a reading in the other order costs
+    ``DECLARED_COST``. Rows with no or one reading are not listed, nor are rows
+    without a source: their first reading holds.
+
+    The record order of a source is the minute of receipt, then the key (a
+    unique whole number); rows never received stand first. Blocks hold about
+    ``block_rows`` rows. A minute in which more were received is cut into ranges
+    of equal width between its least and greatest key, so numbered and hashed
+    keys are both spread; rows of one minute are never sorted in one task.
     """
-    if df.filter(F.size(readings) > 1).isEmpty():
-        return None
-    open_sources = df.filter(F.size(readings) > 1).select(source).distinct()
     minute = F.coalesce(F.date_trunc("minute", F.col(received)), F.timestamp_seconds(F.lit(0)))
-    rows = df.filter(F.size(readings) > 0).join(open_sources, source, "left_semi").select(source, F.col(key).alias("_key"), F.col(readings)["notation"].alias("_names"), F.col(readings)["day"].alias("_days"), minute.alias("_minute"))
-    # Minutes are counted first, crowded ones cut by key: only these counts are sorted by source, not the rows.
-    crowd = rows.groupBy(source, "_minute").agg(F.count("*").alias("_n")).filter(F.col("_n") > block_rows).select(source, "_minute", F.lit(True).alias("_crowded"))
-    rows = rows.join(crowd, [source, "_minute"], "left").withColumn("_sub", F.when(F.col("_crowded"), F.expr(f"_key div {block_rows}")).otherwise(0)).drop("_crowded")
-    w = Window.partitionBy(source).orderBy("_minute", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(source, "_minute", "_sub").agg(F.count("*").alias("_n")).select(source, "_minute", "_sub", F.floor(F.coalesce(F.sum("_n").over(w), F.lit(0)) / block_rows).cast("long").alias("_block"))
-    rows = rows.join(blocks, [source, "_minute", "_sub"]).drop("_sub")
-    order = ["_minute", "_key"]
+    order = F.col(declared) if declared else F.lit(None).cast("string")
+    cost = lambda x: F.when(x["notation"].isin("mdy", "dmy") & (x["notation"] != order), DECLARED_COST).otherwise(0.0)
+    # Figures whose day and month are one number have one reading but speak for neither order: both stand for it in the search.
+    read = lambda c: F.transform(c, lambda x: F.struct(x["notation"].alias("notation"), x["day"].alias("day")))
+    swap = lambda x: F.struct(F.when(x["notation"] == "mdy", "dmy").otherwise("mdy").alias("notation"), x["day"].alias("day"))
+    even = lambda c: (F.size(c) == 1) & _same_number(F.get(c, F.lit(0)))
+    both = lambda c: F.when(even(c), F.concat(read(c), F.transform(c, swap))).otherwise(read(c))
+    field = lambda c, q: F.struct(F.lit(c).alias("field"), (F.size(c) > 1).alias("open"), q["notation"].alias("names"), q["day"].alias("days"), F.transform(q, lambda x: F.coalesce(cost(x), F.lit(0.0))).alias("costs"))
+    fields = F.array(*[field(c, both(c)) for c in readings])
+    long = df.filter(F.col(source).isNotNull()).select(F.col(source).alias("_src"), F.col(key).alias("_key"), minute.alias("_minute"), F.explode(fields).alias("_f")).select("_src", "_key", "_minute", "_f.*").filter(F.size("names") > 0)
+    part = ["field", "_src"]
+    rows = long.join(long.filter("open").select(*part).distinct(), part, "left_semi")
+    # Rows are counted by minute, crowded minutes by range of keys too: only these counts are sorted by source, not the rows.
+    span = rows.groupBy(*part, "_minute").agg(F.count("*").alias("_n"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi")).filter(F.col("_n") > block_rows)
+    rows = rows.join(span, [*part, "_minute"], "left")
+    width = F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1
+    share = (F.col("_key").cast("double") - F.col("_lo").cast("double")) / width * F.ceil(F.col("_n") / block_rows)
+    rows = rows.withColumn("_sub", F.coalesce(F.floor(share), F.lit(0)).cast("long")).drop("_n", "_lo", "_hi")
+    w = Window.partitionBy(*part).orderBy("_minute", "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*part, "_minute", "_sub").agg(F.count("*").alias("_n")).select(*part, "_minute", "_sub", F.floor(F.coalesce(F.sum("_n").over(w), F.lit(0)) / block_rows).cast("long").alias("_block"))
+    in_block = Window.partitionBy(*part, "_block").orderBy("_minute", "_key")
+    n = F.size("names")
+    near = (n > 1) | (F.coalesce(F.lag(n).over(in_block), F.lit(2)) > 1) | (F.coalesce(F.lead(n).over(in_block), F.lit(2)) > 1)  # also the first and the last row of a block
+    rows = rows.join(blocks, [*part, "_minute", "_sub"]).drop("_sub").withColumn("_near", near).filter("_near").drop("_near")
+
+    def ordered(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list, list, list]:
+        pdf = pdf.sort_values(["_minute", "_key"], kind="stable")
+        return pdf, *([list(x) for x in pdf[c]] for c in ("names", "days", "costs"))
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        n, d = [list(x) for x in pdf["_names"]], [list(x) for x in pdf["_days"]]
-        m = _matrix(n, d, back_cost)
-        return pd.DataFrame({source: [pdf[source].iloc[0]], "_block": [pdf["_block"].iloc[0]], "_fn": [n[0]], "_fd": [d[0]], "_ln": [n[-1]], "_ld": [d[-1]], "_m": [m.ravel().tolist()]})
+        pdf, n, d, c = ordered(pdf)
+        m = _matrix(n, d, c, readings[pdf["field"].iloc[0]])
+        return pd.DataFrame({"field": [pdf["field"].iloc[0]], "_src": [pdf["_src"].iloc[0]], "_block": [pdf["_block"].iloc[0]], "_fn": [n[0]], "_fd": [d[0]], "_fc": [c[0]], "_ln": [n[-1]], "_ld": [d[-1]], "_m": [m.ravel().tolist()]})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
+        back = readings[pdf["field"].iloc[0]]
         ms = [np.asarray(m).reshape(len(a), len(b)) for m, a, b in zip(pdf["_m"], pdf["_fn"], pdf["_ln"])]
+        first = [np.asarray(c, float) for c in pdf["_fc"]]
         entry, exits = [], []
-        cost = ms[0]
+        cost = first[0][:, None] + ms[0]
         arg = [cost.argmin(axis=0)]
         best = [cost.min(axis=0)]
         links = [None]
         for i in range(1, len(ms)):
-            t = best[-1][:, None] + _step(list(pdf["_ln"].iloc[i - 1]), list(pdf["_ld"].iloc[i - 1]), list(pdf["_fn"].iloc[i]), list(pdf["_fd"].iloc[i]), back_cost)
+            t = best[-1][:, None] + _step(list(pdf["_ln"].iloc[i - 1]), list(pdf["_ld"].iloc[i - 1]), list(pdf["_fn"].iloc[i]), list(pdf["_fd"].iloc[i]), back)
             links.append(t.argmin(axis=0))
-            c = t.min(axis=0)[:, None] + ms[i]
+            c = (t.min(axis=0) + first[i])[:, None] + ms[i]
             arg.append(c.argmin(axis=0))
             best.append(c.min(axis=0))
         out = int(best[-1].argmin())
         for i in range(len(ms) - 1, -1, -1):
             exits.append(out)
-            first = int(arg[i][out])
-            entry.append(first)
+            begin = int(arg[i][out])
+            entry.append(begin)
             if i:
-                out = int(links[i][first])
-        return pd.DataFrame({source: pdf[source].to_numpy(), "_block": pdf["_block"].to_numpy(), "_first": entry[::-1], "_last": exits[::-1]})
+                out = int(links[i][begin])
+        return pd.DataFrame({"field": pdf["field"].to_numpy(), "_src": pdf["_src"].to_numpy(), "_block": pdf["_block"].to_numpy(), "_first": entry[::-1], "_last": exits[::-1]})
 
     def decode(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        path = _decode([list(x) for x in pdf["_names"]], [list(x) for x in pdf["_days"]], int(pdf["_first"].iloc[0]), int(pdf["_last"].iloc[0]), back_cost)
-        return pd.DataFrame({key: pdf["_key"].to_numpy(), "choice": path})
+        pdf, n, d, c = ordered(pdf)
+        path = _decode(n, d, c, int(pdf["_first"].iloc[0]), int(pdf["_last"].iloc[0]), readings[pdf["field"].iloc[0]])
+        return pd.DataFrame({key: pdf["_key"].to_numpy(), "field": pdf["field"].to_numpy(), "choice": path})[pdf["open"].to_numpy()]
 
-    kind = dict(df.dtypes)
-    sums = rows.groupBy(source, "_block").applyInPandas(summarise, f"`{source}` {kind[source]}, _block long, _fn array<string>, _fd array<int>, _ln array<string>, _ld array<int>, _m array<double>")
-    ends = sums.groupBy(source).applyInPandas(chain, f"`{source}` {kind[source]}, _block long, _first int, _last int")
-    return rows.join(ends, [source, "_block"]).groupBy(source, "_block").applyInPandas(decode, f"`{key}` {kind[key]}, choice int")
-
-
-def _pick(readings: Column, choice: Column) -> Column:
-    return F.get(readings, F.coalesce(choice, F.lit(0)))
+    own = f"field string, _src {dict(df.dtypes)[source]}, _block long"
+    sums = rows.groupBy(*part, "_block").applyInPandas(summarise, f"{own}, _fn array<string>, _fd array<int>, _fc array<double>, _ln array<string>, _ld array<int>, _m array<double>")
+    ends = sums.groupBy(*part).applyInPandas(chain, f"{own}, _first int, _last int")
+    return rows.join(ends, [*part, "_block"]).groupBy(*part, "_block").applyInPandas(decode, f"`{key}` {dict(df.dtypes)[key]}, field string, choice int")
 
 
 def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id", source: str = "source_file", received: str = "received_at", date: str = "DeathDate", time: str = "DeathTime", birth: str = "DateofBirth") -> DataFrame:
@@ -141,30 +170,33 @@ def normalise_timestamps(df: DataFrame, sources: DataFrame, key: str = "row_id",
     Moments keep whole minutes, seconds are dropped. Null, blank and placeholder
     texts are missing; unreadable text counts as missing. Rows are neither
     dropped nor repeated; other columns pass through.
+
+    Plan: values are read once and written once; only rows with an open reading
+    (figures of which either may be the month) are joined with their choice.
     """
     about = sources.select(F.col(source), F.col("time_zone").alias("_zone"), F.col("date_order").alias("_order")).dropDuplicates([source])
+    open_order = "cast(null as string)"
     r = df.join(about, source, "left").withColumns({
-        "_dr": date_readings(f"`{date}`", f"`{received}`", "_order"),
-        "_br": date_readings(f"`{birth}`", f"`{received}`", "_order"),
+        "_dr": date_readings(f"`{date}`", f"`{received}`", open_order),
+        "_br": date_readings(f"`{birth}`", f"`{received}`", open_order),
     })
     r = cut(r)
-    slim = r.select(key, source, received, "_dr", "_br")
-    for col, back, name in (("_dr", BACK_COST, "_dc"), ("_br", 0.0, "_bc")):
-        picked = choose_readings(slim, source, received, key, col, back)
-        if picked is None:
-            r = r.withColumn(name, F.lit(0))
-        else:
-            r = r.join(picked.withColumnRenamed("choice", name), key, "left")
-    d, b, t = _pick(F.col("_dr"), F.col("_dc")), _pick(F.col("_br"), F.col("_bc")), time_reading(f"`{time}`")
-    r = r.withColumns({"_d": d, "_b": b, "_t": t})
+    picked = choose_readings(r.select(key, source, received, "_order", "_dr", "_br"), source, received, key, {"_dr": BACK_COST, "_br": 0.0}, "_order")
+    choices = picked.groupBy(key).agg(*[F.max(F.when(F.col("field") == f, F.col("choice"))).alias(n) for f, n in (("_dr", "_dc"), ("_br", "_bc"))])
+    unsure = (F.size("_dr") > 1) | (F.size("_br") > 1)
+    none = F.lit(None).cast("int")
+    r = r.filter(~unsure).withColumns({"_dc": none, "_bc": none}).unionByName(r.filter(unsure).join(choices, key, "left"))
+    pick = lambda c, i: F.get(c, F.coalesce(F.col(i), F.lit(0)))
+    r = r.withColumns({"_d": pick("_dr", "_dc"), "_b": pick("_br", "_bc"), "_t": time_reading(f"`{time}`")})
     r = r.withColumns({"_sec": F.coalesce("_d.seconds", "_t.seconds"), "_off": F.coalesce("_d.offset", "_t.offset")})
     r = r.withColumn("_utc", to_utc_seconds("cast(_d.day as bigint) * 86400 + _sec", "_off", "coalesce(_zone, 'UTC')"))
+    notation = lambda c: F.when(_same_number(F.col(c)) & F.col("_order").isNotNull(), F.col("_order")).otherwise(F.col(f"{c}.notation"))
     return r.withColumns({
         "moment_utc": F.timestamp_seconds(F.floor(F.col("_utc") / 60) * 60),
         "moment_status": F.when(F.col("_d").isNull(), "no date").when(F.col("_sec").isNull(), "no time").when(F.col("_utc").isNull(), "clock change").otherwise("ok"),
-        "moment_notation": F.col("_d.notation"),
+        "moment_notation": notation("_d"),
         "birth_day": F.date_from_unix_date(F.col("_b.day")),
-        "birth_notation": F.col("_b.notation"),
+        "birth_notation": notation("_b"),
     }).drop("_zone", "_order", "_dr", "_br", "_dc", "_bc", "_d", "_b", "_t", "_sec", "_off", "_utc")
 
 

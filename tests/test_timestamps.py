@@ -49,12 +49,12 @@ def test_moments_and_clock_changes(spark):
     assert empty.count() == 0 and "moment_utc" in empty.columns
 
 
-def _paths(spark, texts, block, apart=60):
+def _paths(spark, texts, block, apart=60, ids=int):
     t0 = datetime(2024, 1, 1).timestamp()
-    data = [(i, "s", datetime.fromtimestamp(t0 + apart * i), t) for i, t in enumerate(texts)]
+    data = [(ids(i), "s", datetime.fromtimestamp(t0 + apart * i), t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, t string")
     df = df.withColumn("r", date_readings("t", "received_at", "cast(null as string)"))
-    got = choose_readings(df, "source_file", "received_at", "row_id", "r", block_rows=block)
+    got = choose_readings(df, "source_file", "received_at", "row_id", {"r": 0.5}, block_rows=block)
     return {x["row_id"]: x["choice"] for x in got.collect()}, df.select("row_id", "r").orderBy("row_id").collect()
 
 
@@ -64,6 +64,8 @@ def test_viterbi_follows_the_notation_and_blocks_agree(spark):
     for block in (1, 2, 3):
         assert _paths(spark, texts, block)[0] == whole
     assert _paths(spark, texts, 2, apart=0)[0] == whole  # all received in one minute
+    assert _paths(spark, texts, 2, apart=0, ids=lambda i: (i - 4) * 2**60)[0] == {(i - 4) * 2**60: c for i, c in whole.items()}  # under hashed keys
+    readings = {r["row_id"]: r for r in readings}
     assert all(readings[i]["r"][c]["notation"] == "dmy" or len(readings[i]["r"]) == 1 for i, c in whole.items())
 
 
@@ -76,11 +78,29 @@ def test_viterbi_is_optimal(spark):
     for _ in range(20):
         names = [[rng.choice("ab") for _ in range(rng.choice([1, 2, 2]))] for _ in range(6)]
         days = [[rng.randrange(60) for _ in n] for n in names]
-        cost = lambda p: sum(_step(names[i], days[i], names[i + 1], days[i + 1], 0.5)[p[i]][p[i + 1]] for i in range(5))
+        own = [[rng.choice([0.0, 3.5]) for _ in n] for n in names]
+        cost = lambda p: sum(_step(names[i], days[i], names[i + 1], days[i + 1], 0.5)[p[i]][p[i + 1]] + own[i + 1][p[i + 1]] for i in range(5))
         best = min(cost(p) for p in itertools.product(*[range(len(n)) for n in names]))
-        m = _matrix(names, days, 0.5)
+        m = _matrix(names, days, own, 0.5)
         a, b = divmod(int(m.argmin()), m.shape[1])
-        assert abs(m.min() - best) < 1e-9 and abs(cost(_decode(names, days, a, b, 0.5)) - best) < 1e-9
+        assert abs(m.min() - best) < 1e-9 and abs(cost(_decode(names, days, own, a, b, 0.5)) - best) < 1e-9
+
+
+def test_blocks_don_t_change_the_choice(spark):
+    """Long random sources: the same choices whatever the size of blocks, and a declared order holds wherever it gives a date."""
+    rng = __import__("random").Random(8)
+    t0 = datetime(2024, 1, 1).timestamp()
+    data = []
+    for i in range(600):
+        day = date(2023, 1, 1 + i * 27 // 600) if rng.random() < 0.5 else date(2023, rng.randrange(1, 13), rng.randrange(1, 29))
+        text = rng.choice([day.isoformat(), f"{day.month}/{day.day}/{day.year}", f"{day.month}/{day.day}/{day.year}", f"{day.day}/{day.month}/{day.year}"])
+        data.append((i, rng.choice("st"), datetime.fromtimestamp(t0 + 20 * i), text))
+    df = spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, t string").withColumn("r", date_readings("t", "received_at", "cast(null as string)"))
+    run = lambda d, **k: {r["row_id"]: r["choice"] for r in choose_readings(d, "source_file", "received_at", "row_id", {"r": 0.5}, **k).collect()}
+    whole = run(df)
+    assert whole == run(df, block_rows=50) == run(df, block_rows=7) and set(whole.values()) == {0, 1}
+    for order, choice in (("mdy", 0), ("dmy", 1)):
+        assert set(run(df.withColumn("o", F.lit(order)), declared="o", block_rows=50).values()) == {choice}
 
 
 def test_disagreements(spark):
