@@ -16,9 +16,13 @@ every path.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.timeparse import date_readings, time_reading, to_utc_seconds
@@ -29,7 +33,6 @@ BACK_COST = 0.5
 BACK_SCALE_DAYS = 30.0
 # More than one value can save by another reading (two switches and two jumps): a declared order holds wherever it gives a date.
 DECLARED_COST = 3.5
-BLOCK_ROWS = 20_000
 
 
 def _step(na: list, da: list, nb: list, db: list, back: float) -> np.ndarray:
@@ -69,7 +72,47 @@ def _same_number(x: Column) -> Column:
     return F.coalesce(x["notation"].isin("mdy", "dmy") & (F.dayofmonth(d) == F.month(d)), F.lit(False))
 
 
-def choose_readings(df: DataFrame, source: str, received: str, key: str, readings: dict[str, float], declared: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _open_and_next(fields: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of sorted rows, for each field those with an open reading, their neighbours, and the first and last of each source; rows without a reading are none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, pa.Table | None] = dict.fromkeys(fields)  # of each field the last row seen, and whether it was given out
+        given = dict.fromkeys(fields, False)
+
+        def part(rows: pa.Table, field: str) -> pa.Table:
+            own = rows.column("_f").combine_chunks().field(fields.index(field))
+            cols = {"field": pa.array([field] * len(rows)), **{c: rows.column(c) for c in ("_src", "_key", "_minute", "_block")}, **{c: own.field(i) for i, c in enumerate(("open", "names", "days", "costs"))}}
+            return pa.table(cols)
+
+        for b in batches:
+            rows = pa.Table.from_batches([b])
+            for f in fields:
+                t = part(rows, f)
+                t = t.filter(pc.greater(pc.list_value_length(t.column("names")), 0))
+                if held[f] is not None:
+                    t = pa.concat_tables([held[f], t])
+                if not len(t):
+                    continue
+                many = pc.list_value_length(t.column("names")).to_numpy() > 1
+                src = t.column("_src").to_numpy(zero_copy_only=False)
+                other = np.concatenate([[True], src[1:] != src[:-1]])  # the first row of a source, and of what is seen here
+                keep = many.copy()
+                keep[1:] |= many[:-1] | other[1:]
+                keep[:-1] |= many[1:] | other[1:]
+                keep[0] |= held[f] is None
+                if given[f]:
+                    keep[0] = False
+                last = bool(keep[-1]) or (given[f] and len(t) == 1)
+                yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+                held[f], given[f] = t.slice(len(t) - 1), last
+        for f in fields:
+            if held[f] is not None and not given[f]:
+                yield from held[f].combine_chunks().to_batches()
+
+    return run
+
+
+def choose_readings(df: DataFrame, source: str, received: str, key: str, readings: dict[str, float], declared: str | None = None, blocks: int | None = None) -> DataFrame:
     """``(key, field, choice)`` for every row with more than one reading of a field.
 
     ``readings`` names the array columns of readings with the cost of a jump
@@ -80,10 +123,10 @@ def choose_readings(df: DataFrame, source: str, received: str, key: str, reading
     without a source: their first reading holds.
 
     The record order of a source is the minute of receipt, then the key (a
-    unique whole number); rows never received stand first. Blocks hold about
-    ``block_rows`` rows. A minute in which more were received is cut into ranges
-    of equal width between its least and greatest key, so numbered and hashed
-    keys are both spread; rows of one minute are never sorted in one task.
+    unique whole number); rows never received stand first. Rows are partitioned
+    by ranges of that order into ``blocks`` of about equal size (as many as
+    shuffle partitions by default), however many a source or a minute holds, and
+    pass through in batches; only open rows and their neighbours are kept.
     """
     minute = F.coalesce(F.date_trunc("minute", F.col(received)), F.timestamp_seconds(F.lit(0)))
     order = F.col(declared) if declared else F.lit(None).cast("string")
@@ -93,23 +136,14 @@ def choose_readings(df: DataFrame, source: str, received: str, key: str, reading
     swap = lambda x: F.struct(F.when(x["notation"] == "mdy", "dmy").otherwise("mdy").alias("notation"), x["day"].alias("day"))
     even = lambda c: (F.size(c) == 1) & _same_number(F.get(c, F.lit(0)))
     both = lambda c: F.when(even(c), F.concat(read(c), F.transform(c, swap))).otherwise(read(c))
-    field = lambda c, q: F.struct(F.lit(c).alias("field"), (F.size(c) > 1).alias("open"), q["notation"].alias("names"), q["day"].alias("days"), F.transform(q, lambda x: F.coalesce(cost(x), F.lit(0.0))).alias("costs"))
-    fields = F.array(*[field(c, both(c)) for c in readings])
-    long = df.filter(F.col(source).isNotNull()).select(F.col(source).alias("_src"), F.col(key).alias("_key"), minute.alias("_minute"), F.explode(fields).alias("_f")).select("_src", "_key", "_minute", "_f.*").filter(F.size("names") > 0)
+    field = lambda c, q: F.struct((F.size(c) > 1).alias("open"), q["notation"].alias("names"), q["day"].alias("days"), F.transform(q, lambda x: F.coalesce(cost(x), F.lit(0.0))).alias("costs"))
+    fields = F.struct(*[field(c, both(c)).alias(f"f{i}") for i, c in enumerate(readings)])
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = df.filter(F.col(source).isNotNull()).select(F.col(source).alias("_src"), F.col(key).cast("long").alias("_key"), minute.alias("_minute"), fields.alias("_f"))
+    line = line.repartitionByRange(n, "_src", "_minute", "_key").sortWithinPartitions("_src", "_minute", "_key").withColumn("_block", F.spark_partition_id().cast("long"))
     part = ["field", "_src"]
-    rows = long.join(long.filter("open").select(*part).distinct(), part, "left_semi")
-    # Rows are counted by minute, crowded minutes by range of keys too: only these counts are sorted by source, not the rows.
-    span = rows.groupBy(*part, "_minute").agg(F.count("*").alias("_n"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi")).filter(F.col("_n") > block_rows)
-    rows = rows.join(span, [*part, "_minute"], "left")
-    width = F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1
-    share = (F.col("_key").cast("double") - F.col("_lo").cast("double")) / width * F.ceil(F.col("_n") / block_rows)
-    rows = rows.withColumn("_sub", F.coalesce(F.floor(share), F.lit(0)).cast("long")).drop("_n", "_lo", "_hi")
-    w = Window.partitionBy(*part).orderBy("_minute", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*part, "_minute", "_sub").agg(F.count("*").alias("_n")).select(*part, "_minute", "_sub", F.floor(F.coalesce(F.sum("_n").over(w), F.lit(0)) / block_rows).cast("long").alias("_block"))
-    in_block = Window.partitionBy(*part, "_block").orderBy("_minute", "_key")
-    n = F.size("names")
-    near = (n > 1) | (F.coalesce(F.lag(n).over(in_block), F.lit(2)) > 1) | (F.coalesce(F.lead(n).over(in_block), F.lit(2)) > 1)  # also the first and the last row of a block
-    rows = rows.join(blocks, [*part, "_minute", "_sub"]).drop("_sub").withColumn("_near", near).filter("_near").drop("_near")
+    # Written once: the ranges are sampled, so they must not be drawn again.
+    rows = cut(line.mapInArrow(_open_and_next(list(readings)), "field string, _src string, _key long, _minute timestamp, _block long, open boolean, names array<string>, days array<int>, costs array<double>"))
 
     def ordered(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list, list, list]:
         pdf = pdf.sort_values(["_minute", "_key"], kind="stable")
@@ -150,7 +184,7 @@ def choose_readings(df: DataFrame, source: str, received: str, key: str, reading
         path = _decode(n, d, c, int(pdf["_first"].iloc[0]), int(pdf["_last"].iloc[0]), readings[pdf["field"].iloc[0]])
         return pd.DataFrame({key: pdf["_key"].to_numpy(), "field": pdf["field"].to_numpy(), "choice": path})[pdf["open"].to_numpy()]
 
-    own = f"field string, _src {dict(df.dtypes)[source]}, _block long"
+    own = "field string, _src string, _block long"
     sums = rows.groupBy(*part, "_block").applyInPandas(summarise, f"{own}, _fn array<string>, _fd array<int>, _fc array<double>, _ln array<string>, _ld array<int>, _m array<double>")
     ends = sums.groupBy(*part).applyInPandas(chain, f"{own}, _first int, _last int")
     return rows.join(ends, [*part, "_block"]).groupBy(*part, "_block").applyInPandas(decode, f"`{key}` {dict(df.dtypes)[key]}, field string, choice int")

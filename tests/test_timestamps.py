@@ -54,17 +54,17 @@ def _paths(spark, texts, block, apart=60, ids=int):
     data = [(ids(i), "s", datetime.fromtimestamp(t0 + apart * i), t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, t string")
     df = df.withColumn("r", date_readings("t", "received_at", "cast(null as string)"))
-    got = choose_readings(df, "source_file", "received_at", "row_id", {"r": 0.5}, block_rows=block)
+    got = choose_readings(df, "source_file", "received_at", "row_id", {"r": 0.5}, blocks=block)
     return {x["row_id"]: x["choice"] for x in got.collect()}, df.select("row_id", "r").orderBy("row_id").collect()
 
 
 def test_viterbi_follows_the_notation_and_blocks_agree(spark):
     texts = ["25/3/2023", "4/4/2023", "1/5/2023", "2/5/2023", "28/5/2023", "3/6/2023", "5/6/2023", "30/6/2023", "1/7/2023"]
-    whole, readings = _paths(spark, texts, 1000)
-    for block in (1, 2, 3):
-        assert _paths(spark, texts, block)[0] == whole
-    assert _paths(spark, texts, 2, apart=0)[0] == whole  # all received in one minute
-    assert _paths(spark, texts, 2, apart=0, ids=lambda i: (i - 4) * 2**60)[0] == {(i - 4) * 2**60: c for i, c in whole.items()}  # under hashed keys
+    whole, readings = _paths(spark, texts, 1)
+    for blocks in (3, 5, 9):
+        assert _paths(spark, texts, blocks)[0] == whole
+    assert _paths(spark, texts, 4, apart=0)[0] == whole  # all received in one minute
+    assert _paths(spark, texts, 4, apart=0, ids=lambda i: (i - 4) * 2**60)[0] == {(i - 4) * 2**60: c for i, c in whole.items()}  # under hashed keys
     readings = {r["row_id"]: r for r in readings}
     assert all(readings[i]["r"][c]["notation"] == "dmy" or len(readings[i]["r"]) == 1 for i, c in whole.items())
 
@@ -98,9 +98,9 @@ def test_blocks_don_t_change_the_choice(spark):
     df = spark.createDataFrame(data, "row_id long, source_file string, received_at timestamp, t string").withColumn("r", date_readings("t", "received_at", "cast(null as string)"))
     run = lambda d, **k: {r["row_id"]: r["choice"] for r in choose_readings(d, "source_file", "received_at", "row_id", {"r": 0.5}, **k).collect()}
     whole = run(df)
-    assert whole == run(df, block_rows=50) == run(df, block_rows=7) and set(whole.values()) == {0, 1}
+    assert whole == run(df, blocks=1) == run(df, blocks=12) == run(df, blocks=60) and set(whole.values()) == {0, 1}
     for order, choice in (("mdy", 0), ("dmy", 1)):
-        assert set(run(df.withColumn("o", F.lit(order)), declared="o", block_rows=50).values()) == {choice}
+        assert set(run(df.withColumn("o", F.lit(order)), declared="o", blocks=12).values()) == {choice}
 
 
 def test_disagreements(spark):
