@@ -29,7 +29,6 @@ _FIG = rf"^([0-9]{{1,2}})[/.]([0-9]{{1,2}})[/.]([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _DMON = rf"^([0-9]{{1,2}})[- ]([A-Z]{{3,9}})[-, ]+([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _MOND = rf"^([A-Z]{{3,9}})\.? ([0-9]{{1,2}}),? ([0-9]{{4}}|[0-9]{{2}}){_TIME}$"
 _DIGITS = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-_NO_TIME = "()()()()()"  # empty groups where the other patterns have the time
 _CLOCK = r"^([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,][0-9]+)?)? ?((?:[AP]\.?M\.?)?) ?(Z|[A-Z]{3,4}|[+-][0-9]{2}:?[0-9]{2})?$"
 _MILITARY = r"^([0-9]{1,2})([0-9]{2}) ?(?:HRS?|HOURS?|H)?\.? ?(Z|[A-Z]{3,4}|[+-][0-9]{2}:?[0-9]{2})?$"
 
@@ -45,12 +44,18 @@ def _q(pattern: str) -> str:
     return "r'" + pattern.replace("'", "") + "'"
 
 
-def _x(s: str, pattern: str, group: int) -> str:
-    return f"regexp_extract({s}, {_q(pattern)}, {group})"
+def _groups(s: str, pattern: str, n: int, body: str) -> str:
+    """``body`` with the ``n`` groups of a match bound to ``g``: one match and one split, however many groups are used."""
+    marked = "\\u0001".join(f"${i}" for i in range(1, n + 1))
+    return _let(f"split(regexp_replace({s}, {_q(pattern)}, '{marked}'), '\\u0001', -1)", "g", body)
 
 
-def _n(s: str, pattern: str, group: int) -> str:
-    return f"cast(nullif({_x(s, pattern, group)}, '') as int)"
+def _x(group: int) -> str:
+    return f"get(g, {group - 1})"
+
+
+def _n(group: int) -> str:
+    return f"cast(nullif({_x(group)}, '') as int)"
 
 
 def _clean(c: str) -> str:
@@ -89,10 +94,9 @@ def _reading(notation: str, day: str, sec: str = "null", off: str = "null") -> s
     return f"named_struct('notation', '{notation}', 'day', cast({day} as int), 'seconds', cast({sec} as int), 'offset', cast({off} as int))"
 
 
-def _timed(notation: str, s: str, pattern: str, day: str) -> str:
+def _timed(notation: str, day: str) -> str:
     """A reading with whatever time and zone the pattern found; null if a part is invalid."""
-    parts = (
-        f"struct({day} as day, {_x(s, pattern, 4)} <> '' as has, {_clock(_n(s, pattern, 4), _n(s, pattern, 5), _n(s, pattern, 6), _x(s, pattern, 7))} as sec, {_x(s, pattern, 8)} as zone)")
+    parts = f"struct({day} as day, {_x(4)} <> '' as has, {_clock(_n(4), _n(5), _n(6), _x(7))} as sec, {_x(8)} as zone)"
     return _let(parts, "p", _let(_offset("p.zone"), "zo", (
         "case when p.day is not null and (not p.has or p.sec is not null) and (p.zone = '' or zo is not null) "
         f"then {_reading(notation, 'p.day', 'if(p.has, p.sec, null)', 'zo')} end")))
@@ -111,21 +115,22 @@ def date_readings(c: str, received: str, order: str) -> Column:
     unreadable text (also any of more than 60 characters) gives an empty array.
     """
     empty = f"cast(array() as array<{READING}>)"
-    iso_day = _day(_n("s", _ISO, 1), _n("s", _ISO, 2), _n("s", _ISO, 3))
-    iso = f"case when s rlike '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}} 00:00:00$' then {_reading('isodate', iso_day)} else {_timed('iso', 's', _ISO, iso_day)} end"
-    days = _let(f"struct({_n('s', _FIG, 1)} as a, {_n('s', _FIG, 2)} as b, {_x('s', _FIG, 3)} as c)", "f", (
+    iso_day = _day(_n(1), _n(2), _n(3))
+    bare = f"s rlike '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}} 00:00:00$'"
+    iso = _groups("s", _ISO, 8, f"case when {bare} then {_reading('isodate', iso_day)} else {_timed('iso', iso_day)} end")
+    days = _let(f"struct({_n(1)} as a, {_n(2)} as b, {_x(3)} as c)", "f", (
         f"struct({_day(_year('f.c', 'f.a', 'f.b', received), 'f.a', 'f.b')} as mdy, {_day(_year('f.c', 'f.b', 'f.a', received), 'f.b', 'f.a')} as dmy)"))
     use_mdy = f"(coalesce({order} <> 'dmy', true) or fd.dmy is null)"
     use_dmy = f"((coalesce({order} <> 'mdy', true) or fd.mdy is null) and (coalesce(fd.mdy <> fd.dmy, true) or not {use_mdy}))"
-    figures = _let(days, "fd", f"array(if({use_mdy}, {_timed('mdy', 's', _FIG, 'fd.mdy')}, null), if({use_dmy}, {_timed('dmy', 's', _FIG, 'fd.dmy')}, null))")
+    figures = _groups("s", _FIG, 8, _let(days, "fd", f"array(if({use_mdy}, {_timed('mdy', 'fd.mdy')}, null), if({use_dmy}, {_timed('dmy', 'fd.dmy')}, null))"))
 
     def worded(notation: str, pattern: str, month: int, day: int) -> str:
         names = ", ".join(f"'{m}'" for m in MONTHS)
-        parts = f"struct(cast(array_position(array({names}), substr({_x('s', pattern, month)}, 1, 3)) as int) as m, {_n('s', pattern, day)} as d)"
-        return _let(parts, "md", _timed(notation, "s", pattern, _day(_year(_x("s", pattern, 3), "md.m", "md.d", received), "md.m", "md.d")))
+        parts = f"struct(cast(array_position(array({names}), substr({_x(month)}, 1, 3)) as int) as m, {_n(day)} as d)"
+        return _groups("s", pattern, 8, _let(parts, "md", _timed(notation, _day(_year(_x(3), "md.m", "md.d", received), "md.m", "md.d"))))
 
     num = "cast(s as double)"
-    digits = _day(_n("s", _DIGITS, 1), _n("s", _DIGITS, 2), _n("s", _DIGITS, 3))
+    digits = _groups("s", _DIGITS, 3, _day(_n(1), _n(2), _n(3)))
     # Day 0 of spreadsheet serials is 1899-12-30.
     number = (
         f"case when s rlike {_q(_DIGITS)} then {_let(digits, 'dg', 'if(dg is null, null, ' + _reading('ymd', 'dg') + ')')} "
@@ -140,8 +145,8 @@ def date_readings(c: str, received: str, order: str) -> Column:
 
 def time_reading(c: str) -> Column:
     """``struct(seconds, offset)`` of a written time of day (an SQL expression), null where missing or unreadable."""
-    clock = f"struct({_clock(_n('s', _CLOCK, 1), _n('s', _CLOCK, 2), _n('s', _CLOCK, 3), _x('s', _CLOCK, 4))} as seconds, {_x('s', _CLOCK, 5)} as zone)"
-    digits = "struct(" + _clock(_n("s", _MILITARY, 1), _n("s", _MILITARY, 2), "0", "''") + f" as seconds, {_x('s', _MILITARY, 3)} as zone)"
+    clock = _groups("s", _CLOCK, 5, f"struct({_clock(_n(1), _n(2), _n(3), _x(4))} as seconds, {_x(5)} as zone)")
+    digits = _groups("s", _MILITARY, 3, "struct(" + _clock(_n(1), _n(2), "0", "''") + f" as seconds, {_x(3)} as zone)")
     parts = f"case when s rlike {_q(_CLOCK)} then {clock} when s rlike {_q(_MILITARY)} then {digits} end"
     done = _let(_offset("p.zone"), "zo", "case when p.seconds is not null and (p.zone = '' or zo is not null) then struct(p.seconds as seconds, zo as offset) end")
     return F.expr(_let(_clean(c), "s", _let(parts, "p", done)))
