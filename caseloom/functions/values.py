@@ -20,7 +20,8 @@ def squeeze(c: Column) -> Column:
 def is_missing(c: Column) -> Column:
     """True for null, blank and placeholder words (also repeated ones such as ``NULL NULL``)."""
     words = "|".join(w.replace("/", r"\/").replace("?", r"\?").replace(".", r"\.") for w in MISSING_WORDS)
-    return F.coalesce(squeeze(c).rlike(rf"^(?:(?:{words})(?: (?:{words}))*)?$"), F.lit(True))
+    # One match on the text as it stands, which ends at the first letter of most values.
+    return F.coalesce(c.rlike(rf"(?iu)^[\s ]*(?:(?:{words})(?:[\s ]+(?:{words}))*[\s ]*)?$"), F.lit(True))
 
 
 def not_missing(c: Column) -> Column:

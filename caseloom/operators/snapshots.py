@@ -27,33 +27,32 @@ def snapshot_changes(df: DataFrame, key: str, columns: list[str], dates: tuple[s
 
     Plan: the last row of a key is found with partial aggregation, so a hot key
     shrinks before it moves; one more shuffle by key then serves all grouped
-    sums, since every grouping contains the key.
+    sums, since every grouping contains the key. Cells are first summed as they
+    are written: equal writings cancel, and only the few that are left are
+    brought to comparable form and summed again.
     """
-    keyed = df.withColumn("_key", F.regexp_replace(not_missing(F.col(f"`{key}`")), r"^[\s ]+|[\s ]+$", "")).filter(F.col("_key").isNotNull())
+    keyed = df.withColumn("_key", F.regexp_replace(not_missing(F.col(f"`{key}`")), r"^[\s\u00a0]+|[\s\u00a0]+$", "")).filter(F.col("_key").isNotNull())
     order = Window.orderBy("_no")  # over the list of snapshots, not over rows
     around = keyed.select(F.col(number).alias("_no")).distinct().select("_no", F.lag("_no").over(order).alias("_prev"), F.lead("_no").over(order).alias("_next"))
 
     kinds = dict(df.dtypes)
+    plain = [c for c in columns if kinds[c] in ("tinyint", "smallint", "int", "bigint", "boolean")]
+    day = F.date_from_unix_date(F.get(date_readings("value", "as_of", "'mdy'"), F.lit(0))["day"]).cast("string")
+    text = comparable(F.col("value"))
+    form = F.when(F.col("field").isin("", *plain), F.coalesce("value", F.lit(""))).when(F.col("field").isin(*dates), F.coalesce(day, text)).otherwise(text) if dates else F.when(F.col("field").isin("", *plain), F.coalesce("value", F.lit(""))).otherwise(text)
 
-    def value(c: str):
-        col = F.col(f"`{c}`").cast("string")
-        if kinds[c] in ("tinyint", "smallint", "int", "bigint", "boolean"):
-            return F.coalesce(col, F.lit(""))
-        if c in dates:
-            day = F.get(date_readings(f"cast(`{c}` as string)", f"`{as_of}`", "'mdy'"), F.lit(0))["day"]
-            return F.coalesce(F.date_from_unix_date(day).cast("string"), comparable(col))
-        return comparable(col)
-
-    last = keyed.groupBy("_key", F.col(number).alias("_no")).agg(F.max_by(F.struct(*[value(c).alias(f"v{i}") for i, c in enumerate(columns)]), F.col(row_order)).alias("_v"))
+    raw = F.struct(F.col(as_of).cast("timestamp").alias("as_of") if as_of in df.columns else F.lit(None).cast("timestamp").alias("as_of"), *[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
+    last = keyed.groupBy("_key", F.col(number).alias("_no")).agg(F.max_by(raw, F.col(row_order)).alias("_v")).repartition("_key")
     signed = last.join(around, "_no").select("_key", "_v", F.explode(F.filter(F.array(
         F.when(F.col("_prev").isNotNull(), F.struct(F.col("_no").alias("no"), F.lit(1).alias("sign"))),
         F.when(F.col("_next").isNotNull(), F.struct(F.col("_next").alias("no"), F.lit(-1).alias("sign"))),
-    ), lambda x: x.isNotNull())).alias("_t")).repartition("_key")
-    cells = signed.select("_key", F.col("_t.no").alias("_no"), F.col("_t.sign").alias("_sign"), F.explode(F.array(
+    ), lambda x: x.isNotNull())).alias("_t"))
+    cells = signed.select("_key", F.col("_t.no").alias("_no"), F.col("_t.sign").alias("_sign"), F.col("_v.as_of").alias("as_of"), F.explode(F.array(
         F.struct(F.lit("").alias("field"), F.lit("present").alias("value")),
         *[F.struct(F.lit(c).alias("field"), F.col(f"_v.v{i}").alias("value")) for i, c in enumerate(columns)],
-    )).alias("_c"))
-    sums = cells.groupBy("_key", "_no", F.col("_c.field").alias("field"), F.col("_c.value").alias("value")).agg(F.sum("_sign").alias("sum")).filter("sum <> 0")
+    )).alias("_c")).select("_key", "_no", "_sign", "as_of", "_c.*")
+    written = cells.groupBy("_key", "_no", "field", "value").agg(F.sum("_sign").alias("sum"), F.max("as_of").alias("as_of")).filter("sum <> 0")
+    sums = written.groupBy("_key", "_no", "field", form.alias("value")).agg(F.sum("sum").alias("sum")).filter("sum <> 0")
     found = sums.groupBy("_key", "_no").agg(
         F.max(F.when(F.col("field") == "", F.col("sum"))).alias("_mark"),
         F.collect_set(F.when(F.col("field") != "", F.col("field"))).alias("_fields"),
