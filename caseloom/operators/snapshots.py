@@ -36,10 +36,12 @@ def snapshot_changes(df: DataFrame, key: str, columns: list[str], dates: tuple[s
     around = keyed.select(F.col(number).alias("_no")).distinct().select("_no", F.lag("_no").over(order).alias("_prev"), F.lead("_no").over(order).alias("_next"))
 
     kinds = dict(df.dtypes)
-    plain = [c for c in columns if kinds[c] in ("tinyint", "smallint", "int", "bigint", "boolean")]
+    # Cells carry the number of their field: 0 is the presence marker.
+    plain = [0, *(i for i, c in enumerate(columns, 1) if kinds[c] in ("tinyint", "smallint", "int", "bigint", "boolean"))]
+    dated = [i for i, c in enumerate(columns, 1) if c in dates]
     day = F.date_from_unix_date(F.get(date_readings("value", "as_of", "'mdy'"), F.lit(0))["day"]).cast("string")
     text = comparable(F.col("value"))
-    form = F.when(F.col("field").isin("", *plain), F.coalesce("value", F.lit(""))).when(F.col("field").isin(*dates), F.coalesce(day, text)).otherwise(text) if dates else F.when(F.col("field").isin("", *plain), F.coalesce("value", F.lit(""))).otherwise(text)
+    form = F.when(F.col("field").isin(*plain), F.coalesce("value", F.lit(""))).when(F.col("field").isin(*(dated or [-1])), F.coalesce(day, text)).otherwise(text)
 
     raw = F.struct(F.col(as_of).cast("timestamp").alias("as_of") if as_of in df.columns else F.lit(None).cast("timestamp").alias("as_of"), *[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
     last = keyed.groupBy("_key", F.col(number).alias("_no")).agg(F.max_by(raw, F.col(row_order)).alias("_v")).repartition("_key")
@@ -47,15 +49,13 @@ def snapshot_changes(df: DataFrame, key: str, columns: list[str], dates: tuple[s
         F.when(F.col("_prev").isNotNull(), F.struct(F.col("_no").alias("no"), F.lit(1).alias("sign"))),
         F.when(F.col("_next").isNotNull(), F.struct(F.col("_next").alias("no"), F.lit(-1).alias("sign"))),
     ), lambda x: x.isNotNull())).alias("_t"))
-    cells = signed.select("_key", F.col("_t.no").alias("_no"), F.col("_t.sign").alias("_sign"), F.col("_v.as_of").alias("as_of"), F.explode(F.array(
-        F.struct(F.lit("").alias("field"), F.lit("present").alias("value")),
-        *[F.struct(F.lit(c).alias("field"), F.col(f"_v.v{i}").alias("value")) for i, c in enumerate(columns)],
-    )).alias("_c")).select("_key", "_no", "_sign", "as_of", "_c.*")
+    cells = signed.select("_key", F.col("_t.no").alias("_no"), F.col("_t.sign").alias("_sign"), F.col("_v.as_of").alias("as_of"), F.posexplode(F.array(
+        F.lit("present"), *[F.col(f"_v.v{i}") for i, _ in enumerate(columns)])).alias("field", "value"))
     written = cells.groupBy("_key", "_no", "field", "value").agg(F.sum("_sign").alias("sum"), F.max("as_of").alias("as_of")).filter("sum <> 0")
     sums = written.groupBy("_key", "_no", "field", form.alias("value")).agg(F.sum("sum").alias("sum")).filter("sum <> 0")
     found = sums.groupBy("_key", "_no").agg(
-        F.max(F.when(F.col("field") == "", F.col("sum"))).alias("_mark"),
-        F.collect_set(F.when(F.col("field") != "", F.col("field"))).alias("_fields"),
+        F.max(F.when(F.col("field") == 0, F.col("sum"))).alias("_mark"),
+        F.collect_set(F.when(F.col("field") > 0, F.get(F.array(*map(F.lit, columns)), F.col("field") - 1))).alias("_fields"),
     )
     return found.select(
         F.col("_no").alias(number), F.col("_key").alias(key),
