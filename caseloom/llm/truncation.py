@@ -13,6 +13,10 @@ from caseloom.session import cut
 END_SHARE = 0.35  # share of a usual ending's occurrences that end a text
 CUT_SHARE = 0.03  # share of a passage's occurrences that are cut in it
 CUT_PRIOR = 0.06  # share of texts that are cut at all
+# The same shares for a word whatever stands before it, as words end texts more rarely than passages do.
+WORD_END = 0.05
+WORD_CUT = 0.005
+LONG = 8  # words of the longer context: with the start of the text in it for all but long texts
 TOKEN = r"[\p{L}\p{N}'.-]*[\p{L}\p{N}]|[^\p{L}\p{N}\s]"
 MARK = r"\s*(?:…|\.\.+|(?<=[\p{L}\p{N}])-)\s*$"
 
@@ -30,24 +34,28 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     with ``on`` occurrences that go on and ``ends`` that end, the odds of a cut
     (ends at rate ``cut_share``, prior ``cut_prior``) against a usual ending
     (rate ``end_share``) must favour the cut. The same counts are kept for the
-    whole text as context, which tells ``ACUTE A AND B`` (goes on with TOXICITY)
-    from ``EFFECTS OF A AND B`` (ends): where it speaks for a usual ending, the
-    trigram can't overrule it. A last word that stands nowhere else as a whole
-    word but begins longer ones is taken for a fragment: its prior is even, and
-    where neither context was ever seen to go on or to end elsewhere the word alone decides. Ends in
-    the value's own source don't count, so a source that cuts every long value
-    can't make its own cuts look usual.
-
-    Texts that carry a mark of omission (``...``, an ellipsis, a dangling
-    hyphen) or end in an opening bracket, a separator or with a bracket open are
-    cut whatever the counts. Values with a line break inside are broken, not
-    cut, and are never reported; neither are null, blank and placeholder values.
-    Texts of any length are counted whole; repeated rows count as often as they
-    stand. Empty tables give no rows.
+    last word after the ``LONG`` words before it, which tells ``ACUTE A AND B``
+    (goes on with TOXICITY) from ``EFFECTS OF A AND B`` (ends): where they speak
+    for a usual ending, the trigram can't overrule them. Where neither context
+    was seen to end elsewhere, the last word's own counts may decide: a word that
+    goes on everywhere (rates ``WORD_CUT`` and ``WORD_END``), such as AND or a
+    comma, or one that stands nowhere else as a whole word but begins longer
+    ones, a fragment, whose prior is even. Ends in the value's own source don't
+    count, so a source that cuts every long value can't make its own cuts look
+    usual.
+
+    Two forms are cut whatever the counts: texts with a mark of omission
+    (``...``, an ellipsis, a dangling hyphen) and texts that leave a bracket
+    open. Values with a line break inside are broken, not cut, and are never
+    reported; neither are null, blank and placeholder values. Texts of any
+    length are counted whole; repeated rows count as often as they stand. Empty
+    tables give no rows.
 
     Plan: rows shrink to distinct (field, source, text) with counts, written
-    once, before any n-gram is made, n-grams to distinct types before their fragments are made;
-    all joins are equi-joins on (field, context, fragment).
+    once, before any n-gram is made, n-grams to distinct types before their
+    fragments are made; each word has two contexts of bounded length, so the
+    work is linear in the text. All joins are equi-joins on (field, context,
+    fragment).
     """
     cells = df.select(F.col(key).alias("_id"), F.col(source).alias("_src"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("_c")).select(
         "_id", "_src", "_c.field", "_c.value").filter(~is_missing(F.col("value")))
@@ -57,17 +65,15 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     texts = cells.filter(~F.col("_broken")).groupBy("field", F.coalesce("_src", F.lit("")).alias("_src"), "_text").count()
     marked = F.col("_text").rlike(MARK)
     opened = F.length(F.regexp_replace("_text", r"[^(\[]", "")) > F.length(F.regexp_replace("_text", r"[^)\]]", ""))
-    dangling = F.col("_text").rlike(r"(?:[(\[/&,;:+]|\b(?:AND|OF|OR|WITH|DUE TO|THE|BY|FROM|IN|TO|FOR))$")
-    texts = cut(texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket").when(dangling, "dangling")))
+    texts = cut(texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket")))
     toks = texts.withColumn("_t", _tokens(F.regexp_replace("_text", MARK, ""))).filter(F.size("_t") > 0)
 
-    # One row for each word position: contexts of two words and of all words before it.
-    pad = F.concat(F.array(F.lit("^"), F.lit("^")), F.col("_t"))
+    # One row for each word position, with its two contexts.
+    pad = F.concat(F.array_repeat(F.lit("^"), LONG), F.col("_t"))
     n = F.size("_t")
+    context = lambda i, k: F.concat_ws(" ", F.slice(pad, i + (LONG - k + 1), k))  # the k words before word i
     pos = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        F.concat_ws(" ", F.slice(pad, i + 1, 2)).alias("tri"),
-        F.concat_ws(" ", F.slice(pad, F.lit(1), i + 2)).alias("all"),
-        F.get(pad, i + 2).alias("word"), (i == n - 1).alias("last")))
+        context(i, 2).alias("tri"), context(i, LONG).alias("all"), F.get("_t", i).alias("word"), (i == n - 1).alias("last")))
     words = toks.filter("_why is null").select("field", "count", F.explode(pos).alias("_p"))
     types = words.groupBy("field", F.col("_p.tri").alias("tri"), F.col("_p.all").alias("all"), F.lit("").alias("uni"), F.col("_p.word").alias("word")).agg(
         F.sum("count").alias("n"), F.sum(F.when(F.col("_p.last"), F.col("count")).otherwise(0)).alias("ends"))
@@ -80,7 +86,7 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
             F.when(k == F.length("word"), F.lit(0)).otherwise(F.col("n")).alias("longer")))
         return t.select("field", "ctx", F.explode(frag).alias("_f")).groupBy("field", "ctx", F.col("_f.frag").alias("frag")).agg(F.sum("_f.on").alias("on"), F.sum("_f.longer").alias("longer")).filter("on > 0")
 
-    last = toks.withColumn("frag", F.element_at("_t", -1)).withColumns({"tri": F.concat_ws(" ", F.slice(pad, n, 2)), "all": F.concat_ws(" ", F.slice(pad, F.lit(1), n + 1))})
+    last = toks.withColumn("frag", F.element_at("_t", -1)).withColumns({"tri": context(n - 1, 2), "all": context(n - 1, LONG)})
 
     def judged(rows: DataFrame, ctx: str) -> DataFrame:
         own = rows.groupBy("field", F.col(ctx).alias("ctx"), "frag", "_src").agg(F.sum("count").alias("own"))
@@ -96,13 +102,14 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     fragment = F.coalesce((F.col("longer_uni") >= 3) & (F.col("on_uni") - F.col("longer_uni") <= 0.02 * F.col("longer_uni")), F.lit(False))
     prior = F.when(fragment, 0.0).otherwise(math.log(cut_prior / (1 - cut_prior)))
 
-    def odds(ctx: str) -> Column:
-        return F.coalesce(F.col(f"ends_{ctx}"), F.lit(0)) * per_end + F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) * per_on + prior
+    def odds(ctx: str, end: float = per_end, on: float = per_on) -> Column:
+        return F.coalesce(F.col(f"ends_{ctx}"), F.lit(0)) * end + F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) * on + prior
 
     seen = lambda ctx: F.coalesce(F.col(f"on_{ctx}"), F.lit(0)) > 0
     fresh = (F.col("ends_all") == 0) & (F.col("ends_tri") == 0)
     alone = fragment & fresh & ~seen("all") & ~seen("tri") & (odds("uni") > 0)
-    is_cut = (seen("all") & (odds("all") > 0)) | (seen("tri") & (odds("tri") > 0) & (odds("all") > prior + per_end)) | alone
+    word = ~fragment & fresh & (odds("uni", math.log(WORD_CUT / WORD_END), math.log((1 - WORD_CUT) / (1 - WORD_END))) > 0)
+    is_cut = word | (seen("all") & (odds("all") > 0)) | (seen("tri") & (odds("tri") > 0) & (odds("all") > prior + per_end)) | alone
     by_count = j.filter(is_cut).select("field", "_src", "_text", F.lit("trigram").alias("why"))
     by_form = texts.filter("_why is not null").select("field", "_src", "_text", F.col("_why").alias("why"))
     found = by_count.unionByName(by_form)
