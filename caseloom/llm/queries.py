@@ -73,7 +73,7 @@ _CONTEXTS = {"long_": f"array_to_string(pad[i:i + {truncation.LONG - 1}], ' ')",
 _TRUNCATED = (
     "cells AS (" + " UNION ALL ".join(f"SELECT row_id, source_file, coalesce(source_file, '') AS src, '{f}' AS field, {f} AS value FROM consensus" for f in CUT_FIELDS) + f"), sound AS (SELECT * FROM cells WHERE NOT {_missing('value')}), "
     r"c AS (SELECT *, trim(upper(regexp_replace(value, '\s+', ' ', 'g'))) AS text FROM sound WHERE NOT regexp_matches(trim(value), '[\r\n]')), t AS (SELECT field, src, text, count(*) AS n FROM c GROUP BY ALL), "
-    r"w AS (SELECT *, CASE WHEN regexp_matches(text, '(…|\.\.+|[\p{L}\p{N}]-)\s*$') THEN 'mark' WHEN length(regexp_replace(text, '[^(\[]', '', 'g')) > length(regexp_replace(text, '[^)\]]', '', 'g')) THEN 'open bracket' END AS why, "
+    r"w AS (SELECT *, CASE WHEN regexp_matches(text, '(…|\.\.+|[\p{L}\p{N}]-)\s*$') THEN 'mark' WHEN length(regexp_replace(text, '[^(\[]', '', 'g')) > length(regexp_replace(text, '[^)\]]', '', 'g')) THEN 'open bracket' WHEN regexp_matches(text, '[(\\[/&,;:+]$') THEN 'separator' END AS why, "
     r"regexp_extract_all(text, '[\p{L}\p{N}''.-]*[\p{L}\p{N}]|[^\p{L}\p{N}\s]') AS tk FROM t), "
     f"k AS (SELECT field, src, text, n, list_concat([{_pad}], tk) AS pad, len(tk) AS m FROM w WHERE why IS NULL AND len(tk) > 0), p AS (SELECT *, unnest(range(1, m + 1)) AS i FROM k), "
     f"q AS (SELECT field, src, text, n, i = m AS last, pad[i + {truncation.LONG}] AS word, " + ", ".join(f"{e} AS {k}" for k, e in _CONTEXTS.items()) + " FROM p), "

@@ -44,9 +44,9 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     count, so a source that cuts every long value can't make its own cuts look
     usual.
 
-    Two forms are cut whatever the counts: texts with a mark of omission
-    (``...``, an ellipsis, a dangling hyphen) and texts that leave a bracket
-    open. Values with a line break inside are broken, not cut, and are never
+    Three forms are cut whatever the counts: texts with a mark of omission
+    (``...``, an ellipsis, a dangling hyphen), texts that leave a bracket open
+    and texts that end in a separator. Values with a line break inside are broken, not cut, and are never
     reported; neither are null, blank and placeholder values. Texts of any
     length are counted whole; repeated rows count as often as they stand. Empty
     tables give no rows.
@@ -65,7 +65,7 @@ def truncated_values(df: DataFrame, fields: list[str], key: str = "row_id", sour
     texts = cells.filter(~F.col("_broken")).groupBy("field", F.coalesce("_src", F.lit("")).alias("_src"), "_text").count()
     marked = F.col("_text").rlike(MARK)
     opened = F.length(F.regexp_replace("_text", r"[^(\[]", "")) > F.length(F.regexp_replace("_text", r"[^)\]]", ""))
-    texts = cut(texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket")))
+    texts = cut(texts.withColumn("_why", F.when(marked, "mark").when(opened, "open bracket").when(F.col("_text").rlike(r"[(\[/&,;:+]$"), "separator")))
     toks = texts.withColumn("_t", _tokens(F.regexp_replace("_text", MARK, ""))).filter(F.size("_t") > 0)
 
     # One row for each word position, with its two contexts.
