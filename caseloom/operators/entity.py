@@ -17,11 +17,12 @@ def completeness(columns: Iterable[str]) -> Column:
     return reduce(add, [col(c).isNotNull().cast("int") for c in columns])
 
 
-def merge_records(df: DataFrame, keys: list[str], order: str, tie: str = "last", count: list[str] | None = None, maxima: Iterable[str] = ()) -> DataFrame:
+def merge_records(df: DataFrame, keys: list[str], order: str, tie: str = "last", count: list[str] | None = None, maxima: Iterable[str] = (), prefer: Iterable[Column] = ()) -> DataFrame:
     """One row a key: each column's first non-null value in order of completeness.
 
     Rows are ranked by their number of non-null cells (of ``count``, by default
-    all columns but ``order``), most first; ties go to the first or the last row
+    all columns but ``order``), most first; ties go to the row that is greater
+    by the criteria ``prefer`` (null is least), then to the first or the last row
     by ``order``, which must be unique and within +-2^62. ``maxima`` columns take their maximum
     instead. Rows with null keys merge with each other. A value survives though
     its row may not: columns of the result can come from different rows.
@@ -32,9 +33,10 @@ def merge_records(df: DataFrame, keys: list[str], order: str, tie: str = "last",
     cols = [c for c in df.columns if c not in keys and c != order]
     sign = 1 if tie == "first" else -1
     # Fixed-width text: one comparison in generated code, however many columns are merged.
-    rank = F.concat(
-        F.lpad((F.lit(999_999) - completeness(count or [c for c in df.columns if c != order])).cast("string"), 6, "0"),
-        F.lpad((sign * col(order).cast("long") + F.lit(1 << 62)).cast("string"), 19, "0"))
+    full = F.lpad((F.lit(999_999) - completeness(count or [c for c in df.columns if c != order])).cast("string"), 6, "0")
+    place = F.lpad((sign * col(order).cast("long") + F.lit(1 << 62)).cast("string"), 19, "0")
+    wish = [F.struct(p.isNull().alias("none"), (-p.cast("double")).alias("v")).alias(f"p{i}") for i, p in enumerate(prefer)]
+    rank = F.struct(full.alias("full"), *wish, place.alias("place")) if wish else F.concat(full, place)
     d = df.withColumn("_rank", rank)
     aggs = [F.max(col(c)).alias(c) if c in set(maxima) else F.min_by(col(c), F.when(col(c).isNotNull(), F.col("_rank"))).alias(c) for c in cols]
     return d.groupBy(*[col(k) for k in keys]).agg(*aggs).select(*[col(c) for c in df.columns if c != order])

@@ -7,12 +7,11 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_PARTS = 6
 MIN_FREQ = 2
-MAX_VOCABULARY = 200_000
 
 
 def vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -57,25 +56,36 @@ def repair_text(text: str | None, counts: dict[str, int], lexicon: set[str], max
     return re.sub(r"\s+([,;:.)])", r"\1", " ".join(out))
 
 
+def _candidates(text: Column, max_parts: int) -> Column:
+    """The words of a text and all joins of up to ``max_parts`` neighbours, letters and digits only."""
+    cores = F.transform(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), lambda t: F.regexp_replace(F.upper(F.regexp_replace(t, r"[.,;:)]*$", "")), "[^A-Z0-9]", ""))
+    joined = [F.when(F.size(cores) >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.size(cores) - (k - 1), F.lit(1))), lambda i, k=k: F.array_join(F.slice(cores, i, k), ""))).otherwise(F.array().cast("array<string>")) for k in range(1, max_parts + 1)]
+    return F.array_distinct(F.concat(*joined))
+
+
 def repair_columns(df: DataFrame, columns: list[str], lexicon: Iterable[str] = (), max_parts: int = MAX_PARTS, min_freq: int = MIN_FREQ) -> DataFrame:
     """The frame with broken words of the given columns repaired.
 
-    The vocabulary is counted over all rows; words seen at least ``min_freq``
-    times go to the workers (checked against a documented bound of
-    ``MAX_VOCABULARY`` words: above it the repair refuses to run rather than
-    drop words). Nulls stay null. The greedy merge is sequential, hence Python
-    in Arrow batches.
+    The vocabulary is counted over all rows and joined with the words that each
+    distinct text could hold, so nothing grows on the driver or in a worker but
+    the words of one text. Nulls stay null; texts of one word stay as they are.
+    The greedy merge is sequential, hence Python in Arrow batches, over distinct
+    texts; only texts that change are joined back to the rows.
     """
-    frequent = vocabulary(df, columns).filter(F.col("n") >= min_freq)
-    rows = frequent.limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} frequent words; raise min_freq")
-    counts = df.sparkSession.sparkContext.broadcast({r["word"]: r["n"] for r in rows})
     known = {re.sub(r"[^A-Z0-9]", "", w.upper()) for w in lexicon}
+    frequent = vocabulary(df, columns).filter(F.col("n") >= min_freq)
+    texts = df.select(F.explode(F.array(*columns)).alias("_text")).filter(F.trim("_text").rlike(r"\S\s+\S")).distinct()
+    words = texts.select("_text", F.explode(_candidates(F.col("_text"), max_parts)).alias("word")).filter("word <> ''")
+    counted = words.join(frequent, "word").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("_counts"))
+    counted = texts.join(counted, "_text", "left")
 
     @F.pandas_udf("string")
-    def fix(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(lambda t: repair_text(t, counts.value, known, max_parts, min_freq))
-
-    return df.withColumns({c: fix(F.col(c)) for c in columns})
+    def fix(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for ts, cs in batches:
+            yield pd.Series([repair_text(t, dict(c) if c is not None else {}, known, max_parts, min_freq) for t, c in zip(ts, cs)], dtype=object)
+
+    changed = counted.select("_text", fix("_text", "_counts").alias("_fixed")).filter("_fixed <> _text")
+    out = df
+    for c in columns:
+        out = out.join(changed.select(F.col("_text").alias(c), F.col("_fixed").alias(f"_fixed_{c}")), c, "left").withColumn(c, F.coalesce(F.col(f"_fixed_{c}"), F.col(c)))
+    return out.select(*df.columns)

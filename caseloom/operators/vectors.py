@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def read_glove(spark: SparkSession, path: str) -> DataFrame:
     """``(word, vector)`` of a text file of word vectors."""
     parts = F.split("value", " ")
-    return spark.read.text(path).select(F.get(parts, F.lit(0)).alias("word"), F.transform(F.slice(parts, 2, 100_000), lambda x: x.cast("float")).alias("vector")).filter(F.size("vector") > 0)
+    return spark.read.text(path).select(F.get(parts, F.lit(0)).alias("word"), F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x.cast("float")).alias("vector")).filter(F.size("vector") > 0)
 
 
 def sum_vectors(df: DataFrame, by: list[str], vector: str) -> DataFrame:

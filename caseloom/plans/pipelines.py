@@ -70,12 +70,19 @@ def all_records(records: DataFrame, scorer: Scorer = zero_scorer, lexicon: dict[
     return final_clean(entity.merge_cases(d, key, flags, ORDER))
 
 
-def combine_classes(frames: dict[str, DataFrame], keys: dict[str, str]) -> DataFrame:
-    """Frames of several file classes united: a class with a key is merged on it first (most drugs, latest date, first row win ties), others stay as they are."""
+def combine_classes(frames: dict[str, DataFrame], keys: dict[str, str], drugs: str = "Any Drugs", date: str = "DeathDate") -> DataFrame:
+    """Frames of several file classes united by column name.
+
+    A class with a key is merged on it first, by completeness; among equally
+    complete rows the one with the drug flag comes first, then the latest date,
+    then the first row by ``_ord``. A class without a key stays as it is. Absent
+    columns are null.
+    """
     out = None
     for name, df in frames.items():
         if name in keys:
-            df = entity.merge_records(df, [keys[name]], ORDER, "first")
+            prefer = [c for have, c in ((drugs, col(drugs).cast("int")), (date, F.unix_date(dates.parse_mixed_date(col(date))))) if have in df.columns]
+            df = entity.merge_records(df, [keys[name]], ORDER, "first", prefer=prefer)
         else:
             df = df.drop(ORDER)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)

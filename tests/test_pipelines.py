@@ -37,6 +37,9 @@ def test_combine_and_deidentify(spark):
     a = spark.createDataFrame([(1, "k", "x"), (2, "k", None)], "_ord long, CaseNum string, v string")
     b = spark.createDataFrame([(1, "q", 3), (2, "q", 3)], "_ord long, other string, n int")
     assert rows(pipelines.combine_classes({"a": a, "b": b}, {"a": "CaseNum"})) == [("k", "x", None, None), (None, None, "q", 3), (None, None, "q", 3)]
+    tied = [(1, "k", "1/2/2020", 0, "a"), (2, "k", "2020-03-01", 1, "b"), (3, "k", "2020-02-01", 1, "c"), (4, "k", "2020-03-01", 1, "d"), (5, "m", None, 1, "e"), (6, "m", "2021-01-01", None, "f")]
+    c = spark.createDataFrame(tied, "_ord long, k string, DeathDate string, `Any Drugs` int, v string")
+    assert rows(pipelines.combine_classes({"c": c}, {"c": "k"})) == [("k", "2020-03-01", 1, "b"), ("m", "2021-01-01", 1, "e")]
     d = spark.createDataFrame([("2024-03-05", "44", "90001", "m", "Black", "1/1/1980"), ("2024-03-05", "44", None, "m", "Black", "x")], "DeathDate string, Age string, ZIPCODE string, Gender string, Race string, DateofBirth string")
     r = pipelines.deidentify(d).collect()
     assert len(r) == 1 and (r[0]["MonthYear"], r[0]["Age_Bin"], r[0]["YearWeek"], r[0]["Gender"]) == ("2024-03", "40-49", "2024-09", "MALE") and "DateofBirth" not in r[0].asDict()

@@ -84,8 +84,26 @@ def test_page_fields(spark):
 
 def test_repair(spark):
     data = [("EFFECTS OF METHAMPHETAMINE",)] * 5 + [("EFFECTS OF METHAM PHETA MINE ,",), (None,), ("",)]
-    got = [r[0] for r in repair.repair_columns(spark.createDataFrame(data, "t string"), ["t"]).collect()]
-    assert got[5:] == ["EFFECTS OF METHAMPHETAMINE,", None, ""]
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(data)], "id long, t string")
+    got = [r["t"] for r in repair.repair_columns(df, ["t"]).orderBy("id").collect()]
+    assert got == [t for t, in data[:5]] + ["EFFECTS OF METHAMPHETAMINE,", None, ""]
+    assert repair.repair_columns(df.limit(0), ["t"]).count() == 0
+
+
+def test_repair_against_the_whole_vocabulary(spark):
+    """The same as with all counts in one dictionary."""
+    import random
+    import re
+    from collections import Counter
+
+    rng = random.Random(4)
+    words = [f"{a}{b}ING" for a in ("TOX", "DROWN", "HANG", "FALL", "BURN") for b in ("", "ER", "AL")]
+    cut = lambda w: w if rng.random() < 0.7 else f"{w[:3]} {w[3:]}"
+    texts = [" ".join(cut(rng.choice(words)) for _ in range(rng.randrange(1, 7))) + rng.choice(["", ",", " ,"]) for _ in range(200)]
+    counts = Counter(c for t in texts for w in t.split() if (c := re.sub("[^A-Z0-9]", "", w.upper())))
+    want = [repair.repair_text(t, counts, {"TOXERING"}) if len(t.split()) > 1 else t for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    assert [r["t"] for r in repair.repair_columns(df, ["t"], ["TOXERING"]).orderBy("id").collect()] == want
 
 
 def test_vectors_and_models(spark, tmp_path):
