@@ -59,7 +59,11 @@ def repair_text(text: str | None, counts: dict[str, int], lexicon: set[str], max
 def _candidates(text: Column, max_parts: int) -> Column:
     """The words of a text and all joins of up to ``max_parts`` neighbours, letters and digits only."""
     cores = F.transform(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), lambda t: F.regexp_replace(F.upper(F.regexp_replace(t, r"[.,;:)]*$", "")), "[^A-Z0-9]", ""))
-    joined = [F.when(F.size(cores) >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.size(cores) - (k - 1), F.lit(1))), lambda i, k=k: F.array_join(F.slice(cores, i, k), ""))).otherwise(F.array().cast("array<string>")) for k in range(1, max_parts + 1)]
+
+    def joins(k: int) -> Column:
+        return F.when(F.size(cores) >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.size(cores) - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(cores, i, k), ""))).otherwise(F.array().cast("array<string>"))
+
+    joined = [joins(k) for k in range(1, max_parts + 1)]
     return F.array_distinct(F.concat(*joined))
 
 
