@@ -26,7 +26,7 @@ ORDINALS = (
     "FOURTEENTH", "FIFTEENTH", "SIXTEENTH", "SEVENTEENTH", "EIGHTEENTH", "NINETEENTH", "TWENTIETH",
 )
 _UNIT = r"(?:\b(?:UNIT|APT|APARTMENT|STE|SUITE|RM|ROOM|SPC|SPACE|BLDG|FL|FLOOR|LOT|TRLR)\b\.? ?#?|#) ?[A-Z]?[0-9]*-?[A-Z]?\b"
-_LEAD = r"^(?:(?:RESIDENCE|RES|HOME|SCENE|ADDRESS|LOCATION) ?:|C/O [^,]*,|C/O FRONT DESK|(?:AT |THE )*(?:(?:REAR|FRONT|SIDE|IN FRONT) OF|CORNER(?: OF)?|INTERSECTION(?: OF)?)\b|I/?F/?O|NEAR|BEHIND) ?"
+_LEAD = r"^(?:(?:RESIDENCE|RES|HOME|SCENE|ADDRESS|LOCATION) ?:|C/O [^,0-9]*(?:,|(?=[0-9]))|(?:AT |THE )*(?:(?:REAR|FRONT|SIDE|IN FRONT) OF|CORNER(?: OF)?|INTERSECTION(?: OF)?)\b|I/?F/?O|NEAR|BEHIND) ?"
 
 
 def _lookup(c: Column, table: dict[str, tuple[str, ...]]) -> Column:
@@ -140,6 +140,21 @@ STREET = ["kind", "num", "n1", "n2"]
 SIDES = ["d1", "t1", "d2", "t2"]
 
 
+def _roots(anchor: DataFrame) -> DataFrame:
+    """``(key, to)`` with every path of anchors followed to its end.
+
+    An anchor ranks above what it anchors, so paths end. Only keys whose anchor
+    has another one are followed; paths are doubled each time, so a path of n
+    steps takes log2(n) rounds.
+    """
+    while True:
+        onward = anchor.filter("key <> to").select(F.col("key").alias("to"), F.col("to").alias("next"))
+        longer = cut(anchor.join(onward, "to").select("key", F.col("next").alias("to")))
+        if longer.isEmpty():
+            return anchor
+        anchor = cut(anchor.join(longer.select("key", F.col("to").alias("_to")), "key", "left").select("key", F.coalesce("_to", "to").alias("to")))
+
+
 def locations(written: DataFrame) -> DataFrame:
     """``(written, location)`` for parsed written addresses; ``location`` names the anchor of its group.
 
@@ -150,7 +165,7 @@ def locations(written: DataFrame) -> DataFrame:
     digit may be wrong); without both codes too, the streets must be spelled
     alike. Units don't count. Of all tuples it agrees with, itself included, a
     tuple takes the one with the most widespread street name, then the most
-    complete, then the most frequent as its anchor; anchors are followed twice.
+    complete, then the most frequent as its anchor; anchors are followed to the end.
     Linking to anchors rather than through chains keeps a writing without type
     or direction from joining two streets.
 
@@ -202,10 +217,8 @@ def locations(written: DataFrame) -> DataFrame:
     same = t.filter(city & code).select("key", "street", "pcity", F.lit("b").alias("how"), F.col("pzip").alias("value"))
     asked = similar.unionByName(plain).unionByName(same).join(offered, ["street", "how", "value"]).filter((F.col("how") != "b") | F.levenshtein("pcity", "name", 2).between(0, 2))
     anchor = asked.select("key", "best").unionByName(t.select("key", "best")).groupBy("key").agg(F.max("best").alias("best")).select("key", F.col("best.to").alias("to"))
-    anchor = cut(anchor)
-    hop = anchor.select(F.col("key").alias("to"), F.col("to").alias("to2"))
-    twice = anchor.join(hop, "to").select("key", F.col("to2").alias("to")).join(hop, "to").select("key", F.col("to2").alias("location"))
-    return written.withColumn("key", F.concat_ws("|", *PARTS)).join(twice, "key").select("written", "location")
+    location = _roots(cut(anchor)).withColumnRenamed("to", "location")
+    return written.withColumn("key", F.concat_ws("|", *PARTS)).join(location, "key").select("written", "location")
 
 
 def written_addresses(df: DataFrame, groups: list[tuple[str, str, str]]) -> DataFrame:
@@ -215,6 +228,16 @@ def written_addresses(df: DataFrame, groups: list[tuple[str, str, str]]) -> Data
     return w.withColumn("written", F.concat_ws("|", "address", "city", "zip")).dropDuplicates(["written"])
 
 
+def location_members(df: DataFrame, groups: list[tuple[str, str, str]]) -> DataFrame:
+    """``(written, location, n_links)``: each written address with its location and the number of other writings there.
+
+    The compact form of ``same_location_pairs``: one row an address, however many
+    share a location.
+    """
+    loc = locations(cut(parse_addresses(written_addresses(df, groups)).filter(F.col("kind").isNotNull())))
+    return loc.join(loc.groupBy("location").agg((F.count("*") - 1).alias("n_links")), "location").select("written", "location", "n_links")
+
+
 def same_location_pairs(df: DataFrame, groups: list[tuple[str, str, str]]) -> DataFrame:
     """``(address_a, address_b)``: pairs of different written addresses of one location, smaller string first.
 

@@ -18,6 +18,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.same_location_pairs(table(spark, d, "consensus"), ADDRESSES)
 
 
+def p1_locations(spark: SparkSession, d: str) -> DataFrame:
+    return addresses.location_members(table(spark, d, "consensus"), ADDRESSES)
+
+
 def _cut(spark: SparkSession, d: str, fields: list[str]) -> DataFrame:
     return truncation.truncated_values(table(spark, d, "consensus").select("row_id", "source_file", *fields), fields)
 
@@ -62,7 +66,7 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_documents(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p6_found, p6_by_source, p7_found, p7_records, p8_sequences, p8_report, p9_found, p9_leaked_items, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_locations, p6_found, p6_by_source, p7_found, p7_records, p8_sequences, p8_report, p9_found, p9_leaked_items, p10_pieces)}
 
 
 # SQL of the truncation counts: texts, words with their contexts, fragments, and the last words joined with them.

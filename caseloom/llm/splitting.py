@@ -13,6 +13,7 @@ from caseloom.llm.tokens import VOCABULARY, encoding
 
 LIMIT = 512
 OVERLAP = 64
+CHUNK_CHARS = 4_000_000  # characters of pieces handed on together
 # Strength of a cut by what stands before it; the strongest that matches counts.
 STRENGTHS = (
     (6, re.compile(r"\n[ \t]*\n\s*")),  # paragraph
@@ -113,7 +114,7 @@ def split_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     Boundary strengths (paragraph, heading or list item, line, sentence, clause,
     word) at all token starts are indexed in a sparse table for range maxima;
     each piece asks for the strongest cut of its window. Texts are read whole,
-    one at a time; memory follows the longest text, not the table. Null and
+    one at a time, and pieces are handed on as they come; memory follows the longest text, not the batch. Null and
     empty texts have one empty piece; text without any boundary is cut at the
     limit between characters. Pieces joined without their overlaps give back the
     text exactly. Needs 0 <= overlap < limit / 2. No shuffle.
@@ -123,12 +124,19 @@ def split_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [key, "piece", "start", "end", "n_tokens", "text"]
         for b in batches:
-            rows = []
+            rows, held = [], 0
             for k, t in zip(b[key], b[text]):
                 t = t or ""
-                rows += [(k, i, s, e, c, t[s:e]) for i, (s, e, c) in enumerate(split_text(t, limit, overlap, path))]
-            yield pd.DataFrame(rows, columns=[key, "piece", "start", "end", "n_tokens", "text"])
+                for i, (s, e, c) in enumerate(split_text(t, limit, overlap, path)):
+                    rows.append((k, i, s, e, c, t[s:e]))
+                    held += e - s
+                    if held > CHUNK_CHARS:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, piece int, start int, `end` int, n_tokens int, text string")
 

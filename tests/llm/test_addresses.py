@@ -47,3 +47,22 @@ def test_hot_building_is_one_location(spark):
     got, _ = _pairs(spark, right + wrong + common)
     n = len(right) + len(wrong)
     assert n > 200 and len(got) == n * (n - 1) // 2
+
+
+def test_anchors_are_followed_to_the_end(spark):
+    from caseloom.llm.addresses import _roots
+
+    df = spark.createDataFrame([(str(i), str(min(i + 1, 11))) for i in range(12)] + [("a", "a"), ("b", "a")], "key string, to string")
+    assert rows(_roots(df)) == sorted([(str(i), "11") for i in range(12)] + [("a", "a"), ("b", "a")])
+    assert _roots(df.limit(0)).count() == 0
+
+
+def test_members_and_pairs_say_the_same(spark):
+    from caseloom.llm.addresses import location_members, same_location_pairs
+
+    data = [("12 MAIN ST", "YORK", "90001"), ("12 Main Street", "York", None), ("12 MAIN STREET APT 4", None, "90001"), ("13 MAIN ST", "YORK", "90001"), ("C/O LEE 12 MAIN ST", "YORK", "90001"), (None, "YORK", "1"), ("", None, None)]
+    df = spark.createDataFrame(data, "a string, c string, z string")
+    members = {r["written"]: (r["location"], r["n_links"]) for r in location_members(df, [("a", "c", "z")]).collect()}
+    pairs = {(r[0], r[1]) for r in same_location_pairs(df, [("a", "c", "z")]).collect()}
+    assert pairs == {(x, y) for x in members for y in members if x < y and members[x][0] == members[y][0]}
+    assert members["12 MAIN ST|YORK|90001"][1] == 3 and members["13 MAIN ST|YORK|90001"][1] == 0

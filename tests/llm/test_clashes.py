@@ -17,7 +17,7 @@ def wide(df):
 
 def test_all(spark):
     c = spark.createDataFrame([
-        (1, "a", datetime(2024, 1, 1), "2024-1", "X AND", "1 A ST", "C", "90001"), (2, None, None, "2024-1", None, None, None, None), (3, "a", None, "2024-1", "X", "1 A STREET", None, "90001")],
+        (1, "a", datetime(2024, 1, 1), "2024-1", "X AND,", "1 A ST", "C", "90001"), (2, None, None, "2024-1", None, None, None, None), (3, "a", None, "2024-1", "X", "1 A STREET", None, "90001")],
         "row_id long, source_file string, received_at timestamp, CaseNumber string, CauseA string, DeathAddress string, DeathCity string, DeathZip string")
     src = spark.createDataFrame([("a", 1), (None, None)], "source_file string, trust int")
     groups = [("DeathAddress", "DeathCity", "DeathZip")]

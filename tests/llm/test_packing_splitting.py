@@ -6,13 +6,17 @@ import pytest
 
 from caseloom.llm.packing import harmonic_pack, pack_documents, packing_report, split_oversized
 from caseloom.llm.splitting import RangeMax, split_documents, split_text
-from caseloom.llm.tokens import VOCABULARY, count_tokens
+from caseloom.llm.tokens import VOCABULARY, encoding
 
 from ..conftest import rows
 
 tokenizer = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary file")
 
 
+def count_tokens(text, path):
+    return len(encoding(path).encode_ordinary(text)) if text else 0
+
+
 def test_harmonic_pack(spark):
     rng = random.Random(2)
     sizes = [rng.choice([1, 3, 10, 33, 50, 51, 70, 99, 100, 250, 0]) for _ in range(3000)] + [None]
