@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.values import is_missing
@@ -195,6 +195,11 @@ def locations(written: DataFrame) -> DataFrame:
         reduce(lambda a, b: a & b, [_either(F.col(f"p.{c}"), F.col(f"o.{c}")) for c in SIDES])).select(
         F.col("p.street").alias("street"), F.col("o.street").alias("of"), ((F.col("n1") == F.col("o_n1")) & (F.col("n2") == F.col("o_n2"))).alias("exact"))
 
+    # A tuple that stands alone on its street and the similar ones is its own anchor; the others are few, and only they go on.
+    alone = t.groupBy(F.col("street").alias("of")).agg(F.count("*").alias("_n"))
+    streets = cut(streets.join(alone, "of").withColumn("_all", F.sum("_n").over(Window.partitionBy("street"))).filter("_all > 1").select("street", "of", "exact"))
+    every, t = t, t.join(streets.select("street").distinct(), "street", "left_semi")
+
     city, code = F.col("pcity") != "", F.col("pzip") != ""
     lacks = F.concat(F.when(city, "c").otherwise("-"), F.when(code, "z").otherwise("-"))
     # How a tuple offers itself and what it asks for: "c" similar cities, "z" similar codes where a city is missing ("z0" offered by tuples
@@ -216,7 +221,7 @@ def locations(written: DataFrame) -> DataFrame:
     plain = t.select("key", "street", "pcity", F.lit("k").alias("how"), F.explode(without).alias("value"))
     same = t.filter(city & code).select("key", "street", "pcity", F.lit("b").alias("how"), F.col("pzip").alias("value"))
     asked = similar.unionByName(plain).unionByName(same).join(offered, ["street", "how", "value"]).filter((F.col("how") != "b") | F.levenshtein("pcity", "name", 2).between(0, 2))
-    anchor = asked.select("key", "best").unionByName(t.select("key", "best")).groupBy("key").agg(F.max("best").alias("best")).select("key", F.col("best.to").alias("to"))
+    anchor = asked.select("key", "best").unionByName(every.select("key", "best")).groupBy("key").agg(F.max("best").alias("best")).select("key", F.col("best.to").alias("to"))
     location = _roots(cut(anchor)).withColumnRenamed("to", "location")
     return written.withColumn("key", F.concat_ws("|", *PARTS)).join(location, "key").select("written", "location")
 
