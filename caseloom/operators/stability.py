@@ -21,26 +21,32 @@ def last_of_year(df: DataFrame, key: str, date: Column, order: str, year: int |
     return d.groupBy(col(key)).agg(F.max_by(whole, col(order)).alias("_r")).select("_r.*")
 
 
-def compare(old: DataFrame, new: DataFrame, key: str, columns: list[str], month: Column) -> dict[str, DataFrame]:
+def compare(old: DataFrame, new: DataFrame, key: str, columns: list[str], month: Column, by: list[str] = ()) -> dict[str, DataFrame]:
     """``added``, ``removed``, ``changed`` cells, ``columns`` (changes by column), ``months`` and ``summary`` of two versions.
 
     Only columns both versions have are compared, as trimmed text with whole
-    decimals as whole numbers. ``month`` is the month key of a row.
+    decimals as whole numbers. ``month`` is the month key of a row. ``by`` names
+    columns that number several pairs of versions compared at once; every result
+    then starts with them. Keys are unique in a version.
+
+    Plan: one full outer join by key serves all results; the summary is one
+    aggregation over it.
     """
+    by = list(by)
     shared = [c for c in columns if c in old.columns and c in new.columns]
-    o = old.select(col(key).alias("_k"), month.alias("_m"), F.struct(*[cell_value(col(c)).alias(f"v{i}") for i, c in enumerate(shared)]).alias("_o"))
-    n = new.select(col(key).alias("_k"), month.alias("_m"), F.struct(*[cell_value(col(c)).alias(f"v{i}") for i, c in enumerate(shared)]).alias("_n"))
-    added = n.join(o, "_k", "left_anti").select(F.col("_k").alias(key))
-    removed = o.join(n, "_k", "left_anti").select(F.col("_k").alias(key))
-    both = o.drop("_m").join(n.drop("_m"), "_k")
+    side = lambda df, n: df.select(*by, col(key).alias("_k"), F.struct(month.alias("m"), *[cell_value(col(c)).alias(f"v{i}") for i, c in enumerate(shared)]).alias(n))
+    j = side(old, "_o").join(side(new, "_n"), [*by, "_k"], "full")
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_o.v{i}").alias("old"), F.col(f"_n.v{i}").alias("new")) for i, c in enumerate(shared)])
-    changed = both.select(F.col("_k").alias(key), F.explode(F.filter(cells, lambda c: c["old"] != c["new"])).alias("_c")).select(key, "_c.*")
-    months = o.select(F.col("_m").alias("month"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(n.select(F.col("_m").alias("month"), F.lit(0).alias("a"), F.lit(1).alias("b"))).groupBy("month").agg(F.sum("a").alias("old_n"), F.sum("b").alias("new_n"))
-    months = months.withColumn("delta", F.col("new_n") - F.col("old_n"))
-    one = lambda df, name, expr=None: df.agg((expr if expr is not None else F.count("*")).alias(name))
-    parts = [one(o, "old_rows"), one(n, "new_rows"), one(added, "added"), one(removed, "removed"), one(both, "shared"), one(changed, "changed_cells"), one(changed, "changed_cases", F.count_distinct(key))]
-    summary = reduce(DataFrame.crossJoin, parts)  # single rows
-    return {"added": added, "removed": removed, "changed": changed, "columns": changed.groupBy("column").count().withColumnRenamed("count", "n"), "months": months, "summary": summary}
+    was, is_ = F.col("_o").isNotNull(), F.col("_n").isNotNull()
+    j = j.withColumn("_c", F.when(was & is_, F.filter(cells, lambda c: c["old"] != c["new"])).otherwise(F.slice(cells, 1, 0)))
+    changed = j.select(*by, F.col("_k").alias(key), F.explode("_c").alias("_c")).select(*by, key, "_c.*")
+    sides = F.array(F.when(was, F.struct(F.col("_o.m").alias("month"), F.lit(1).alias("a"), F.lit(0).alias("b"))), F.when(is_, F.struct(F.col("_n.m").alias("month"), F.lit(0).alias("a"), F.lit(1).alias("b"))))
+    months = j.select(*by, F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("_s")).groupBy(*by, "_s.month").agg(F.sum("_s.a").alias("old_n"), F.sum("_s.b").alias("new_n"))
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    summary = j.groupBy(*by).agg(n(was).alias("old_rows"), n(is_).alias("new_rows"), n(~was).alias("added"), n(~is_).alias("removed"), n(was & is_).alias("shared"), n(F.size("_c")).alias("changed_cells"), n(F.size("_c") > 0).alias("changed_cases"))
+    return {
+        "added": j.filter(~was).select(*by, F.col("_k").alias(key)), "removed": j.filter(~is_).select(*by, F.col("_k").alias(key)), "changed": changed,
+        "columns": changed.groupBy(*by, "column").count().withColumnRenamed("count", "n"), "months": months.withColumn("delta", F.col("new_n") - F.col("old_n")), "summary": summary}
 
 
 def replay(files: DataFrame, step: str, key: str, order: str, columns: list[str], month: Column, incremental: bool = True) -> DataFrame:

@@ -272,33 +272,58 @@ def consensus_disagreements(spark, d):
 CELLS = ["DeathDate", "Age", "Gender", "Race", "Mode", "CauseA", "Fentanyl", "Heroin"]
 _date = "coalesce(try_strptime(trim(DeathDate), ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%d %H:%M:%S', '%d %b %Y', '%d-%b-%Y']))::DATE"
 _cv = lambda c: rf"regexp_replace(trim(coalesce(CAST({c} AS VARCHAR), '')), '^(-?\d+)\.0+$', '\1')"
-_snap = lambda n: f"(SELECT * FROM audit_stability WHERE snapshot_no = {n} AND CaseNumber IS NOT NULL QUALIFY row_number() OVER (PARTITION BY CaseNumber ORDER BY row_no DESC) = 1)"
-_chgd = "(" + " UNION ALL ".join(f"SELECT o.CaseNumber, '{c}' AS field, {_cv('o.' + c)} AS old_value, {_cv('n.' + c)} AS new_value FROM o JOIN n USING (CaseNumber) WHERE {_cv('o.' + c)} <> {_cv('n.' + c)}" for c in CELLS) + ")"
-_two = f"WITH o AS {_snap(1)}, n AS {_snap(2)} "
+_chgd = "(" + " UNION ALL ".join(f"SELECT s, CaseNumber, '{c}' AS field, {_cv('o.' + c)} AS old_value, {_cv('n.' + c)} AS new_value FROM o JOIN n USING (s, CaseNumber) WHERE {_cv('o.' + c)} <> {_cv('n.' + c)}" for c in CELLS) + ")"
+# Each snapshot against the one before; s numbers the later one.
+_versions = (
+    "WITH l AS (SELECT * FROM audit_stability WHERE CaseNumber IS NOT NULL QUALIFY row_number() OVER (PARTITION BY snapshot_no, CaseNumber ORDER BY row_no DESC) = 1), d AS (SELECT snapshot_no AS s, lead(snapshot_no) OVER (ORDER BY snapshot_no) AS nx FROM (SELECT DISTINCT snapshot_no FROM audit_stability)), "
+    "o AS (SELECT nx AS s, l.* FROM l JOIN d ON d.s = l.snapshot_no WHERE nx IS NOT NULL), n AS (SELECT snapshot_no AS s, l.* FROM l WHERE snapshot_no > (SELECT min(s) FROM d)) ")
 
 
 def _compare(spark, d):
     a = table(spark, d, "audit_stability")
-    snap = lambda n: stability.last_of_year(a.filter(F.col("snapshot_no") == n), "CaseNumber", F.lit(None), "row_no")
-    return stability.compare(snap(1), snap(2), "CaseNumber", CELLS, F.date_format(dates.parse_mixed_date(F.col("DeathDate")), "yyyy-MM"))
+    number = a.select("snapshot_no").distinct()
+    after = number.join(number.select(F.col("snapshot_no").alias("s")), F.col("s") > F.col("snapshot_no")).groupBy("snapshot_no").agg(F.min("s").alias("s"))
+    last = a.filter("CaseNumber is not null").groupBy("snapshot_no", "CaseNumber").agg(F.max_by(F.struct(*CELLS), "row_no").alias("_r")).select("snapshot_no", "CaseNumber", "_r.*")
+    old = last.join(after, "snapshot_no").drop("snapshot_no")
+    new = last.join(after.select(F.col("s").alias("snapshot_no")), "snapshot_no", "left_semi").withColumnRenamed("snapshot_no", "s")
+    return stability.compare(old, new, "CaseNumber", CELLS, F.date_format(dates.parse_mixed_date(F.col("DeathDate")), "yyyy-MM"), ["s"])
 
 
-@query(_two + f"SELECT (SELECT count(*) FROM o) AS old_rows, (SELECT count(*) FROM n) AS new_rows, (SELECT count(*) FROM n ANTI JOIN o USING (CaseNumber)) AS added, (SELECT count(*) FROM o ANTI JOIN n USING (CaseNumber)) AS removed, (SELECT count(*) FROM o JOIN n USING (CaseNumber)) AS shared, (SELECT count(*) FROM {_chgd}) AS changed_cells, (SELECT count(DISTINCT CaseNumber) FROM {_chgd}) AS changed_cases")
+_n = lambda q: f"(SELECT count(*) FROM {q} x WHERE x.s = t.s)"
+
+
+@query(_versions + f", t AS (SELECT nx AS s FROM d WHERE nx IS NOT NULL) SELECT s, {_n('o')} AS old_rows, {_n('n')} AS new_rows, {_n('(SELECT n.s FROM n ANTI JOIN o USING (s, CaseNumber))')} AS added, {_n('(SELECT o.s FROM o ANTI JOIN n USING (s, CaseNumber))')} AS removed, {_n('(SELECT n.s FROM n JOIN o USING (s, CaseNumber))')} AS shared, {_n(_chgd)} AS changed_cells, {_n(f'(SELECT DISTINCT s, CaseNumber FROM {_chgd})')} AS changed_cases FROM t")
 def snapshot_summary(spark, d):
     return _compare(spark, d)["summary"]
 
 
-@query(_two + f"SELECT * FROM {_chgd}")
+@query(_versions + f"SELECT * FROM {_chgd}")
 def changed_cells(spark, d):
-    return _compare(spark, d)["changed"].select("CaseNumber", F.col("column").alias("field"), F.col("old").alias("old_value"), F.col("new").alias("new_value"))
+    return _compare(spark, d)["changed"].select("s", "CaseNumber", F.col("column").alias("field"), F.col("old").alias("old_value"), F.col("new").alias("new_value"))
 
 
-@query(_two + f", a AS (SELECT strftime({_date}, '%Y-%m') AS month, 1 AS x, 0 AS y FROM o UNION ALL SELECT strftime({_date}, '%Y-%m'), 0, 1 FROM n) SELECT month, sum(x)::BIGINT AS old_n, sum(y)::BIGINT AS new_n, (sum(y) - sum(x))::BIGINT AS delta FROM a GROUP BY month")
+@query(_versions + f", a AS (SELECT s, strftime({_date}, '%Y-%m') AS month, 1 AS x, 0 AS y FROM o UNION ALL SELECT s, strftime({_date}, '%Y-%m'), 0, 1 FROM n) SELECT s, month, sum(x)::BIGINT AS old_n, sum(y)::BIGINT AS new_n, (sum(y) - sum(x))::BIGINT AS delta FROM a GROUP BY s, month")
 def monthly_delta(spark, d):
     return _compare(spark, d)["months"]
 
 
-@query()
+def _replay_sql(steps: int = 5) -> str:
+    """The master after each of five files: the state competes with the next file's rows, ties going to the later row."""
+    merge = ", ".join(f"arg_min({c}, r) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in CELLS)
+    full = " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in ["CaseNumber", *CELLS])
+    cols = ", ".join(CELLS)
+    out = []
+    for k in range(1, steps + 1):
+        part = f"SELECT CaseNumber, {cols}, row_no AS ord FROM audit_stability WHERE snapshot_no = {k}" + (f" UNION ALL SELECT CaseNumber, {cols}, -1 FROM s{k - 1}" if k > 1 else "")
+        out.append(f"s{k} AS (SELECT CaseNumber, {merge} FROM (SELECT *, -({full})::BIGINT * 1000000000000 - ord AS r FROM ({part})) GROUP BY CaseNumber)")
+    tell = " UNION ALL ".join(
+        f"SELECT {k} AS snapshot_no, (SELECT count(*) FROM (SELECT CaseNumber AS k FROM s{k} WHERE CaseNumber IS NOT NULL) ANTI JOIN (SELECT CaseNumber AS k FROM s{k - 1}) USING (k)) + (SELECT count(*) FROM s{k} WHERE CaseNumber IS NULL) AS added, "
+        f"(SELECT count(*) FROM (SELECT CaseNumber AS k FROM s{k - 1} WHERE CaseNumber IS NOT NULL) ANTI JOIN (SELECT CaseNumber AS k FROM s{k}) USING (k)) + (SELECT count(*) FROM s{k - 1} WHERE CaseNumber IS NULL) AS removed, "
+        "(SELECT " + " + ".join(f"coalesce(sum(({_cv('o.' + c)} <> {_cv('n.' + c)})::INT), 0)" for c in CELLS) + f" FROM s{k - 1} o JOIN s{k} n USING (CaseNumber))::BIGINT AS changed_cells" for k in range(2, steps + 1))
+    return "WITH " + ", ".join(out) + " " + tell
+
+
+@query(_replay_sql())
 def replay_audit(spark, d):
     a = table(spark, d, "audit_stability").select("snapshot_no", (F.col("snapshot_no") * 10_000_000_000 + F.col("row_no")).alias("ord"), "CaseNumber", *CELLS)
     return stability.replay(a, "snapshot_no", "CaseNumber", "ord", CELLS, F.date_format(dates.parse_mixed_date(F.col("DeathDate")), "yyyy-MM"))
