@@ -208,66 +208,93 @@ def demographics_clean(spark, d):
 
 
 # --- consensus ----------------------------------------------------------------------
-VOTED = ["CauseA", "Race", "Gender", "DeathZip", "Mode"]
-_k = lambda c: rf"regexp_replace(regexp_replace(upper({c}), '\b(NULL|NONE|NAN|N/?A|TRUE|FALSE|UNKNOWN|PENDING|DEFERRED)\b', ' ', 'g'), '[^A-Z0-9]', '', 'g')"
-_kn = lambda c: f"CASE WHEN {_k(c)} NOT IN ({_in(text.NULL_KEYS)}) THEN {_k(c)} END"
-_keys = {
-    "CauseA": _kn("CauseA"), "Mode": _kn("Mode"), "DeathZip": r"nullif(regexp_extract(regexp_replace(upper(DeathZip), '\.0$', ''), '(\d{5})', 1), '')",
-    "Gender": f"CASE {_kn('Gender')} WHEN 'F' THEN 'FEMALE' WHEN 'M' THEN 'MALE' ELSE {_kn('Gender')} END",
-    "Race": "CASE " + " ".join(f"WHEN {_kn('Race')} LIKE '%{a}%' THEN '{b}'" for a, b in text.RACE_BUCKETS) + f" ELSE {_kn('Race')} END"}
-_votes = (
-    "WITH c AS (SELECT * FROM consensus WHERE regexp_matches(CaseNumber, '^\\d{4}-\\d+$')), u AS (" + " UNION ALL ".join(f"SELECT CaseNumber AS cn, source_file AS src, row_id AS ord, '{c}' AS col, {c} AS val, {_keys[c]} AS norm FROM c" for c in VOTED) + "), "
-    "l AS (SELECT cn, col, src, norm, arg_min(val, ord) AS val, min(ord) AS ord FROM u WHERE val IS NOT NULL AND norm IS NOT NULL GROUP BY ALL), "
-    "v AS (SELECT cn, col, norm, count(*) AS n, min(ord) AS ord FROM l GROUP BY ALL), w AS (SELECT *, count(*) OVER (PARTITION BY cn, col) AS k FROM v), "
-    "p AS (SELECT cn, col, norm AS winner FROM w WHERE k > 1 QUALIFY row_number() OVER (PARTITION BY cn, col ORDER BY n DESC, ord) = 1), "
-    "s AS (SELECT l.*, winner, norm = winner OR (length(norm) >= 5 AND (starts_with(winner, norm) OR ends_with(winner, norm))) AS agree FROM l JOIN p USING (cn, col)), "
-    "r AS (SELECT src, avg(CASE WHEN agree THEN 1.0 ELSE 0.0 END) AS rel FROM s GROUP BY src), b AS (SELECT cn, col, norm, max(rel) AS rel FROM l LEFT JOIN r USING (src) GROUP BY ALL) ")
-
-
-@query(_votes + "SELECT cn AS case_number, col AS field, norm, n AS votes, round(rel, 6) AS reliability FROM v JOIN b USING (cn, col, norm) QUALIFY row_number() OVER (PARTITION BY cn, col ORDER BY n DESC, coalesce(rel, -1) DESC, ord) = 1")
-def consensus_vote(spark, d):
-    w = consensus.vote(consensus.ballots(table(spark, d, "consensus"), VOTED), fold=False)["winners"]
-    return w.select(F.col("case").alias("case_number"), F.col("column").alias("field"), "norm", F.col("count").alias("votes"), F.round("reliability", 6).alias("reliability"))
-
-
-@query(_votes + "SELECT src AS source, round(rel, 6) AS reliability FROM r")
-def source_reliability(spark, d):
-    r = consensus.vote(consensus.ballots(table(spark, d, "consensus"), VOTED), fold=False)["reliability"]
-    return r.select("source", F.round("reliability", 6).alias("reliability"))
-
-
-# Every column that the consensus step maps and the table has; clipped values are folded, which SQL can't express.
 MAPPED = [
     "ResidenceType", "DeathDate", "DeathTime", "DeathPlace", "DeathAddress", "DeathZip", "DeathCity", "EventPlace", "EventAddress", "EventZip", "EventCity", "Mode",
     "CauseA", "CauseB", "CauseC", "CauseD", "CauseOther", "HowInjuryOccurred", "FirstName", "LastName", "DateofBirth", "Race", "Gender", "Age", "SourcePages",
 ]
+_words = lambda c: rf"regexp_replace(upper({c}), '\b(NULL|NONE|NAN|N/?A|TRUE|FALSE|UNKNOWN|PENDING|DEFERRED)\b', ' ', 'g')"
+_k = lambda c: f"regexp_replace({_words(c)}, '[^A-Z0-9]', '', 'g')"
+_kn = lambda c: f"CASE WHEN {_k(c)} NOT IN ({_in(text.NULL_KEYS)}) THEN {_k(c)} END"
 
 
-def _whole_vote(spark, d):
+def _day_key(c: str) -> str:
+    s = f"trim(upper({c}))"
+    months = "".join(f" WHEN '{m}' THEN '{i}'" for i, m in enumerate(("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"), 1))
+    iso, us, mon = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[T ].*)?$", r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: .*)?$", r"^(\d{1,2})[- ]([A-Z]{3})[A-Z]*[- ](\d{4})$"
+    return (
+        f"CAST(CASE WHEN regexp_matches({s}, '{iso}') THEN TRY_CAST(regexp_replace({s}, '{iso}', '\\1-\\2-\\3') AS DATE) WHEN regexp_matches({s}, '{us}') THEN TRY_CAST(regexp_replace({s}, '{us}', '\\3-\\1-\\2') AS DATE) "
+        f"WHEN regexp_matches({s}, '{mon}') THEN TRY_CAST(regexp_extract({s}, '{mon}', 3) || '-' || CASE regexp_extract({s}, '{mon}', 2){months} END || '-' || regexp_extract({s}, '{mon}', 1) AS DATE) END AS VARCHAR)")
+
+
+def _key_sql(c: str) -> str:
+    if c in ("DeathDate", "DateofBirth"):
+        return _day_key(c)
+    if c == "Age":
+        return r"nullif(regexp_extract(Age, '(\d+)', 1), '')"
+    if c in ("DeathZip", "EventZip"):
+        return rf"nullif(regexp_extract(regexp_replace(upper({c}), '\.0$', ''), '(\d{{5}})', 1), '')"
+    if c == "Gender":
+        return f"CASE {_kn(c)} WHEN 'F' THEN 'FEMALE' WHEN 'M' THEN 'MALE' ELSE {_kn(c)} END"
+    if c == "Race":
+        return "CASE " + " ".join(f"WHEN {_kn(c)} LIKE '%{a}%' THEN '{b}'" for a, b in text.RACE_BUCKETS) + f" ELSE {_kn(c)} END"
+    return _kn(c)
+
+
+_kept_entry = "{'norm': %s, 'n': %s, 'val': %s, 'ord': %s, 'heads': %s, 'tails': %s}"
+_fragment = (
+    "length(w.norm) >= 5 AND x.norm <> w.norm AND CASE WHEN starts_with(x.norm, w.norm) THEN w.hang OR coalesce(NOT list_contains(x.heads, w.norm), false) "
+    "WHEN ends_with(x.norm, w.norm) THEN coalesce(NOT list_contains(x.tails, w.norm), false) ELSE false END")
+# Ballots, votes by key, folding from the longest key to the shortest (one step of the recursion a vote), reliability, backers.
+_votes = (
+    "WITH RECURSIVE c AS (SELECT * FROM consensus WHERE regexp_matches(CaseNumber, '^\\d{4}-\\d+$')), u AS (" + " UNION ALL ".join(f"SELECT CaseNumber AS cn, source_file AS src, row_id AS ord, '{c}' AS col, {c} AS val, {_key_sql(c)} AS norm FROM c" for c in MAPPED) + "), "
+    "l AS (SELECT cn, col, src, norm, arg_min(val, ord) AS val, min(ord) AS ord FROM u WHERE val IS NOT NULL AND norm IS NOT NULL GROUP BY ALL), "
+    r"v AS (SELECT cn, col, norm, count(*) AS n, arg_min(val, (length(val) - length(regexp_replace(val, '\s', '', 'g')), ord)) AS val, min(ord) AS ord FROM l GROUP BY ALL), "
+    f"x AS (SELECT *, count(*) OVER (PARTITION BY cn, col) AS k, row_number() OVER (PARTITION BY cn, col ORDER BY -length(norm), norm) AS rk, regexp_extract_all({_words('val')}, '[A-Z0-9]+') AS ws FROM v), "
+    r"w AS (SELECT *, regexp_matches(val, '(?i)(,|\b(" + "|".join(consensus.HANGING_WORDS) + r"))\s*$') AS hang, "
+    "CASE WHEN array_to_string(ws, '') = norm THEN list_transform(range(1, len(ws) + 1), lambda i: array_to_string(ws[1:i], '')) END AS heads, CASE WHEN array_to_string(ws, '') = norm THEN list_transform(range(1, len(ws) + 1), lambda i: array_to_string(ws[i:], '')) END AS tails FROM x), "
+    f"r AS (SELECT cn, col, rk, k, [{_kept_entry % ('norm', 'n', 'val', 'ord', 'heads', 'tails')}] AS kept FROM w WHERE rk = 1 UNION ALL SELECT r.cn, r.col, w.rk, r.k, CASE WHEN list_contains(list_transform(r.kept, lambda x: {_fragment}), true) "
+    f"THEN list_transform(r.kept, lambda x, i: {_kept_entry % ('x.norm', f'x.n + CASE WHEN i = list_position(list_transform(r.kept, lambda x: {_fragment}), true) THEN w.n ELSE 0 END', 'x.val', 'x.ord', 'x.heads', 'x.tails')}) "
+    f"ELSE list_append(r.kept, {_kept_entry % ('w.norm', 'w.n', 'w.val', 'w.ord', 'w.heads', 'w.tails')}) END FROM r JOIN w ON w.cn = r.cn AND w.col = r.col AND w.rk = r.rk + 1), "
+    "f AS (SELECT cn, col, len(kept) AS kk, unnest(kept) AS e FROM r WHERE rk = k), q AS (SELECT cn, col, kk, e.norm AS norm, e.n AS n, e.val AS val, e.ord AS ord FROM f), "
+    "p AS (SELECT cn, col, norm AS winner FROM q WHERE kk > 1 AND col <> 'SourcePages' QUALIFY row_number() OVER (PARTITION BY cn, col ORDER BY n DESC, ord) = 1), "
+    "s AS (SELECT l.*, winner, norm = winner OR (length(norm) >= 5 AND (starts_with(winner, norm) OR ends_with(winner, norm))) AS agree FROM l JOIN p USING (cn, col)), "
+    "rel AS (SELECT src, avg(CASE WHEN agree THEN 1.0 ELSE 0.0 END) AS rel FROM s GROUP BY src), b AS (SELECT cn, col, norm, max(rel) AS rel FROM l LEFT JOIN rel USING (src) GROUP BY ALL), "
+    "win AS (SELECT cn, col, norm, n, val, rel FROM q JOIN b USING (cn, col, norm) QUALIFY row_number() OVER (PARTITION BY cn, col ORDER BY n DESC, coalesce(rel, -1) DESC, ord) = 1) ")
+_tidy = lambda c: rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
+
+
+def _vote(spark, d):
     return consensus.vote(consensus.ballots(table(spark, d, "consensus"), MAPPED))
 
 
-@query()
-def consensus_vote_whole(spark, d):
-    w = _whole_vote(spark, d)["winners"]
-    return w.select(F.col("case").alias("case_number"), F.col("column").alias("field"), "norm", F.col("count").alias("votes"), F.round("reliability", 6).alias("reliability"))
+@query(_votes + "SELECT cn AS case_number, col AS field, norm, n::BIGINT AS votes, round(rel, 6) AS reliability FROM win")
+def consensus_vote(spark, d):
+    return _vote(spark, d)["winners"].select(F.col("case").alias("case_number"), F.col("column").alias("field"), "norm", F.col("count").alias("votes"), F.round("reliability", 6).alias("reliability"))
 
 
-@query()
-def source_reliability_whole(spark, d):
-    return _whole_vote(spark, d)["reliability"].select("source", F.round("reliability", 6).alias("reliability"))
+@query(_votes + "SELECT src AS source, round(rel, 6) AS reliability FROM rel")
+def source_reliability(spark, d):
+    return _vote(spark, d)["reliability"].select("source", F.round("reliability", 6).alias("reliability"))
 
 
-@query()
+@query(_votes + "SELECT cn AS CaseNumber, " + ", ".join(f"max({_tidy('val')}) FILTER (WHERE col = '{c}') AS {c}" for c in MAPPED) + " FROM win GROUP BY cn")
 def consensus_collated(spark, d):
     return consensus.collate(table(spark, d, "consensus"), MAPPED)["consensus"]
 
 
-@query()
+@query(_votes + f"SELECT s.cn AS \"case\", s.col AS \"column\", s.src AS source, {_tidy('s.val')} AS value, {_tidy('win.val')} AS winning_value FROM s JOIN win USING (cn, col) WHERE NOT agree")
 def consensus_disagreements(spark, d):
     return consensus.collate(table(spark, d, "consensus"), MAPPED)["disagreements"]
 
 
+@query(
+    _votes + ", a AS (SELECT src, count(*) AS contested, sum((NOT agree)::INT)::BIGINT AS against FROM s GROUP BY src), h AS (SELECT source_file AS src, count(*) AS rows FROM c GROUP BY 1), g AS (SELECT src, count(*) AS cells FROM l WHERE col <> 'SourcePages' GROUP BY src) "
+    "SELECT src AS source, contested, against, round(rel, 6) AS reliability, round(against / contested, 6) AS rate, rows, cells FROM a JOIN h USING (src) JOIN g USING (src) JOIN rel USING (src)")
+def consensus_files(spark, d):
+    f = consensus.collate(table(spark, d, "consensus"), MAPPED)["files"]
+    return f.withColumn("reliability", F.round("reliability", 6))
+
+
 # --- versions of the master ---------------------------------------------------------
 CELLS = ["DeathDate", "Age", "Gender", "Race", "Mode", "CauseA", "Fentanyl", "Heroin"]
 _date = "coalesce(try_strptime(trim(DeathDate), ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%d %H:%M:%S', '%d %b %Y', '%d-%b-%Y']))::DATE"

@@ -77,9 +77,9 @@ def voted(spark, tmp_path_factory):
 
 def test_vote_and_reliability(spark, voted):
     d, best, rel = voted
-    got = {(r["case_number"], r["field"]): (r["norm"], r["votes"]) for r in reference.consensus_vote_whole(spark, d).collect()}
+    got = {(r["case_number"], r["field"]): (r["norm"], r["votes"]) for r in reference.consensus_vote(spark, d).collect()}
     assert got == {k: (r[0], r[1]) for k, r in best.items()}
-    assert {r["source"]: r["reliability"] for r in reference.source_reliability_whole(spark, d).collect()} == {s: pytest.approx(x, abs=1e-6) for s, x in rel.items()}
+    assert {r["source"]: r["reliability"] for r in reference.source_reliability(spark, d).collect()} == {s: pytest.approx(x, abs=1e-6) for s, x in rel.items()}
 
 
 def test_collated_has_every_mapped_column(spark, voted):
