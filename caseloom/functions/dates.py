@@ -12,12 +12,9 @@ def parse_mixed_date(c: Column) -> Column:
     iso, us = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[T ].*)?$", r"^(\d{1,2})/(\d{1,2})/(\d{4})(?: .*)?$"
     mon = r"^(\d{1,2})[- ]([A-Z]{3})[A-Z]*[- ](\d{4})$"
     months = F.array(*[F.lit(m) for m in ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")])
-    n = lambda p, g: F.nullif(F.regexp_extract(s, p, g), F.lit("")).cast("int")
-    y = F.coalesce(n(iso, 1), n(us, 3), n(mon, 3))
-    m = F.coalesce(n(iso, 2), n(us, 1), F.array_position(months, F.regexp_extract(s, mon, 2)).cast("int"))
-    d = F.coalesce(n(iso, 3), n(us, 2), n(mon, 1))
-    last = F.when(m == 2, F.when((y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)), 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
-    return F.when(y.between(1, 9999) & m.between(1, 12) & d.between(1, last), F.make_date(y, m, d))
+    named = F.concat_ws("-", F.regexp_extract(s, mon, 3), F.array_position(months, F.regexp_extract(s, mon, 2)).cast("string"), F.regexp_extract(s, mon, 1))
+    plain = F.when(s.rlike(iso), F.regexp_replace(s, iso, "$1-$2-$3")).when(s.rlike(us), F.regexp_replace(s, us, "$3-$1-$2")).when(s.rlike(mon), named)
+    return plain.try_cast("date")
 
 
 def parse_exact_date(c: Column) -> Column:

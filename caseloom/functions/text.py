@@ -166,3 +166,14 @@ def stop_filtered(c: Column, stop: tuple[str, ...]) -> Column:
 def drop_frequent(a: Column, most: int = 5) -> Column:
     """Array elements that occur at most ``most`` times, order kept."""
     return F.filter(a, lambda x: F.size(F.filter(a, lambda y: y == x)) <= most)
+
+
+def truthy(c: Column) -> Column:
+    """Whether a flag is set, however it is written."""
+    return F.coalesce(F.lower(F.trim(c.cast("string"))).isin("1", "true", "t", "y", "yes"), F.lit(False))
+
+
+def clean_cell(c: Column) -> Column:
+    """A cell with single blanks, and the word NULL where nothing is known."""
+    s = F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.when(c.isNull() | F.upper(F.trim(c)).isin("", "NULL", "NAN", "NONE"), "NULL").otherwise(s)

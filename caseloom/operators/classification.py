@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from functools import reduce
 from operator import add
@@ -60,6 +61,18 @@ def apply_corrections(df: DataFrame, text: Column | None = None, lexicon: dict[s
     return d.drop("_text", "_mask", "_op", "_drug", *[f"_r{i}" for i in range(len(SUBSTANCES))])
 
 
+def or_flags(df: DataFrame, text: Column, lexicon: dict[str, str], labels: tuple[str, ...]) -> DataFrame:
+    """Each label as its own value OR the lexicon's; nulls count as 0."""
+    d = label_flags(df, text, lexicon, "_l_")
+    return d.withColumns({k: F.greatest(F.coalesce(col(k), F.lit(0)), col(f"_l_{k}")) for k in labels if k in lexicon}).drop(*[f"_l_{k}" for k in lexicon])
+
+
+def recode_by_keywords(df: DataFrame, text: str, words: tuple[str, ...], labels: list[str]) -> DataFrame:
+    """Labels set to 1 where a text contains one of some words, also inside others; nulls count as 0."""
+    hit = F.coalesce(F.lower(col(text)).rlike("|".join(re.escape(w.lower()) for w in words)), F.lit(False))
+    return df.withColumns({k: F.when(hit, 1).otherwise(F.coalesce(col(k), F.lit(0))) for k in labels})
+
+
 def label_diff(before: DataFrame, after: DataFrame, key: str, labels: tuple[str, ...] = LABELS) -> DataFrame:
     """Rows whose labels changed: key, each label with its ``_new`` twin, and a summary ``changes``."""
     z = lambda side, c: F.coalesce(F.col(f"{side}.`{c}`"), F.lit(0))

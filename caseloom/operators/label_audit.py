@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.lexicon import SUBSTANCES, all_matches, label_flags
@@ -78,6 +78,20 @@ def duplicate_conflicts(df: DataFrame, key: str, text: str, labels: Iterable[str
     return g.select("text_hash", "first_row", "n_rows", F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("_c")).select("text_hash", "first_row", "n_rows", "_c.*")
 
 
+def duplicate_groups(df: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """``(dup_group, text, n, row_ids, label_values)``: equal texts whose label differs, with their rows and values in order.
+
+    Groups are numbered in order of their texts. The lists are the result; rows
+    of texts without a conflict are left out before any is made.
+    """
+    d = df.filter(F.trim(col(text)) != "").select(col(key).alias("_k"), col(text).alias(text), _label(label).alias("_v"))
+    bad = d.groupBy(text).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("n")).filter("_lo <> _hi")
+    number = F.row_number().over(Window.orderBy(text))  # over the texts in conflict, not over rows
+    g = d.join(bad.select(text, "n", number.alias("dup_group")), text).groupBy("dup_group", text, "n").agg(F.array_sort(F.collect_list(F.struct("_k", "_v"))).alias("_r"))
+    listed = lambda c: F.array_join(F.transform("_r", lambda x: x[c].cast("string")), ",")
+    return g.select("dup_group", text, "n", listed("_k").alias("row_ids"), listed("_v").alias("label_values"))
+
+
 def negated_rows(df: DataFrame, key: str, text: str, lexicon: dict[str, str], labels: Iterable[str] = SUBSTANCES) -> DataFrame:
     """``(key, label, terms)``: label 1, and each of its matches follows a negation within eight words of its field.
 

@@ -38,7 +38,7 @@ def multilabel_metrics(df: DataFrame, labels: list[str], truth: str = "{}", pred
     return whole.crossJoin(macro)  # one row with one row
 
 
-def roc_auc(df: DataFrame, score: str, truth: str, *by: str) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, truth: str, *by: str, digits: int = 6) -> DataFrame:
     """Area under the ROC curve by rank sums, ties at their mean rank.
 
     Rows shrink to distinct scores first; ranks are running sums over those, so
@@ -48,7 +48,14 @@ def roc_auc(df: DataFrame, score: str, truth: str, *by: str) -> DataFrame:
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     r = g.withColumn("_rank", F.coalesce(F.sum("_n").over(w), F.lit(0)) + (F.col("_n") + 1) / 2)
     a = r.groupBy(*by).agg(F.sum("_pos").alias("pos"), (F.sum("_n") - F.sum("_pos")).alias("neg"), F.sum(F.col("_rank") * F.col("_pos")).alias("_rs"))
-    return a.select(*by, "pos", "neg", F.round(F.when((F.col("pos") > 0) & (F.col("neg") > 0), (F.col("_rs") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg"))), 6).alias("auc"))
+    return a.select(*by, "pos", "neg", F.round(F.when((F.col("pos") > 0) & (F.col("neg") > 0), (F.col("_rs") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg"))), digits).alias("auc"))
+
+
+def macro_auc(df: DataFrame, scores: dict[str, str]) -> DataFrame:
+    """``(macro_auc)``: the mean area under the curve over labels; labels with one outcome only don't count."""
+    parts = F.array(*[F.struct(F.lit(k).alias("label"), F.coalesce(col(k).cast("int"), F.lit(0)).alias("y"), col(s).cast("double").alias("s")) for k, s in scores.items()])
+    long = df.select(F.explode(parts).alias("_p")).select("_p.*")
+    return roc_auc(long, "s", "y", "label", digits=12).agg(F.round(F.avg("auc"), 6).alias("macro_auc"))
 
 
 def best_thresholds(df: DataFrame, scores: dict[str, str], step: float = 0.01) -> DataFrame:

@@ -51,3 +51,10 @@ def predict_labels(df: DataFrame, feats: PipelineModel, models: dict[str, object
     for k, m in models.items():
         out = m.transform(out).withColumn(k + suffix, F.col("_p").cast("int")).drop("_p", "_raw", "_prob")
     return out.drop("_tokens", "_words", "_tf", "_features")
+
+
+def min_max_calibrated(df: DataFrame, fitted: DataFrame, score: str, out: str) -> DataFrame:
+    """Scores as shares of the range between the least and greatest of a fitted part, cut to 0..1; null where the range is empty."""
+    r = fitted.agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
+    share = F.try_divide(F.col(score) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    return df.crossJoin(r).withColumn(out, F.when(share.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))).drop("_lo", "_hi")  # with one row

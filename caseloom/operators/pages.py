@@ -67,6 +67,26 @@ def assign_rows(lines: DataFrame, case: str = "case", upward: bool = True) -> Da
     return lines.withColumn("owner", F.coalesce(nxt, prev) if upward else F.coalesce(prev, nxt))
 
 
+def case_rows(words: DataFrame, bounds: list[float], names: list[str], header: str, case_number: str = r"^20\d{2}-\d{4,5}$") -> DataFrame:
+    """``(page, sub, line, names...)``: the case rows of printed tables, from the words of their pages.
+
+    Words are gathered into lines, and each into the column its middle lies in
+    (``bounds`` are the inner column boundaries, one fewer than ``names``). A
+    line with a word that starts with ``header`` begins another table of the
+    page. A line whose first column is a case number is a case row; lines
+    without one run over into the case row below them, or into the last one if
+    there is none. Cells are joined by line, empty ones are null. Pages without
+    words or case rows give no rows.
+    """
+    lined = cluster_lines(words.select("page", "y", "x0", "x1", "word")).withColumn("_col", column_of((F.col("x0") + F.col("x1")) / 2, bounds))
+    cell = lambda i: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_col") == i, F.struct("x0", "word")))), lambda x: x["word"]), " ")
+    lines = lined.groupBy("page", "line").agg(F.max(F.col("word").startswith(header)).alias("_head"), *[F.nullif(cell(i), F.lit("")).alias(f"_t{i}") for i, _ in enumerate(names)])
+    body = tables_of_page(lines, F.col("_head")).filter(~F.col("_head")).withColumn("_case", F.when(F.col("_t0").rlike(case_number), F.col("line")))
+    owned = assign_rows(body, "_case").filter(F.col("owner").isNotNull())
+    whole = lambda i: F.nullif(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(f"_t{i}").isNotNull(), F.struct("line", f"_t{i}")))), lambda x: x[f"_t{i}"]), " "), F.lit(""))
+    return owned.groupBy("page", "sub", F.col("owner").alias("line")).agg(*[whole(i).alias(n) for i, n in enumerate(names)])
+
+
 def merge_pages(rows: DataFrame, key: str, page: str, columns: list[str]) -> DataFrame:
     """One row a case: the last known value by page, and the sorted list of its pages."""
     known = lambda c: F.col(c).isNotNull() & (F.col(c) != "NULL")

@@ -56,10 +56,13 @@ def small_cells(df: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
     return g.agg(F.count("*").alias("cells"), F.sum("count").alias("rows"), F.sum(small.cast("long")).alias("small_cells"), F.sum(F.when(small, F.col("count")).otherwise(0)).alias("rows_in_small"))
 
 
-def novel_contribution(df: DataFrame, group: str, case: str, source: str) -> DataFrame:
-    """``(group, source, n_cases, n_new)``: cases of each source, and those no earlier source (by name) has in the group."""
-    one = df.select(group, case, source).distinct()
-    first = one.groupBy(group, case).agg(F.min(source).alias("_first"))
+def novel_contribution(df: DataFrame, group: str, case: str, source: str, arrived: str | None = None) -> DataFrame:
+    """``(group, source, n_cases, n_new)``: cases of each source, and those no earlier source has in the group.
+
+    Earlier by the column ``arrived`` (one value a source), then by name; by name alone without it.
+    """
+    one = df.select(group, case, source, *([arrived] if arrived else [])).distinct()
+    first = one.groupBy(group, case).agg(F.min_by(source, F.struct(arrived, source) if arrived else F.struct(source)).alias("_first"))
     return one.join(first, [group, case]).groupBy(group, source).agg(F.count("*").alias("n_cases"), F.sum((F.col(source) == F.col("_first")).cast("long")).alias("n_new"))
 
 
@@ -69,6 +72,35 @@ def coverage(df: DataFrame, group: str, source: str, least: int = 3) -> DataFram
     return g.filter(F.col("n_sources") >= least)
 
 
+def ensure_columns(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
+    """The frame with the columns it lacks added as constants."""
+    return df.withColumns({c: F.lit(v) for c, v in defaults.items() if c not in df.columns})
+
+
+def union_first_wins(frames: list[DataFrame], keys: list[str], order: str) -> DataFrame:
+    """One row a key: of several frames the earlier one's, within a frame the first by ``order``."""
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)])
+    cols = [c for c in whole.columns if c != "_frame"]
+    return whole.groupBy(*[col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct(*[col(c) for c in cols]), F.struct("_frame", col(order))).alias("_r")).select("_r.*")
+
+
+def column_totals(before: DataFrame, after: DataFrame, columns: list[str]) -> DataFrame:
+    """``(label, before, after, delta)``: sums of flag columns of two frames, nulls as 0."""
+    def total(df: DataFrame, name: str) -> DataFrame:
+        g = df.agg(*[F.coalesce(F.sum(col(c).cast("long")), F.lit(0)).alias(f"_{i}") for i, c in enumerate(columns)])
+        return g.select(F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"_{i}").alias(name)) for i, c in enumerate(columns)])).alias("_x")).select("_x.*")
+
+    return total(before, "before").join(total(after, "after"), "label").withColumn("delta", F.col("after") - F.col("before"))
+
+
+def small_cell_shares(df: DataFrame, year: str, area: str, least: int = 5) -> DataFrame:
+    """``(year, cells, rows, small_cells, cell_share, row_share)`` by year and, as year ``All``, over all years; rows without an area don't count."""
+    g = rollup_with_all(df.filter(col(area).isNotNull()), [area], year, [F.count("*").alias("_n")])
+    small = F.col("_n") < least
+    s = g.groupBy(year).agg(F.count("*").alias("cells"), F.sum("_n").alias("rows"), F.sum(small.cast("long")).alias("small_cells"), F.sum(F.when(small, F.col("_n")).otherwise(0)).alias("_in"))
+    return s.select(year, "cells", "rows", "small_cells", F.round(F.col("small_cells") / F.col("cells"), 6).alias("cell_share"), F.round(F.col("_in") / F.col("rows"), 6).alias("row_share"))
+
+
 def windows_of_weeks(df: DataFrame, ts: str, weeks: int = 4) -> DataFrame:
     """Counts by periods of whole weeks that end on Sundays, empty ones included."""
     day = F.datediff(F.to_date(col(ts)), F.lit("1970-01-05").cast("date"))  # a Monday
