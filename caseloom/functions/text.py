@@ -96,27 +96,30 @@ def gender_clean(c: Column) -> Column:
     return F.coalesce(*[F.when(s == k, F.lit(v)) for k, v in GENDERS.items()])
 
 
-def vote_key(column: str, c: Column) -> Column:
-    """The key under which values of a column count as the same vote; null where there is no information."""
+def plain_key(c: Column) -> Column:
+    """The letters and digits of a value without words that mean nothing; null if none are left."""
+    k = F.regexp_replace(F.regexp_replace(F.upper(c), NULL_KEY_WORDS, " "), "[^A-Z0-9]", "")
+    return F.when(~k.isin(*NULL_KEYS), k)
+
+
+def vote_key(column: Column, c: Column, k: Column) -> Column:
+    """The key under which values of a named column count as the same vote; null where there is no information.
+
+    ``k`` is the value's ``plain_key``, as a column of its own: it is used many times.
+    """
+    from caseloom.functions.dates import parse_mixed_date
+
     s = F.upper(c)
-    if column in ("DeathDate", "DateofBirth"):
-        from caseloom.functions.dates import parse_mixed_date
-
-        return parse_mixed_date(c).cast("string")
-    if column == "Age":
-        return F.nullif(F.regexp_extract(s, r"(\d+)", 1), F.lit(""))
-    if column in ("DeathZip", "EventZip"):
-        return F.nullif(F.regexp_extract(F.regexp_replace(s, r"\.0$", ""), r"(\d{5})", 1), F.lit(""))
-    k = F.regexp_replace(F.regexp_replace(s, NULL_KEY_WORDS, " "), "[^A-Z0-9]", "")
-    k = F.when(~k.isin(*NULL_KEYS), k)
-    if column == "Gender":
-        return F.when(k == "F", "FEMALE").when(k == "M", "MALE").otherwise(k)
-    if column == "Race":
-        out = F
-        for part, bucket in RACE_BUCKETS:
-            out = out.when(k.contains(part), bucket)
-        return out.otherwise(k)
-    return k
+    race = F
+    for part, bucket in RACE_BUCKETS:
+        race = race.when(k.contains(part), bucket)
+    return (
+        F.when(column.isin("DeathDate", "DateofBirth"), parse_mixed_date(c).cast("string"))
+        .when(column == "Age", F.nullif(F.regexp_extract(s, r"(\d+)", 1), F.lit("")))
+        .when(column.isin("DeathZip", "EventZip"), zip5(s))
+        .when(column == "Gender", F.when(k == "F", "FEMALE").when(k == "M", "MALE").otherwise(k))
+        .when(column == "Race", race.otherwise(k))
+        .otherwise(k))
 
 
 def zip5(c: Column) -> Column:
