@@ -14,7 +14,7 @@ from caseloom.operators import classification, label_audit, metrics, pages, repo
 from caseloom.operators.classification import LABELS
 from caseloom.operators.models import min_max_calibrated
 from caseloom.plans import pipelines
-from caseloom.plans.reference import LEX, _date, _hit, lit, q, safe
+from caseloom.plans.reference import LEX, _all, _date, _every, _hit, lit, q, safe
 from caseloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,15 +163,14 @@ def column_totals(spark, d):
 
 
 @query(
-    "WITH g AS (SELECT CauseA, count(*) AS n, string_agg(row_no::VARCHAR, ',' ORDER BY row_no) AS row_list, string_agg(coalesce(Fentanyl, 0)::VARCHAR, ',' ORDER BY row_no) AS value_list, count(DISTINCT coalesce(Fentanyl, 0)) AS k FROM audit_stability WHERE snapshot_no = 5 AND trim(CauseA) <> '' GROUP BY CauseA HAVING n > 1 AND k > 1) "
+    f"WITH g AS (SELECT CauseA, count(*) AS n, string_agg(row_no::VARCHAR, ',' ORDER BY row_no) AS row_list, string_agg(coalesce(Fentanyl, 0)::VARCHAR, ',' ORDER BY row_no) AS value_list, count(DISTINCT coalesce(Fentanyl, 0)) AS k FROM {_all} WHERE trim(CauseA) <> '' GROUP BY CauseA HAVING n > 1 AND k > 1) "
     "SELECT dense_rank() OVER (ORDER BY CauseA) AS dup_group, CauseA, n, row_list AS row_ids, value_list AS label_values FROM g")
 def duplicate_groups(spark, d):
-    a = table(spark, d, "audit_stability").filter("snapshot_no = 5")
-    return label_audit.duplicate_groups(a, "row_no", "CauseA", "Fentanyl")
+    return label_audit.duplicate_groups(_every(spark, d), "row_no", "CauseA", "Fentanyl")
 
 
 @query(_a + f"SELECT term, 'Any Drugs' AS label, count(*) AS n, sum(coalesce({q('Any Drugs')}, 0))::BIGINT AS tp, round(sum(coalesce({q('Any Drugs')}, 0)) / count(*), 3) AS precision FROM (" + " UNION ALL ".join(f"SELECT '{w}' AS term, * FROM a WHERE regexp_matches(coalesce(CauseA, ''), '(?i)\\b{w}\\b')" for w in ("toxicity", "overdose", "intoxication", "drug")) + ") GROUP BY term")
-def aggregate_words(spark, d):
+def aggregate_signal(spark, d):
     """How well general words predict the aggregate label."""
     return label_audit.aggregate_signal(table(spark, d, "audit_stability"), "CauseA", {w: "Any Drugs" for w in ("toxicity", "overdose", "intoxication", "drug")})
 

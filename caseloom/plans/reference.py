@@ -45,7 +45,11 @@ def lit(s: str) -> str:
 
 
 # --- records merged and filled ------------------------------------------------------
-MERGED = ["DeathDate", "CauseA", "Race", "Gender", "Age", "DeathZip"]
+MAPPED = [
+    "ResidenceType", "DeathDate", "DeathTime", "DeathPlace", "DeathAddress", "DeathZip", "DeathCity", "EventPlace", "EventAddress", "EventZip", "EventCity", "Mode",
+    "CauseA", "CauseB", "CauseC", "CauseD", "CauseOther", "HowInjuryOccurred", "FirstName", "LastName", "DateofBirth", "Race", "Gender", "Age", "SourcePages",
+]
+MERGED = ["source_file", *MAPPED]
 _count = " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in ["CaseNumber", *MERGED])
 
 
@@ -55,7 +59,8 @@ def _merge_sql(sign: str) -> str:
 
 
 def _merge(spark: SparkSession, d: str, tie: str) -> DataFrame:
-    return entity.merge_records(table(spark, d, "consensus").select("row_id", "CaseNumber", *MERGED), ["CaseNumber"], "row_id", tie)
+    c = table(spark, d, "consensus")
+    return entity.merge_records(c.select("row_id", "CaseNumber", *[x for x in MERGED if x in c.columns]), ["CaseNumber"], "row_id", tie)
 
 
 @query(_merge_sql("-"))
@@ -68,7 +73,7 @@ def entity_merge_first(spark, d):
     return _merge(spark, d, "first")
 
 
-FILLED = ["CauseA", "Race", "Gender", "DeathZip"]
+FILLED = MAPPED
 
 
 @query(
@@ -76,37 +81,28 @@ FILLED = ["CauseA", "Race", "Gender", "DeathZip"]
     "m AS (SELECT CaseNumber, " + ", ".join(f"arg_min({c}, r) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in FILLED) + " FROM h GROUP BY CaseNumber) "
     "SELECT c.row_id, c.CaseNumber, " + ", ".join(f"coalesce(c.{c}, m.{c}) AS {c}" for c in FILLED) + " FROM consensus c LEFT JOIN m ON c.CaseNumber IS NOT DISTINCT FROM m.CaseNumber WHERE c.source_file LIKE 'me_master%'")
 def backfill_history(spark, d):
-    c = table(spark, d, "consensus").select("row_id", "source_file", "CaseNumber", *FILLED)
+    c = table(spark, d, "consensus")
+    c = c.select("row_id", "source_file", "CaseNumber", *[x for x in FILLED if x in c.columns])
     mine = F.col("source_file").startswith("me_master")
     return entity.backfill(c.filter(mine).drop("source_file"), c.filter(~mine).drop("source_file"), "CaseNumber", "row_id")
 
 
-# The same over whole rows; the three above keep to the columns of their SQL.
-@query()
-def entity_merge_last_whole(spark, d):
-    return entity.merge_records(table(spark, d, "consensus").drop("received_at"), ["CaseNumber"], "row_id", "last")
-
-
-@query()
-def entity_merge_first_whole(spark, d):
-    return entity.merge_records(table(spark, d, "consensus").drop("received_at"), ["CaseNumber"], "row_id", "first")
+# A row of any snapshot: row_no is unique within one only.
+_all = "(SELECT * REPLACE (snapshot_no::BIGINT * 10000000000 + row_no AS row_no) FROM audit_stability)"
 
 
-@query()
-def backfill_history_whole(spark, d):
-    c = table(spark, d, "consensus").drop("received_at")
-    mine = F.col("source_file").startswith("me_master")
-    return entity.backfill(c.filter(mine).drop("source_file"), c.filter(~mine).drop("source_file"), "CaseNumber", "row_id")
+def _every(spark, d):
+    return table(spark, d, "audit_stability").withColumn("row_no", F.col("snapshot_no").cast("long") * 10_000_000_000 + F.col("row_no"))
 
 
 _others = ["DeathDate", "Age", "Gender", "Race", "Mode", "CauseA"]
 
 
 @query(
-    "WITH k AS (SELECT *, -(" + " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in ["CaseNumber", *_others]) + ")::BIGINT * 10000000000 - row_no AS r FROM audit_stability WHERE snapshot_no = 5) SELECT CaseNumber, "
+    "WITH k AS (SELECT *, -(" + " + ".join(f"(CASE WHEN {c} IS NULL THEN 0 ELSE 1 END)" for c in ["CaseNumber", *_others]) + ")::BIGINT * 1000000000000 - row_no AS r FROM " + _all + ") SELECT CaseNumber, "
     + ", ".join(f"arg_min({c}, r) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _others) + ", " + ", ".join(f"max({q(c)}) AS {safe(c)}" for c in LABELS) + " FROM k GROUP BY CaseNumber")
 def flag_max_merge(spark, d):
-    a = table(spark, d, "audit_stability").filter("snapshot_no = 5").select("row_no", "CaseNumber", *_others, *[col(c).alias(safe(c)) for c in LABELS])
+    a = _every(spark, d).select("row_no", "CaseNumber", *_others, *[col(c).alias(safe(c)) for c in LABELS])
     return entity.merge_cases(a, "CaseNumber", [safe(c) for c in LABELS], "row_no")
 
 
@@ -178,17 +174,11 @@ def classification_diff(spark, d):
     return classification.label_diff(s, classification.apply_corrections(s, lexicon=LEX), "row_id").select("row_id", "changes")
 
 
-_fm = " UNION ALL ".join(f"SELECT row_id, '{k}' AS label, '{f}' AS field, regexp_extract({_norm(f)}, {lit('(?i)(' + LEX[k] + ')')}, 1) AS match FROM consensus" for k in SUBSTANCES for f in ("CauseA", "CauseOther"))
+_fm = " UNION ALL ".join(f"SELECT row_id, '{k}' AS label, '{f}' AS field, regexp_extract({_norm(f)}, {lit('(?i)(' + LEX[k] + ')')}, 1) AS match FROM consensus" for k in SUBSTANCES for f in TEXT_FIELDS)
 
 
 @query(f"SELECT * FROM ({_fm}) WHERE match <> ''")
 def matched_terms(spark, d):
-    return first_matches(table(spark, d, "consensus"), ["CauseA", "CauseOther"], LEX, ["row_id"])
-
-
-@query()
-def matched_terms_whole(spark, d):
-    """Evidence from every text field; ``matched_terms`` keeps to the two fields of its SQL."""
     return first_matches(table(spark, d, "consensus"), TEXT_FIELDS, LEX, ["row_id"])
 
 
@@ -208,10 +198,6 @@ def demographics_clean(spark, d):
 
 
 # --- consensus ----------------------------------------------------------------------
-MAPPED = [
-    "ResidenceType", "DeathDate", "DeathTime", "DeathPlace", "DeathAddress", "DeathZip", "DeathCity", "EventPlace", "EventAddress", "EventZip", "EventCity", "Mode",
-    "CauseA", "CauseB", "CauseC", "CauseD", "CauseOther", "HowInjuryOccurred", "FirstName", "LastName", "DateofBirth", "Race", "Gender", "Age", "SourcePages",
-]
 _words = lambda c: rf"regexp_replace(upper({c}), '\b(NULL|NONE|NAN|N/?A|TRUE|FALSE|UNKNOWN|PENDING|DEFERRED)\b', ' ', 'g')"
 _k = lambda c: f"regexp_replace({_words(c)}, '[^A-Z0-9]', '', 'g')"
 _kn = lambda c: f"CASE WHEN {_k(c)} NOT IN ({_in(text.NULL_KEYS)}) THEN {_k(c)} END"
@@ -358,11 +344,11 @@ def replay_audit(spark, d):
 
 # --- label audits -------------------------------------------------------------------
 def _labelled(spark, d):
-    return table(spark, d, "audit_stability").filter("snapshot_no = 5").select("row_no", "CauseA", *[col(c) for c in LABELS])
+    return _every(spark, d).select("row_no", "CauseA", *[col(c) for c in LABELS])
 
 
 _lab = lambda c: f"coalesce({q(c)}, 0)"
-_base = "WITH a AS (SELECT * FROM audit_stability WHERE snapshot_no = 5), "
+_base = f"WITH a AS (SELECT * FROM {_all}), "
 _match = "m AS (" + " UNION ALL ".join(f"SELECT row_no, '{k}' AS label, {_lab(k)} AS v, lower(unnest(regexp_extract_all(coalesce(CauseA, ''), {lit('(?i)' + LEX[k])}))) AS term FROM a" for k in SUBSTANCES) + "), p AS (SELECT term, label, sum(v)::BIGINT AS tp, count(*) - sum(v)::BIGINT AS fp, count(*) AS n, round(sum(v) / count(*), 3) AS precision FROM m GROUP BY term, label) "
 
 
@@ -413,14 +399,6 @@ def pattern_leak(spark, d):
     return label_audit.pattern_leak(label_audit.matches(a, "row_no", "CauseA", LEX), a, "row_no")
 
 
-@query(
-    "WITH x AS (" + " UNION ALL ".join(f"SELECT '{w}' AS term, 'Any Opioids' AS label, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS v FROM documents WHERE regexp_matches(coalesce(text, ''), '(?i)\\b{w}\\b')" for w in label_audit.AGGREGATE_OF)
-    + ") SELECT term, label, count(*) AS n, sum(v)::BIGINT AS tp, round(sum(v) / count(*), 3) AS precision FROM x GROUP BY term, label")
-def aggregate_signal(spark, d):
-    t = table(spark, d, "documents").select("text", (F.col("doc_id") % 3 == 0).cast("int").alias("Any Opioids"))
-    return label_audit.aggregate_signal(t, "text")
-
-
 @query()
 def negated_mentions(spark, d):
     t = table(spark, d, "documents").select("doc_id", "text", *[F.lit(1).alias(k) for k in ("Heroin", "Fentanyl", "Cocaine", "Alcohol")])
@@ -465,9 +443,12 @@ def roc_auc(spark, d):
     return metrics.roc_auc(_predicted(spark, d).withColumn("y", F.coalesce("Fentanyl", F.lit(0))), "score", "y")
 
 
-@query(_base + "s AS (SELECT floor((row_no * 7919 % 1000) / 10)::INT AS b, coalesce(Fentanyl, 0) AS y FROM a), g AS (SELECT unnest(range(0, 101)) AS t), x AS (SELECT t, sum(CASE WHEN b >= t THEN y ELSE 0 END) AS tp, sum(CASE WHEN b >= t THEN 1 - y ELSE 0 END) AS fp, sum(CASE WHEN b < t THEN y ELSE 0 END) AS fn FROM g, s GROUP BY t), f AS (SELECT t, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE round(2 * tp / (2 * tp + fp + fn), 6) END AS f1 FROM x) SELECT 'Fentanyl' AS label, round(t / 100.0, 2)::DOUBLE AS threshold, f1::DOUBLE AS f1 FROM f ORDER BY f1 DESC, t LIMIT 1")
+@query(
+    _base + "s AS (" + " UNION ALL ".join(f"SELECT '{k}' AS label, floor((row_no * 7919 % 1000) / 10)::INT AS b, coalesce({q(k)}, 0) AS y FROM a" for k in SUBSTANCES) + "), h AS (SELECT label, b, sum(y) AS pos, count(*) AS n FROM s GROUP BY ALL), g AS (SELECT unnest(range(0, 101)) AS t), "
+    "x AS (SELECT label, t, sum(CASE WHEN b >= t THEN pos ELSE 0 END) AS tp, sum(CASE WHEN b >= t THEN n - pos ELSE 0 END) AS fp, sum(CASE WHEN b < t THEN pos ELSE 0 END) AS fn FROM g, h GROUP BY label, t), f AS (SELECT label, t, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE round(2 * tp / (2 * tp + fp + fn), 6) END AS f1 FROM x) "
+    "SELECT label, round(t / 100.0, 2)::DOUBLE AS threshold, f1::DOUBLE AS f1 FROM f QUALIFY row_number() OVER (PARTITION BY label ORDER BY f1 DESC, t) = 1")
 def best_thresholds(spark, d):
-    return metrics.best_thresholds(_predicted(spark, d), {"Fentanyl": "score"})
+    return metrics.best_thresholds(_predicted(spark, d), {k: "score" for k in SUBSTANCES})
 
 
 @query()
@@ -477,11 +458,11 @@ def bootstrap_interval(spark, d):
 
 # --- reports ------------------------------------------------------------------------
 def _dated(spark, d):
-    a = table(spark, d, "audit_stability").filter("snapshot_no = 5").withColumn("day", dates.parse_mixed_date(F.col("DeathDate")))
+    a = _every(spark, d).withColumn("day", dates.parse_mixed_date(F.col("DeathDate")))
     return a.withColumns({"year": F.year("day"), "month": F.date_format("day", "yyyy-MM")})
 
 
-_dt = f"WITH a AS (SELECT *, {_date} AS day FROM audit_stability WHERE snapshot_no = 5), b AS (SELECT *, year(day) AS year, strftime(day, '%Y-%m') AS month FROM a) "
+_dt = f"WITH a AS (SELECT *, {_date} AS day FROM {_all}), b AS (SELECT *, year(day) AS year, strftime(day, '%Y-%m') AS month FROM a) "
 
 
 @query(_dt + "SELECT Mode AS mode, CASE WHEN grouping(year) = 1 THEN 'All' ELSE CAST(year AS VARCHAR) END AS year, count(*) AS n, sum(Fentanyl)::BIGINT AS fentanyl FROM b GROUP BY GROUPING SETS ((Mode, year), (Mode))")
@@ -510,12 +491,12 @@ def category_counts(spark, d):
     return reports.category_counts(_dated(spark, d), ["year"], "Mode", ["ACCIDENT", "NATURAL", "SUICIDE"], "Mode_")
 
 
-_combos = [c for k in (2, 3) for c in __import__("itertools").combinations(SUBSTANCES, k)]
+_combos = [c for k in (2, 3, 4, 5) for c in __import__("itertools").combinations(SUBSTANCES, k)]
 
 
 @query(_base + "x AS (" + " UNION ALL ".join(f"SELECT '{' + '.join(c)}' AS combination, {len(c)} AS size FROM a WHERE " + " AND ".join(f"{q(k)} = 1" for k in c) for c in _combos) + ") SELECT combination, size, count(*) AS n FROM x GROUP BY ALL ORDER BY n DESC, combination LIMIT 20")
 def cooccurrence(spark, d):
-    return reports.cooccurrence(_labelled(spark, d), list(SUBSTANCES), (2, 3))
+    return reports.cooccurrence(_labelled(spark, d), list(SUBSTANCES))
 
 
 @query(_dt + ", g AS (SELECT count(*) AS n FROM b GROUP BY year, Race) SELECT count(*) AS cells, sum(n)::BIGINT AS rows, sum((n < 5)::INT)::BIGINT AS small_cells, sum(CASE WHEN n < 5 THEN n ELSE 0 END)::BIGINT AS rows_in_small FROM g")
@@ -594,11 +575,11 @@ def updated_rows(spark, d):
 
 
 @query(
-    "WITH c AS (SELECT DeathAddress AS address, (row_id % 1000) / 1000.0 AS lon, (row_id % 777) / 777.0 AS lat, row_id AS ord FROM consensus WHERE row_id % 3 = 0), k AS (SELECT address, lon, lat FROM c WHERE address IS NOT NULL QUALIFY row_number() OVER (PARTITION BY address ORDER BY ord) = 1) "
+    "WITH c AS (SELECT DeathAddress AS address, (row_id % 1000) / 1000.0 AS lon, (row_id % 777) / 777.0 AS lat, row_id AS ord FROM consensus), k AS (SELECT address, lon, lat FROM c WHERE address IS NOT NULL QUALIFY row_number() OVER (PARTITION BY address ORDER BY ord) = 1) "
     "SELECT x.row_id, CASE WHEN u THEN d_lon ELSE e_lon END AS lon, CASE WHEN u THEN d_lat ELSE e_lat END AS lat, u AS used_death_address FROM (SELECT a.row_id, e.lon AS e_lon, e.lat AS e_lat, d.lon AS d_lon, d.lat AS d_lat, (e.lon IS NULL OR NOT (e.lon < 0.5)) AND d.lon IS NOT NULL AS u FROM consensus a LEFT JOIN k e ON a.EventAddress = e.address LEFT JOIN k d ON a.DeathAddress = d.address) x")
 def geocoded(spark, d):
     c = table(spark, d, "consensus").select("row_id", "EventAddress", "DeathAddress")
-    cache = c.filter("row_id % 3 = 0").select(F.col("DeathAddress").alias("address"), (F.col("row_id") % 1000 / 1000).alias("lon"), (F.col("row_id") % 777 / 777).alias("lat"), F.col("row_id").alias("ord"))
+    cache = c.select(F.col("DeathAddress").alias("address"), (F.col("row_id") % 1000 / 1000).alias("lon"), (F.col("row_id") % 777 / 777).alias("lat"), F.col("row_id").alias("ord"))
     return relations.geocode(c, cache, "EventAddress", "DeathAddress", lambda lon, lat: lon < 0.5).select("row_id", "lon", "lat", "used_death_address")
 
 
@@ -649,10 +630,10 @@ def monthly_series(spark, d):
     return pipelines.monthly_series(a, "sex", "month", list(LABELS))
 
 
-@query(_dt + r", v AS (SELECT *, CAST(nullif(regexp_extract(Age, '(\d+)', 1), '') AS DOUBLE) AS ag FROM b), g AS (SELECT Mode, month, count(*) AS n, sum(coalesce(Fentanyl, 0))::BIGINT AS n_0, sum(coalesce(Heroin, 0))::BIGINT AS n_1, round(avg(ag), 6) AS age_mean, min(ag) AS age_min, max(ag) AS age_max FROM v GROUP BY Mode, month) SELECT x.Mode AS mode, y.month, coalesce(n, 0) AS n, coalesce(n_0, 0) AS n_0, coalesce(n_1, 0) AS n_1, age_mean, age_min, age_max FROM (SELECT DISTINCT Mode FROM b WHERE Mode IS NOT NULL) x CROSS JOIN (SELECT DISTINCT month FROM b WHERE month IS NOT NULL) y LEFT JOIN g ON g.Mode = x.Mode AND g.month = y.month")
+@query(_dt + r", v AS (SELECT *, CAST(nullif(regexp_extract(Age, '(\d+)', 1), '') AS DOUBLE) AS ag FROM b), g AS (SELECT Mode, month, count(*) AS n, " + ", ".join(f"sum(coalesce({q(c)}, 0))::BIGINT AS n_{i}" for i, c in enumerate(LABELS)) + ", round(avg(ag), 6) AS age_mean, min(ag) AS age_min, max(ag) AS age_max FROM v GROUP BY Mode, month) SELECT x.Mode AS mode, y.month, coalesce(n, 0) AS n, " + ", ".join(f"coalesce(n_{i}, 0) AS n_{i}" for i, _ in enumerate(LABELS)) + ", age_mean, age_min, age_max FROM (SELECT DISTINCT Mode FROM b WHERE Mode IS NOT NULL) x CROSS JOIN (SELECT DISTINCT month FROM b WHERE month IS NOT NULL) y LEFT JOIN g ON g.Mode = x.Mode AND g.month = y.month")
 def space_time_cube(spark, d):
     a = _dated(spark, d).withColumnRenamed("Mode", "mode")
-    return pipelines.space_time_cube(a, "mode", "month", ["Fentanyl", "Heroin"], text.age_number(F.col("Age")))
+    return pipelines.space_time_cube(a, "mode", "month", list(LABELS), text.age_number(F.col("Age")))
 
 
 # --- vectors, streams, pages, repair --------------------------------------------------

@@ -60,7 +60,7 @@ def test_evidence_comes_from_every_text_field(spark, tmp_path):
     fields = reference.TEXT_FIELDS
     data = [(i, *["FENTANYL" if i == j else None for j in range(len(fields))]) for i in range(len(fields))]
     spark.createDataFrame(data, "row_id long, " + ", ".join(f"{f} string" for f in fields)).write.parquet(f"{tmp_path}/consensus.parquet")
-    got = {(r["row_id"], r["field"], r["match"]) for r in reference.QUERIES["matched_terms_whole"](spark, str(tmp_path)).filter("label = 'Fentanyl'").collect()}
+    got = {(r["row_id"], r["field"], r["match"]) for r in reference.QUERIES["matched_terms"](spark, str(tmp_path)).filter("label = 'Fentanyl'").collect()}
     flagged = {r["row_id"] for r in reference.QUERIES["lexicon_flags"](spark, str(tmp_path)).filter("fentanyl = 1").collect()}
     assert got == {(i, f, "FENTANYL") for i, f in enumerate(fields)} and flagged == set(range(len(fields)))
 
@@ -71,8 +71,8 @@ def test_merges_rank_and_fill_whole_rows(spark, tmp_path):
     data = [(1, "a", "k", "X", "1 MAIN ST", "JO", "DOE"), (2, "a", "k", "Y", None, None, None), (3, "me_master.csv", "k", None, None, "AL", None)]
     df = spark.createDataFrame(data, "row_id long, source_file string, CaseNumber string, CauseA string, DeathAddress string, FirstName string, LastName string")
     df.withColumn("received_at", F.lit(None).cast("timestamp")).write.parquet(f"{tmp_path}/consensus.parquet")
-    for name in ("entity_merge_last_whole", "entity_merge_first_whole"):
+    for name in ("entity_merge_last", "entity_merge_first"):
         r = reference.QUERIES[name](spark, str(tmp_path)).first()
         assert (r["CauseA"], r["DeathAddress"], r["FirstName"], r["LastName"]) == ("X", "1 MAIN ST", "JO", "DOE")
-    r = reference.QUERIES["backfill_history_whole"](spark, str(tmp_path)).first()
+    r = reference.QUERIES["backfill_history"](spark, str(tmp_path)).first()
     assert (r["row_id"], r["CauseA"], r["DeathAddress"], r["FirstName"], r["LastName"]) == (3, "X", "1 MAIN ST", "AL", "DOE")
