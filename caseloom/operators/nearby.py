@@ -131,3 +131,20 @@ def near_keys_in_regions(rows: DataFrame, regions: DataFrame, key: str, snapshot
     pairs = near.join(a, ["lon_a", "lat_a"]).join(b, ["lon_b", "lat_b"]).filter(
         (F.col("_ka") != F.col("_kb")) & (~same | (F.col("_ka") < F.col("_kb"))) & F.arrays_overlap("_ia", "_ib"))
     return pairs.select(F.least("_ka", "_kb").alias("case_a"), F.greatest("_ka", "_kb").alias("case_b"), region_label).distinct()
+
+
+def near_coordinates(rows: DataFrame, regions: DataFrame, key: str, metres: float = 25.0, region_label: str = "CT20", region: str = "area_id") -> DataFrame:
+    """``(lon_a, lat_a, lon_b, lat_b, label, n_a, n_b)``: near pairs of distinct coordinates in one region, with the number of keys at each.
+
+    The compact form of ``near_keys_in_regions`` over all snapshots together:
+    keys at one coordinate are a class, pairs stand between classes (a
+    coordinate with itself if several keys share it), and the membership of keys
+    is their rows' own coordinates.
+    """
+    k = rows.withColumn("_key", F.trim(F.regexp_replace(F.col(f"`{key}`"), r"^[\s\u00a0]+|[\s\u00a0]+$", ""))).filter((F.col("_key") != "") & usable_point(F.col("lon"), F.col("lat")))
+    at = k.groupBy("lon", "lat").agg(F.count_distinct("_key").alias("n"))
+    inside = regions_of_points(at, regions.filter(F.col(region_label).isNotNull()), region=region, keep=(region_label,)).filter(~F.col("on_boundary")).select("lon", "lat", region_label).distinct()
+    near = near_points(inside, metres, (region_label,))
+    a, b = (at.select(F.col("lon").alias(f"lon_{s}"), F.col("lat").alias(f"lat_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
+    same = (F.col("lon_a") == F.col("lon_b")) & (F.col("lat_a") == F.col("lat_b"))
+    return near.join(a, ["lon_a", "lat_a"]).join(b, ["lon_b", "lat_b"]).filter(~same | (F.col("n_a") > 1)).select("lon_a", "lat_a", "lon_b", "lat_b", region_label, "n_a", "n_b")

@@ -252,3 +252,20 @@ def disagreements(df: DataFrame, case: str, key: str, fields: dict[str, str]) ->
     a, b = rows.alias("a"), rows.alias("b")
     return a.join(b, (F.col("a._case") == F.col("b._case")) & (F.col("a.field") == F.col("b.field")) & (F.col("a._key") < F.col("b._key")) & (F.col("a.value") != F.col("b.value"))).select(
         F.col("a._key").alias("row_id_a"), F.col("b._key").alias("row_id_b"), F.col("a.field").alias("field"))
+
+
+def disagreement_classes(df: DataFrame, case: str, key: str, fields: dict[str, str]) -> DataFrame:
+    """``(row_id, case, field, value, n_links)``: rows of cases that disagree, with the number of rows they disagree with.
+
+    The compact form of ``disagreements``: rows with one value of a case form a
+    class, and a row's links are all rows of the case's other classes. One row
+    for each row and field, however many a case has.
+    """
+    long = df.filter(F.col(case).isNotNull()).select(
+        F.col(case).alias("_case"), F.col(key).alias("_key"),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(c).cast("string").alias("value")) for c, n in fields.items()])).alias("_f"),
+    ).select("_case", "_key", "_f.field", "_f.value").filter(F.col("value").isNotNull())
+    classes = long.groupBy("_case", "field", "value").agg(F.count("*").alias("_n"))
+    whole = classes.groupBy("_case", "field").agg(F.sum("_n").alias("_all"), F.count("*").alias("_k")).filter("_k > 1").drop("_k")
+    links = classes.join(whole, ["_case", "field"]).select("_case", "field", "value", (F.col("_all") - F.col("_n")).alias("n_links"))
+    return long.join(links, ["_case", "field", "value"]).select(F.col("_key").alias(key), F.col("_case").alias("case"), "field", "value", "n_links")

@@ -30,6 +30,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nearby.near_keys_in_regions(table(spark, d, "audit_stability"), table(spark, d, "tracts").filter("area_level = 'tract'"), "CaseNumber", "snapshot_no")
 
 
+def p3_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    return nearby.near_coordinates(table(spark, d, "audit_stability"), table(spark, d, "tracts").filter("area_level = 'tract'"), "CaseNumber")
+
+
 def p3_areas(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "audit_stability")
     areas = nearby.regions_of_points(rows, table(spark, d, "tracts"), keep=("area_level", "CT20"))
@@ -46,6 +50,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return timestamps.disagreements(rows, "_case", "row_id", {"moment_utc": "death", "birth_day": "birth"})
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    rows = _dated(spark, d).withColumn("_case", case_key(F.col("CaseNumber")))
+    return timestamps.disagreement_classes(rows, "_case", "row_id", {"moment_utc": "death", "birth_day": "birth"})
+
+
 def p4_normalised(spark: SparkSession, d: str) -> DataFrame:
     return _dated(spark, d).select("row_id", "moment_utc", "moment_status", "moment_notation", "birth_day", "birth_notation")
 
@@ -54,7 +63,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.snapshot_changes(table(spark, d, "audit_stability"), "CaseNumber", SNAPSHOT_COLUMNS, dates=("DeathDate",))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_lifespans, p2_table, p3_found, p3_areas, p4_found, p4_normalised, p5_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_lifespans, p2_table, p3_found, p3_coordinates, p3_areas, p4_found, p4_classes, p4_normalised, p5_found)}
 
 # SQL equivalents, independent of the operators: pairwise comparison of snapshots, and brute-force geometry.
 _missing = "^((" + "|".join(w.replace("/", "/").replace("?", "[?]").replace(".", "[.]") for w in MISSING_WORDS) + ")( (" + "|".join(w.replace("?", "[?]").replace(".", "[.]") for w in MISSING_WORDS) + "))*)?$"
@@ -136,5 +145,9 @@ ORACLE: dict[str, str] = {
     "p3_found": (
         f"WITH {_edges}, spot AS (SELECT DISTINCT trim(CaseNumber) AS k, snapshot_no AS s, a.lon, a.lat, CT20 FROM audit_stability a JOIN inside i ON a.lon = i.lon AND a.lat = i.lat WHERE CT20 IS NOT NULL AND trim(CaseNumber) <> '') "
         "SELECT DISTINCT x.k AS case_a, y.k AS case_b, x.CT20 FROM spot x JOIN spot y ON x.s = y.s AND x.CT20 = y.CT20 AND x.k < y.k WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2)))) <= 25"),
+    "p3_coordinates": (
+        f"WITH {_edges}, c AS (SELECT a.lon, a.lat, count(DISTINCT trim(CaseNumber)) AS n FROM audit_stability a WHERE trim(CaseNumber) <> '' AND lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90 GROUP BY ALL), s AS (SELECT DISTINCT c.lon, c.lat, n, CT20 FROM c JOIN inside i ON c.lon = i.lon AND c.lat = i.lat WHERE CT20 IS NOT NULL) "
+        "SELECT x.lon AS lon_a, x.lat AS lat_a, y.lon AS lon_b, y.lat AS lat_b, x.CT20, x.n AS n_a, y.n AS n_b FROM s x JOIN s y ON x.CT20 = y.CT20 AND ((x.lat, x.lon) < (y.lat, y.lon) OR (x.lat = y.lat AND x.lon = y.lon AND x.n > 1)) "
+        "WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2)))) <= 25"),
     "p3_areas": f"WITH {_edges} SELECT snapshot_no, row_no, i.area_id, t.area_level, i.CT20, false AS on_boundary, CAST(in_la_county AS INT) AS in_la_county FROM audit_stability a JOIN inside i ON a.lon = i.lon AND a.lat = i.lat JOIN tracts t ON t.area_id = i.area_id",
 }

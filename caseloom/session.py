@@ -22,6 +22,7 @@ def build_session(app: str = "caseloom", master: str | None = None, **extra: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | extra
     for k, v in conf.items():
         b = b.config(k, v)
@@ -36,8 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """The rows written once to the shared checkpoint folder and read back.
 
-    Cuts lineage and plan size where a costly table feeds several branches. The
-    folder is ``spark.checkpoint.dir`` of the session; only where none is set (a
+    Cuts lineage and plan size where a costly table feeds several branches. It
+    is eager: the rows are computed when it is called. What it wrote is removed
+    by Spark when the frame is no longer used, if the session sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``, and with the folder
+    otherwise. The folder is ``spark.checkpoint.dir`` of the session; only where none is set (a
     local session, as in tests) a temporary one is used.
     """
     sc = df.sparkSession.sparkContext

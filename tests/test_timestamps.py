@@ -109,6 +109,16 @@ def test_disagreements(spark):
     assert disagreements(df.limit(0), "c", "row_id", {"m": "death"}).count() == 0
 
 
+def test_disagreement_classes_count_the_pairs(spark):
+    from caseloom.operators.timestamps import disagreement_classes
+
+    df = spark.createDataFrame([(1, "c", "x"), (2, "c", "x"), (3, "c", "y"), (4, "c", None), (5, None, "z"), (6, "d", "q"), (7, "e", "a"), (8, "e", "b"), (9, "e", "c")], "row_id long, c string, m string")
+    got = {r["row_id"]: r["n_links"] for r in disagreement_classes(df, "c", "row_id", {"m": "death"}).collect()}
+    pairs = [r for r in disagreements(df, "c", "row_id", {"m": "death"}).collect()]
+    assert got == {i: sum(i in (p["row_id_a"], p["row_id_b"]) for p in pairs) for i in (1, 2, 3, 7, 8, 9)}
+    assert disagreement_classes(df.limit(0), "c", "row_id", {"m": "death"}).count() == 0
+
+
 def test_values(spark):
     df = spark.createDataFrame([("Case# 2019-00109",), ("2019 - 62",), ("2019–123456",), ("PENDING",), (None,)], "k string")
     assert [r[0] for r in df.select(case_key(F.col("k"))).collect()] == ["2019-00109", "2019-00062", "2019-123456", None, None]
