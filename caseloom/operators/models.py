@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import col
@@ -58,3 +60,30 @@ def min_max_calibrated(df: DataFrame, fitted: DataFrame, score: str, out: str) -
     r = fitted.agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
     share = F.try_divide(F.col(score) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     return df.crossJoin(r).withColumn(out, F.when(share.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))).drop("_lo", "_hi")  # with one row
+
+
+def save_models(path: str, feats: PipelineModel, models: dict[str, object]) -> None:
+    """Features, one model a label, and the list of labels under one folder of any store Spark can write."""
+    spark = SparkSession.getActiveSession()
+    feats.write().overwrite().save(f"{path}/features")
+    for i, m in enumerate(models.values()):
+        PipelineModel([m]).write().overwrite().save(f"{path}/label_{i}")
+    spark.createDataFrame([(json.dumps(list(models)),)], "labels string").write.mode("overwrite").json(f"{path}/labels")
+
+
+def load_models(path: str) -> tuple[PipelineModel, dict[str, object]]:
+    """What ``save_models`` wrote."""
+    spark = SparkSession.getActiveSession()
+    labels = json.loads(spark.read.schema("labels string").json(f"{path}/labels").first()[0])
+    return PipelineModel.load(f"{path}/features"), {k: PipelineModel.load(f"{path}/label_{i}") for i, k in enumerate(labels)}
+
+
+def stored_scorer(path: str, text: str = "text"):
+    """A scorer from stored models: a 0/1 column for each of their labels on a frame with a ``text`` column; null text is empty."""
+    feats, models = load_models(path)
+
+    def score(df: DataFrame) -> DataFrame:
+        plain = predict_labels(df.withColumn("_own", col(text)).withColumn(text, F.coalesce(col(text), F.lit(""))), feats, models, "")
+        return plain.withColumn(text, F.col("_own")).drop("_own")
+
+    return score

@@ -69,6 +69,19 @@ def write_bundle(frames: dict[str, DataFrame], directory: str, prefix: str) -> l
     return out
 
 
+def append_log(stats: DataFrame, path: str, what: str = "new entries in final csv file") -> list[str]:
+    """Appends a line for each source of ``source_stats`` to a log file, in order of the sources; returns the lines.
+
+    ``stats`` has a row a source, so only that many reach the driver.
+    """
+    rows = stats.orderBy("source_file").select("source_file", "n", "range").toLocalIterator()
+    lines = [f"{r['source_file']} - {r['n']} {what}, {r['range'] or 'No dates available'}" for r in rows]
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "a") as f:
+        f.writelines(x + "\n" for x in lines)
+    return lines
+
+
 def tidy_names(directory: str) -> list[tuple[str, str]]:
     """Blanks in file names as underscores; a counter keeps names apart. Returns the renames."""
     done = []

@@ -38,20 +38,36 @@ def mangle(names: list[str]) -> list[str]:
     return out
 
 
-def read_csv(spark: SparkSession, path: str, null_tokens: tuple[str, ...] = NULL_TOKENS, encoding: str = "UTF-8", columns: list[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, null_tokens: tuple[str, ...] = NULL_TOKENS, encoding: str = "UTF-8", columns: list[str] | None = None, multi_line: bool = True, infer: bool = False) -> DataFrame:
     """A CSV file as strings; the header is read apart, so repeated and case-only names survive.
 
-    Quoted line breaks are kept. Null tokens become null. ``columns`` prunes.
-    Files are read by one task each (multi-line); for huge files write Parquet.
+    Quoted line breaks are kept, which takes one task a file; a file known to
+    have none is split with ``multi_line=False``. Null tokens become null.
+    ``columns`` prunes. ``infer`` types the columns (see ``infer_types``).
     """
     with open(path, encoding=encoding, errors="replace", newline="") as f:
         header = mangle(next(csv.reader(f), []))
     if not header:
         raise ValueError(f"{path} is empty")
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(header))])
-    raw = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, multiLine=True, quote='"', escape='"', encoding=encoding, mode="PERMISSIVE")
+    raw = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, multiLine=multi_line, quote='"', escape='"', encoding=encoding, mode="PERMISSIVE")
     keep = [(i, h) for i, h in enumerate(header) if columns is None or h in columns]
-    return raw.select(*[F.when(~F.col(f"c{i}").isin(*null_tokens), F.col(f"c{i}")).alias(h) for i, h in keep])
+    out = raw.select(*[F.when(~F.col(f"c{i}").isin(*null_tokens), F.col(f"c{i}")).alias(h) for i, h in keep])
+    return infer_types(out) if infer else out
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """String columns as whole numbers, decimals or booleans where every value is one; empty columns stay strings.
+
+    One aggregation over the table decides; values with leading zeros (codes) stay text.
+    """
+    names = [c for c, k in df.dtypes if k == "string"]
+    kinds = ("bigint", "double", "boolean")
+    code = lambda c: F.coalesce(col(c).rlike(r"^\s*[+-]?0[0-9]"), F.lit(False))
+    tests = [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)] + [F.count(F.when(~code(c) | F.lit(k == "boolean"), col(c).try_cast(k))).alias(f"{k}{i}") for i, c in enumerate(names) for k in kinds]
+    r = df.agg(*tests).first() if names else None
+    found = {c: next((k for k in kinds if r[f"n{i}"] and r[f"{k}{i}"] == r[f"n{i}"]), None) for i, c in enumerate(names)}
+    return df.select(*[col(c).cast(found[c]).alias(c) if found.get(c) else col(c) for c in df.columns])
 
 
 def _xlsx_rows(data: bytes) -> Iterator[list[str | None]]:
