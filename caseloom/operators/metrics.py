@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import col
+from caseloom.session import cut
 
 
 def long_predictions(df: DataFrame, labels: Iterable[str], truth: str = "{}", predicted: str = "{}_pred", key: str | None = None) -> DataFrame:
@@ -41,12 +42,19 @@ def multilabel_metrics(df: DataFrame, labels: list[str], truth: str = "{}", pred
 def roc_auc(df: DataFrame, score: str, truth: str, *by: str, digits: int = 6) -> DataFrame:
     """Area under the ROC curve by rank sums, ties at their mean rank.
 
-    Rows shrink to distinct scores first; ranks are running sums over those, so
-    no group of rows is sorted in one task, only its distinct scores.
+    Rows shrink to distinct scores first. These are partitioned by range and
+    written once; ranks are the partition's offset plus running sums within it,
+    so no task sorts more than its range, however many scores there are.
     """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     g = df.groupBy(*by, col(score).alias("_s")).agg(F.count("*").alias("_n"), F.sum(col(truth).cast("long")).alias("_pos"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    r = g.withColumn("_rank", F.coalesce(F.sum("_n").over(w), F.lit(0)) + (F.col("_n") + 1) / 2)
+    g = cut(g.repartitionByRange(n, *by, "_s").withColumn("_p", F.spark_partition_id()))
+    parts = g.groupBy(*by, "_p").agg(F.sum("_n").alias("_in"))
+    before = parts.select(*by, F.col("_p").alias("_q"), F.col("_in").alias("_m"))
+    offset = parts.join(before, [*by]) if by else parts.crossJoin(before)  # partitions with partitions, not rows
+    offset = offset.groupBy(*by, "_p").agg(F.sum(F.when(F.col("_q") < F.col("_p"), F.col("_m")).otherwise(0)).alias("_off"))
+    w = Window.partitionBy(*by, "_p").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    r = g.join(offset, [*by, "_p"]).withColumn("_rank", F.col("_off") + F.coalesce(F.sum("_n").over(w), F.lit(0)) + (F.col("_n") + 1) / 2)
     a = r.groupBy(*by).agg(F.sum("_pos").alias("pos"), (F.sum("_n") - F.sum("_pos")).alias("neg"), F.sum(F.col("_rank") * F.col("_pos")).alias("_rs"))
     return a.select(*by, "pos", "neg", F.round(F.when((F.col("pos") > 0) & (F.col("neg") > 0), (F.col("_rs") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * F.col("neg"))), digits).alias("auc"))
 
