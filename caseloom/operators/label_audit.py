@@ -141,3 +141,12 @@ def auto_correct(df: DataFrame, key: str, text: str, candidates: DataFrame, nega
     return d.withColumn("Any Drugs", F.greatest(_label("Any Drugs"), *[_label(k) for k in SUBSTANCES], _label("Any Opioids"))).drop("_set")
 
 
+
+
+def change_log(before: DataFrame, after: DataFrame, key: str, labels: Iterable[str]) -> DataFrame:
+    """``(key, label, before, after)``: label values that differ between two versions of the same rows, nulls as 0."""
+    labels = list(labels)
+    side = lambda df, n: df.select(key, F.array(*[_label(k) for k in labels]).alias(n))
+    j = side(before, "_b").join(side(after, "_a"), key)
+    parts = F.array(*[F.when(F.get("_b", F.lit(i)) != F.get("_a", F.lit(i)), F.struct(F.lit(k).alias("label"), F.get("_b", F.lit(i)).alias("before"), F.get("_a", F.lit(i)).alias("after"))) for i, k in enumerate(labels)])
+    return j.select(key, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("_c")).select(key, "_c.*")

@@ -399,19 +399,50 @@ def pattern_leak(spark, d):
     return label_audit.pattern_leak(label_audit.matches(a, "row_no", "CauseA", LEX), a, "row_no")
 
 
-@query()
+def _negated_sql(key: str, txt: str, source: str, labels, value) -> str:
+    """Labels whose every match follows a negation within the last words before it in its field."""
+    last = r"string_split(trim(regexp_replace(string_split(array_to_string(p[1:i - 1], ''), '|')[-1], '[,\s]+', ' ', 'g')), ' ')"
+    one = lambda k: (
+        f"SELECT {key}, '{k}' AS label, array_to_string(list_sort(list_distinct(m)), ', ') AS terms FROM (SELECT {key}, string_split(regexp_replace({txt}, {lit('(?i)(' + LEX[k] + ')')}, chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS p, regexp_extract_all({txt}, {lit('(?i)' + LEX[k])}) AS m FROM {source} WHERE {value(k)} = 1) "
+        f"WHERE len(m) > 0 AND len(list_filter(range(2, len(p) + 1, 2), lambda i: NOT regexp_matches(array_to_string(list_slice({last}, -{label_audit.NEGATION_WORDS}, -1), ' '), {lit(label_audit.NEGATION)}))) = 0")
+    return " UNION ALL ".join(one(k) for k in labels)
+
+
+@query(_negated_sql("doc_id", "coalesce(text, '')", "documents", SUBSTANCES, lambda k: "1"))
 def negated_mentions(spark, d):
-    t = table(spark, d, "documents").select("doc_id", "text", *[F.lit(1).alias(k) for k in ("Heroin", "Fentanyl", "Cocaine", "Alcohol")])
-    return label_audit.negated_rows(t, "doc_id", "text", LEX, ("Heroin", "Fentanyl", "Cocaine", "Alcohol"))
+    t = table(spark, d, "documents").select("doc_id", "text", *[F.lit(1).alias(k) for k in SUBSTANCES])
+    return label_audit.negated_rows(t, "doc_id", "text", LEX)
 
 
-@query()
+_conv = r"regexp_matches(coalesce(CauseA, ''), '(?i)\b(opioids?|opiates?|benzodiazepines?)\b')"
+_set = {k: f"CASE WHEN EXISTS (SELECT 1 FROM ok WHERE ok.row_no = a.row_no AND ok.label = '{k}') THEN 1 ELSE {_lab(k)} END" for k in SUBSTANCES}
+
+
+_auto_sql = (
+    _base + _match + f", cand AS (SELECT DISTINCT row_no, label FROM m JOIN p USING (term, label) WHERE v = 0 AND term NOT IN ({_in(label_audit.CONVENTION_TERMS)}) AND p.precision >= 0.9), neg AS ({_negated_sql('row_no', 'coalesce(CauseA, chr(32))', 'a', SUBSTANCES, _lab)}), "
+    "ok AS (SELECT row_no, label FROM cand ANTI JOIN neg USING (row_no, label)), n AS (SELECT row_no, CauseA, " + ", ".join(f"{v} AS {safe(k)}" for k, v in _set.items()) + f", {_lab('Any Opioids')} AS ao, {_lab('Any Drugs')} AS ad FROM a), "
+    f"o AS (SELECT *, greatest(heroin, fentanyl, prescription_opioids, CASE WHEN {_conv} THEN ao ELSE 0 END) AS any_opioids FROM n) "
+    "SELECT row_no, " + ", ".join(safe(k) for k in SUBSTANCES) + ", any_opioids, greatest(ad, any_opioids, " + ", ".join(safe(k) for k in SUBSTANCES) + ") AS any_drugs FROM o")
+
+
+@query(_auto_sql)
 def auto_corrections(spark, d):
+    return _auto_corrected(spark, d).select("row_no", *[col(c).alias(safe(c)) for c in LABELS])
+
+
+def _auto_corrected(spark, d):
     a = _labelled(spark, d)
     m = label_audit.matches(a, "row_no", "CauseA", LEX)
     cand = label_audit.review_candidates(m, label_audit.term_precision(m), "row_no", low=False)
-    neg = label_audit.negated_rows(a, "row_no", "CauseA", LEX)
-    return label_audit.auto_correct(a, "row_no", "CauseA", cand, neg).select("row_no", *[col(c).alias(safe(c)) for c in LABELS])
+    return label_audit.auto_correct(a, "row_no", "CauseA", cand, label_audit.negated_rows(a, "row_no", "CauseA", LEX))
+
+
+@query(
+    f"WITH f AS ({_auto_sql}), b AS (SELECT row_no, " + ", ".join(f"{_lab(k)} AS {safe(k)}" for k in LABELS) + f" FROM {_all}) "
+    + " UNION ALL ".join(f"SELECT row_no, '{k}' AS label, b.{safe(k)} AS before, f.{safe(k)} AS after FROM f JOIN b USING (row_no) WHERE b.{safe(k)} <> f.{safe(k)}" for k in LABELS))
+def auto_correction_log(spark, d):
+    """Every label value that the automatic corrections changed."""
+    return label_audit.change_log(_labelled(spark, d), _auto_corrected(spark, d), "row_no", LABELS)
 
 
 # --- metrics ------------------------------------------------------------------------
