@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.functions import timeparse
 from caseloom.functions.values import MISSING_WORDS, case_key
 from caseloom.operators import drift, nearby, snapshots, timestamps
 from caseloom.session import table
@@ -133,7 +134,47 @@ _table_sql = (
     "c AS (SELECT feed, file_no, row_no, " + ", ".join(_typed_sql(c) for c in drift.ALIASES) + " FROM w) "
     "SELECT c.*, '{' || coalesce(other, '') || '}' AS other, '{' || concat_ws(',', " + ", ".join(f"CASE WHEN w.\"{c}\" IS NOT NULL AND c.\"{c}\" IS NULL THEN '\"{c}\":' || to_json(w.\"{c}\") END" for c in drift.ALIASES if c in drift.TYPES) + ") || '}' AS unread "
     "FROM c JOIN w USING (feed, file_no, row_no) LEFT JOIN o USING (feed, file_no, row_no)")
+# Timestamps: each text by the notation it matches, the declared order of figures, and the clock changes of the source's zone.
+_NAMED = "['a', 'b', 'c', 'h', 'm', 's', 'half', 'zone']"
+_tidy_text = lambda c: rf"trim(regexp_replace(upper({c}), '\s+', ' ', 'g'))"
+_off = lambda z: f"CASE WHEN {z} = '' THEN NULL WHEN regexp_matches({z}, '^[+-]') THEN (CASE WHEN {z} LIKE '-%' THEN -1 ELSE 1 END) * (substr({z}, 2, 2)::INT * 60 + substr(replace({z}, ':', ''), 4, 2)::INT) ELSE CASE {z} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in timeparse.ZONES.items()) + " END END"
+_hour = lambda h, half: f"(CASE WHEN {half} <> '' AND {h} <= 12 THEN {h} % 12 + CASE WHEN {half} LIKE 'P%' THEN 12 ELSE 0 END ELSE {h} END)"
+_sec = lambda h, m, s, half: f"CASE WHEN {m} < 60 AND coalesce({s}, 0) < 60 AND {_hour(h, half)} * 3600 + {m} * 60 + coalesce({s}, 0) <= 86400 THEN {_hour(h, half)} * 3600 + {m} * 60 + coalesce({s}, 0) END"
+_int = lambda x: f"TRY_CAST(nullif({x}, '') AS INT)"
+_ymd = lambda y, m, d: f"TRY_CAST(lpad(({y})::VARCHAR, 4, '0') || '-' || ({m})::VARCHAR || '-' || ({d})::VARCHAR AS DATE)"
+_full = "((year(recv) // 100) * 100 + c::INT)"
+_year4 = lambda m, d: f"CASE WHEN length(c) = 4 THEN c::INT WHEN coalesce({_ymd(_full, m, d)} <= recv::DATE, {_full} <= year(recv)) THEN {_full} ELSE {_full} - 100 END"
+_mon = "(list_position([" + ", ".join(f"'{m}'" for m in timeparse.MONTHS) + "], substr({0}, 1, 3)))"
+_dated_day = lambda m, d: _ymd(f"({_year4(m, d)})", m, d)
+_clock_sql = (
+    f"CASE WHEN regexp_matches(ts, '{timeparse._CLOCK}') THEN {_sec(*[_int(f'tg.{x}') for x in 'hms'], 'tg.half')} WHEN regexp_matches(ts, '{timeparse._MILITARY}') THEN {_sec(_int('mg.h'), _int('mg.m'), '0', chr(39) * 2)} END")
+_moments = (
+    f"WITH c AS (SELECT row_id, CaseNumber, received_at AS recv, date_order AS o, coalesce(time_zone, 'UTC') AS tz, {_tidy_text('DeathTime')} AS ts, DeathDate, DateofBirth FROM consensus LEFT JOIN source_files USING (source_file)), "
+    f"x AS (SELECT row_id, recv, o, 'death' AS field, {_tidy_text('DeathDate')} AS s FROM c UNION ALL SELECT row_id, recv, o, 'birth', {_tidy_text('DateofBirth')} FROM c), "
+    "k AS (SELECT *, CASE WHEN length(s) > 60 THEN NULL " + " ".join(f"WHEN regexp_matches(s, '{pat}') THEN '{n}'" for n, pat in (("iso", timeparse._ISO), ("fig", timeparse._FIG), ("dmon", timeparse._DMON), ("mond", timeparse._MOND))) + r" WHEN regexp_matches(s, '^[0-9]+(\.[0-9]+)?$') THEN 'num' END AS kind FROM x), "
+    "g AS (SELECT *, CASE kind " + " ".join(f"WHEN '{n}' THEN regexp_extract(s, '{pat}', {_NAMED})" for n, pat in (("iso", timeparse._ISO), ("fig", timeparse._FIG), ("dmon", timeparse._DMON), ("mond", timeparse._MOND))) + " END AS g FROM k), "
+    "f AS (SELECT row_id, recv, o, field, s, kind, g.a AS a, g.b AS b, g.c AS c, g.h AS h, g.m AS m, g.s AS sec, g.half AS half, g.zone AS zone FROM g), "
+    f"p AS (SELECT *, CASE WHEN kind = 'fig' THEN {_dated_day('a::INT', 'b::INT')} END AS mdy, CASE WHEN kind = 'fig' THEN {_dated_day('b::INT', 'a::INT')} END AS dmy FROM f), "
+    f"d AS (SELECT *, CASE kind WHEN 'iso' THEN {_ymd('a', 'b', 'c')} WHEN 'fig' THEN CASE WHEN o = 'dmy' THEN coalesce(dmy, mdy) ELSE coalesce(mdy, dmy) END WHEN 'dmon' THEN {_dated_day(_mon.format('b'), 'a::INT')} WHEN 'mond' THEN {_dated_day(_mon.format('a'), 'b::INT')} "
+    "WHEN 'num' THEN CASE WHEN regexp_matches(s, '^[0-9]{8}$') THEN TRY_CAST(substr(s, 1, 4) || '-' || substr(s, 5, 2) || '-' || substr(s, 7, 2) AS DATE) WHEN regexp_matches(s, '^[0-9]{4,5}([.][0-9]+)?$') AND s::DOUBLE >= 3000 THEN DATE '1899-12-30' + floor(s::DOUBLE)::INT "
+    "WHEN regexp_matches(s, '^([0-9]{9,10}|[0-9]{12,13})$') THEN DATE '1970-01-01' + ((s::BIGINT // CASE WHEN length(s) >= 12 THEN 1000 ELSE 1 END) // 86400)::INT END END AS day, "
+    "kind = 'iso' AND regexp_matches(s, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$') AS bare, "
+    f"CASE WHEN kind = 'num' THEN CASE WHEN regexp_matches(s, '^[0-9]{{4,5}}[.][0-9]+$') THEN round((s::DOUBLE - floor(s::DOUBLE)) * 86400)::INT WHEN regexp_matches(s, '^([0-9]{{9,10}}|[0-9]{{12,13}})$') THEN ((s::BIGINT // CASE WHEN length(s) >= 12 THEN 1000 ELSE 1 END) % 86400)::INT END WHEN h <> '' THEN {_sec(*[_int(x) for x in ('h', 'm', 'sec')], 'half')} END AS secs, "
+    f"CASE WHEN kind = 'num' THEN CASE WHEN regexp_matches(s, '^([0-9]{{9,10}}|[0-9]{{12,13}})$') THEN 0 END ELSE {_off('zone')} END AS off FROM p), "
+    "v AS (SELECT row_id, field, day, CASE WHEN NOT bare THEN secs END AS secs, CASE WHEN NOT bare THEN off END AS off FROM d WHERE day IS NOT NULL AND (bare OR kind = 'num' OR ((h = '' OR secs IS NOT NULL) AND (zone = '' OR off IS NOT NULL)))), "
+    f"tp AS (SELECT *, regexp_extract(ts, '{timeparse._CLOCK}', ['h', 'm', 's', 'half', 'zone']) AS tg, regexp_extract(ts, '{timeparse._MILITARY}', ['h', 'm', 'zone']) AS mg FROM c), "
+    f"tq AS (SELECT *, {_clock_sql} AS t_secs, CASE WHEN regexp_matches(ts, '{timeparse._CLOCK}') THEN tg.zone ELSE mg.zone END AS t_zone FROM tp), "
+    f"tr AS (SELECT *, CASE WHEN t_zone = '' OR {_off('t_zone')} IS NOT NULL THEN t_secs END AS t_sec, CASE WHEN t_secs IS NOT NULL THEN {_off('t_zone')} END AS t_off FROM tq), "
+    "u AS (SELECT tr.row_id, CaseNumber, tz, dd.day, coalesce(dd.secs, t_sec) AS sec, coalesce(dd.off, CASE WHEN t_sec IS NOT NULL THEN t_off END) AS off, bb.day AS birth_day FROM tr LEFT JOIN v dd ON dd.row_id = tr.row_id AND dd.field = 'death' LEFT JOIN v bb ON bb.row_id = tr.row_id AND bb.field = 'birth'), "
+    "l AS (SELECT *, day::TIMESTAMP + to_seconds(sec) AS local FROM u), z AS (SELECT *, CASE WHEN off IS NOT NULL THEN local - to_minutes(off) ELSE timezone('UTC', timezone(tz, local)) END AS utc FROM l), "
+    "moments AS (SELECT row_id, CaseNumber, birth_day, day, sec, CASE WHEN off IS NOT NULL OR (timezone(tz, timezone('UTC', utc)) = local AND timezone(tz, timezone('UTC', utc - INTERVAL 1 HOUR)) <> local AND timezone(tz, timezone('UTC', utc + INTERVAL 1 HOUR)) <> local) THEN date_trunc('minute', utc) END AS moment FROM z)")
+_squeezed_key = r"trim(upper(regexp_replace(regexp_replace(CaseNumber, '\s+', ' ', 'g'), '[‐-―−_/]', '-', 'g')))"
+_key_shape = r"'^[^0-9]*?((?:19|20)[0-9]{2}) ?- ?0*([0-9]+)$'"
+_kase = f"CASE WHEN regexp_matches({_squeezed_key}, {_key_shape}) THEN regexp_extract({_squeezed_key}, {_key_shape}, 1) || '-' || lpad(regexp_extract({_squeezed_key}, {_key_shape}, 2), greatest(5, length(regexp_extract({_squeezed_key}, {_key_shape}, 2)))::INT, '0') END"
+_values = f", q AS (SELECT row_id, {_kase} AS kase, moment, birth_day FROM moments), w AS (SELECT row_id, kase, 'death' AS field, moment::VARCHAR AS v FROM q UNION ALL SELECT row_id, kase, 'birth', birth_day::VARCHAR FROM q), y AS (SELECT * FROM w WHERE kase IS NOT NULL AND v IS NOT NULL) "
 ORACLE: dict[str, str] = {
+    "p4_found": _moments + _values + "SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, a.field FROM y a JOIN y b ON a.kase = b.kase AND a.field = b.field AND a.row_id < b.row_id AND a.v <> b.v",
+    "p4_classes": _moments + _values + ", n AS (SELECT kase, field, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY kase, field) AS total FROM y GROUP BY kase, field, v) SELECT row_id, kase AS \"case\", field, v AS value, (total - n)::BIGINT AS n_links FROM y JOIN n USING (kase, field, v) WHERE total > n",
     "p2_found": _changes,
     "p2_lifespans": _spans,
     "p2_table": _table_sql,
