@@ -158,22 +158,24 @@ _moments = (
     f"d AS (SELECT *, CASE kind WHEN 'iso' THEN {_ymd('a', 'b', 'c')} WHEN 'fig' THEN CASE WHEN o = 'dmy' THEN coalesce(dmy, mdy) ELSE coalesce(mdy, dmy) END WHEN 'dmon' THEN {_dated_day(_mon.format('b'), 'a::INT')} WHEN 'mond' THEN {_dated_day(_mon.format('a'), 'b::INT')} "
     "WHEN 'num' THEN CASE WHEN regexp_matches(s, '^[0-9]{8}$') THEN TRY_CAST(substr(s, 1, 4) || '-' || substr(s, 5, 2) || '-' || substr(s, 7, 2) AS DATE) WHEN regexp_matches(s, '^[0-9]{4,5}([.][0-9]+)?$') AND s::DOUBLE >= 3000 THEN DATE '1899-12-30' + floor(s::DOUBLE)::INT "
     "WHEN regexp_matches(s, '^([0-9]{9,10}|[0-9]{12,13})$') THEN DATE '1970-01-01' + ((s::BIGINT // CASE WHEN length(s) >= 12 THEN 1000 ELSE 1 END) // 86400)::INT END END AS day, "
-    "kind = 'iso' AND regexp_matches(s, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$') AS bare, "
+    "kind = 'iso' AND regexp_matches(s, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} 00:00:00$') AS bare, CASE WHEN bare THEN 'isodate' WHEN kind = 'fig' THEN CASE WHEN mdy = dmy THEN coalesce(o, 'mdy') WHEN o = 'dmy' THEN CASE WHEN dmy IS NULL THEN 'mdy' ELSE 'dmy' END ELSE CASE WHEN mdy IS NULL THEN 'dmy' ELSE 'mdy' END END "
+    "WHEN kind = 'num' THEN CASE WHEN regexp_matches(s, '^[0-9]{8}$') THEN 'ymd' WHEN regexp_matches(s, '^[0-9]{4,5}([.][0-9]+)?$') THEN 'serial' ELSE 'epoch' END ELSE kind END AS note, "
     f"CASE WHEN kind = 'num' THEN CASE WHEN regexp_matches(s, '^[0-9]{{4,5}}[.][0-9]+$') THEN round((s::DOUBLE - floor(s::DOUBLE)) * 86400)::INT WHEN regexp_matches(s, '^([0-9]{{9,10}}|[0-9]{{12,13}})$') THEN ((s::BIGINT // CASE WHEN length(s) >= 12 THEN 1000 ELSE 1 END) % 86400)::INT END WHEN h <> '' THEN {_sec(*[_int(x) for x in ('h', 'm', 'sec')], 'half')} END AS secs, "
     f"CASE WHEN kind = 'num' THEN CASE WHEN regexp_matches(s, '^([0-9]{{9,10}}|[0-9]{{12,13}})$') THEN 0 END ELSE {_off('zone')} END AS off FROM p), "
-    "v AS (SELECT row_id, field, day, CASE WHEN NOT bare THEN secs END AS secs, CASE WHEN NOT bare THEN off END AS off FROM d WHERE day IS NOT NULL AND (bare OR kind = 'num' OR ((h = '' OR secs IS NOT NULL) AND (zone = '' OR off IS NOT NULL)))), "
+    "v AS (SELECT row_id, field, note, day, CASE WHEN NOT bare THEN secs END AS secs, CASE WHEN NOT bare THEN off END AS off FROM d WHERE day IS NOT NULL AND (bare OR kind = 'num' OR ((h = '' OR secs IS NOT NULL) AND (zone = '' OR off IS NOT NULL)))), "
     f"tp AS (SELECT *, regexp_extract(ts, '{timeparse._CLOCK}', ['h', 'm', 's', 'half', 'zone']) AS tg, regexp_extract(ts, '{timeparse._MILITARY}', ['h', 'm', 'zone']) AS mg FROM c), "
     f"tq AS (SELECT *, {_clock_sql} AS t_secs, CASE WHEN regexp_matches(ts, '{timeparse._CLOCK}') THEN tg.zone ELSE mg.zone END AS t_zone FROM tp), "
     f"tr AS (SELECT *, CASE WHEN t_zone = '' OR {_off('t_zone')} IS NOT NULL THEN t_secs END AS t_sec, CASE WHEN t_secs IS NOT NULL THEN {_off('t_zone')} END AS t_off FROM tq), "
-    "u AS (SELECT tr.row_id, CaseNumber, tz, dd.day, coalesce(dd.secs, t_sec) AS sec, coalesce(dd.off, CASE WHEN t_sec IS NOT NULL THEN t_off END) AS off, bb.day AS birth_day FROM tr LEFT JOIN v dd ON dd.row_id = tr.row_id AND dd.field = 'death' LEFT JOIN v bb ON bb.row_id = tr.row_id AND bb.field = 'birth'), "
+    "u AS (SELECT tr.row_id, CaseNumber, tz, dd.day, coalesce(dd.secs, t_sec) AS sec, coalesce(dd.off, CASE WHEN t_sec IS NOT NULL THEN t_off END) AS off, bb.day AS birth_day, dd.note AS note, bb.note AS birth_note FROM tr LEFT JOIN v dd ON dd.row_id = tr.row_id AND dd.field = 'death' LEFT JOIN v bb ON bb.row_id = tr.row_id AND bb.field = 'birth'), "
     "l AS (SELECT *, day::TIMESTAMP + to_seconds(sec) AS local FROM u), z AS (SELECT *, CASE WHEN off IS NOT NULL THEN local - to_minutes(off) ELSE timezone('UTC', timezone(tz, local)) END AS utc FROM l), "
-    "moments AS (SELECT row_id, CaseNumber, birth_day, day, sec, CASE WHEN off IS NOT NULL OR (timezone(tz, timezone('UTC', utc)) = local AND timezone(tz, timezone('UTC', utc - INTERVAL 1 HOUR)) <> local AND timezone(tz, timezone('UTC', utc + INTERVAL 1 HOUR)) <> local) THEN date_trunc('minute', utc) END AS moment FROM z)")
+    "moments AS (SELECT row_id, CaseNumber, birth_day, day, sec, note, birth_note, CASE WHEN off IS NOT NULL OR (timezone(tz, timezone('UTC', utc)) = local AND timezone(tz, timezone('UTC', utc - INTERVAL 1 HOUR)) <> local AND timezone(tz, timezone('UTC', utc + INTERVAL 1 HOUR)) <> local) THEN date_trunc('minute', utc) END AS moment FROM z)")
 _squeezed_key = r"trim(upper(regexp_replace(regexp_replace(CaseNumber, '\s+', ' ', 'g'), '[‐-―−_/]', '-', 'g')))"
 _key_shape = r"'^[^0-9]*?((?:19|20)[0-9]{2}) ?- ?0*([0-9]+)$'"
 _kase = f"CASE WHEN regexp_matches({_squeezed_key}, {_key_shape}) THEN regexp_extract({_squeezed_key}, {_key_shape}, 1) || '-' || lpad(regexp_extract({_squeezed_key}, {_key_shape}, 2), greatest(5, length(regexp_extract({_squeezed_key}, {_key_shape}, 2)))::INT, '0') END"
 _values = f", q AS (SELECT row_id, {_kase} AS kase, moment, birth_day FROM moments), w AS (SELECT row_id, kase, 'death' AS field, moment::VARCHAR AS v FROM q UNION ALL SELECT row_id, kase, 'birth', birth_day::VARCHAR FROM q), y AS (SELECT * FROM w WHERE kase IS NOT NULL AND v IS NOT NULL) "
 ORACLE: dict[str, str] = {
     "p4_found": _moments + _values + "SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, a.field FROM y a JOIN y b ON a.kase = b.kase AND a.field = b.field AND a.row_id < b.row_id AND a.v <> b.v",
+    "p4_normalised": _moments + " SELECT row_id, moment AS moment_utc, CASE WHEN day IS NULL THEN 'no date' WHEN sec IS NULL THEN 'no time' WHEN moment IS NULL THEN 'clock change' ELSE 'ok' END AS moment_status, note AS moment_notation, birth_day, birth_note AS birth_notation FROM moments",
     "p4_classes": _moments + _values + ", n AS (SELECT kase, field, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY kase, field) AS total FROM y GROUP BY kase, field, v) SELECT row_id, kase AS \"case\", field, v AS value, (total - n)::BIGINT AS n_links FROM y JOIN n USING (kase, field, v) WHERE total > n",
     "p2_found": _changes,
     "p2_lifespans": _spans,
