@@ -21,7 +21,7 @@ def _records(spark):
     return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
 
 
-@pytest.mark.parametrize("query", ["consensus_collated"])
+@pytest.mark.parametrize("query", ["consensus_collated", "consensus_vote"])
 def test_rows_move_not_cells(spark, tmp_path, query):
     rnd, columns = random.Random(5), list(reference.MAPPED)
     data = [(i, f"s{rnd.randrange(4)}", f"2024-{i // 2}", [rnd.choice(VALUES.get(c, TEXTS)) for c in columns]) for i in range(600)]
